@@ -42,7 +42,12 @@ def space_to_underscore(c) -> Column:
 
 
 def table_name_from_file(c, prefix: str = "", suffix: str = ".csv") -> Column:
-    """File name -> table name: drop the suffix, upper-case, add a prefix
-    (``food.csv`` -> ``FDC_FOOD``)."""
-    base = F.upper(F.regexp_replace(col(c), "(?i)" + suffix.replace(".", r"\.") + "$", ""))
+    """File name -> table name: remove ``suffix`` (every occurrence, like
+    ``str.replace``), upper-case, add a prefix (``food.csv`` -> ``FDC_FOOD``)."""
+    base = F.upper(F.replace(col(c), F.lit(suffix), F.lit("")))
     return F.concat(F.lit(prefix), base) if prefix else base
+
+
+def table_name(file_name: str, prefix: str = "", suffix: str = ".csv") -> str:
+    """The same rule for a single (driver-side) manifest entry."""
+    return prefix + file_name.replace(suffix, "").upper()
