@@ -63,8 +63,13 @@ def _products(spark, d):
 
 
 def _integrated(spark, d):
-    """ODEPA_FDC_INTEGRADO (fuzzy matched), the input of the analyses."""
-    return pr.price_food(_products(spark, d), _food_integrated(spark, d))
+    """ODEPA_FDC_INTEGRADO (fuzzy matched), the input of the analyses: read
+    from the table store, where the integration flow puts it (built on first
+    use for these input files)."""
+    from cosecha.plans.store import stored
+    inputs = [f"{d.rstrip('/')}/{t}.parquet" for t in ("lineitem", "part")]
+    return stored(spark, "odepa_fdc_integrado", inputs,
+                  lambda: pr.price_food(_products(spark, d), _food_integrated(spark, d)))
 
 
 def _pivot(spark, d):
@@ -348,7 +353,9 @@ def q_flow_price_products(spark, d):
 
 
 def q_flow_price_food(spark, d):
-    return _round(_integrated(spark, d), 6, "precio_promedio_clp", "match_score")
+    """The integration flow itself (always computed)."""
+    integrated = pr.price_food(_products(spark, d), _food_integrated(spark, d))
+    return _round(integrated, 6, "precio_promedio_clp", "match_score")
 
 
 def q_flow_final_analysis(spark, d):

@@ -13,6 +13,6 @@ plans/      the composed flows (food, prices, surveys, analyses)
 streaming/  nothing: the workload is batch only
 """
 
-from cosecha.session import get_session, checkpoint_dir, scratch_path, tune
+from cosecha.session import get_session, checkpoint_dir, materialize, scratch_path, tune
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "tune"]
+__all__ = ["get_session", "checkpoint_dir", "materialize", "scratch_path", "tune"]

@@ -31,8 +31,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cosecha.session import materialize
+
 DEFAULT_BUCKETS = 1024
 DEFAULT_ACCURACY = 10000
+# groups with at most this many distinct values are ranked by one window per
+# group (one task holds at most this many rows); larger groups are bucketed
+SMALL_GROUP_DISTINCT = 1_000_000
 
 
 def linspace_fractions(q: int) -> list[float]:
@@ -51,9 +56,39 @@ def _bucket_index(cuts: Column, v: Column, buckets: int) -> Column:
         lambda k, s: F.when(F.try_element_at(cuts, k + s) < v, k + s).otherwise(k))
 
 
+def _wanted_ranks(n: Column, fr: Sequence[float]) -> Column:
+    """The order statistics (0-based ranks) the interpolation needs."""
+    return F.array_distinct(F.concat(*[F.array(F.floor((n - 1) * F.lit(p)), F.ceil((n - 1) * F.lit(p)))
+                                       for p in fr]))
+
+
+def _interpolate(vals: DataFrame, by: list, fr: Sequence[float], out: str) -> DataFrame:
+    """``_m`` (rank -> value) and ``_n`` -> the quantiles, interpolated the
+    way numpy's ``linear`` method does (``lo + diff*t`` below t = 0.5,
+    ``hi - diff*(1-t)`` from there), so bins agree with ``pandas.qcut``."""
+    qs = []
+    for p in fr:
+        h = (F.col("_n") - 1) * F.lit(p)
+        t = h - F.floor(h)
+        lo = F.try_element_at("_m", F.floor(h))
+        hi = F.try_element_at("_m", F.ceil(h))
+        diff = hi - lo
+        qs.append(F.when(t >= F.lit(0.5), hi - diff * (F.lit(1.0) - t)).otherwise(lo + diff * t))
+    return vals.select(*by, F.col("_n").alias("n"), F.array(*qs).alias(out))
+
+
+def _pick(rows: DataFrame, by: list) -> DataFrame:
+    """Rows carry ``_lo``/``_hi`` (rank interval of the value) and ``_rb``
+    (wanted ranks): keep the (rank, value) hits, one map per group."""
+    hits = rows.select(*by, F.explode(F.filter("_rb", lambda r: (r >= F.col("_lo")) & (r < F.col("_hi"))))
+                       .alias("_rank"), "_v", "_n")
+    return hits.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_m"),
+                                 F.max("_n").alias("_n"))
+
+
 def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: Sequence[str] = (),
                     out: str = "quantiles", buckets: int = DEFAULT_BUCKETS,
-                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                    accuracy: int = DEFAULT_ACCURACY, small_group: int = SMALL_GROUP_DISTINCT) -> DataFrame:
     """One row per group (one row in total without ``by``): ``by`` columns,
     ``n`` (non-null values) and ``out`` = array of quantiles in ``fractions``
     order. NULL values and NULL group keys are ignored (pandas)."""
@@ -65,18 +100,28 @@ def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: S
     for c in by:
         base = base.where(F.col(c).isNotNull())
 
-    counts = base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # computed once: every later step (sizes, cut points, buckets, ranks) reads it
+    counts = materialize(base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")), "quantile-counts")
+
+    # size check: the largest number of distinct values in one group
+    widest = counts.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    if widest <= small_group:
+        w = Window.partitionBy(*by).orderBy("_v")
+        rows = (counts.withColumn("_hi", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+                      .withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
+                      .withColumn("_lo", F.col("_hi") - F.col("_c"))
+                      .withColumn("_rb", _wanted_ranks(F.col("_n"), fr)))
+        return _interpolate(_pick(rows, by), by, fr, out)
+
     probes = [i / buckets for i in range(1, buckets)]
-    n = F.col("_n")
-    wanted = F.array_distinct(F.concat(*[F.array(F.floor((n - 1) * F.lit(p)), F.ceil((n - 1) * F.lit(p)))
-                                         for p in fr]))
     stats = (counts.groupBy(*by)
              .agg(F.sum("_c").alias("_n"),
                   F.array_distinct(F.approx_percentile("_v", probes, accuracy)).alias("_b"))
-             .withColumn("_r", wanted))
+             .withColumn("_r", _wanted_ranks(F.col("_n"), fr)))
+    stats = materialize(stats, "quantile-cuts")     # one row per group
 
     if by:
-        bucketed = counts.join(stats, by)     # one stats row per group
+        bucketed = counts.join(stats, by)
     else:
         s = stats.select(F.struct("_n", "_b", "_r").alias("s")).scalar()
         bucketed = counts.select("_v", "_c", s["_n"].alias("_n"), s["_b"].alias("_b"),
@@ -91,26 +136,11 @@ def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: S
                   .where(F.size("_rb") > 0)
                   .select(*by, "_k", "_start", "_rb"))
 
-    rows = bucketed.select(*by, "_k", "_v", "_c").join(per_bucket, by + ["_k"])
+    rows = bucketed.select(*by, "_k", "_v", "_c", "_n").join(per_bucket, by + ["_k"])
     wv = Window.partitionBy(*by, "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = (rows.withColumn("_hi", F.col("_start") + F.sum("_c").over(wv))
                 .withColumn("_lo", F.col("_hi") - F.col("_c")))
-    hits = rows.select(*by, F.explode(F.filter("_rb", lambda r: (r >= F.col("_lo")) & (r < F.col("_hi"))))
-                       .alias("_rank"), "_v")
-    vals = hits.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_m"))
-
-    if by:
-        vals = vals.join(stats.select(*by, "_n"), by)
-    else:
-        vals = vals.withColumn("_n", stats.select("_n").scalar())
-
-    qs = []
-    for p in fr:
-        h = (F.col("_n") - 1) * F.lit(p)
-        lo = F.try_element_at("_m", F.floor(h))
-        hi = F.try_element_at("_m", F.ceil(h))
-        qs.append(lo + (hi - lo) * (h - F.floor(h)))
-    return vals.select(*by, F.col("_n").alias("n"), F.array(*qs).alias(out))
+    return _interpolate(_pick(rows, by), by, fr, out)
 
 
 def quantile_edges(df: DataFrame, value: str, q: int, by: Sequence[str] = (),
@@ -142,14 +172,24 @@ def label_of(bin_no: Column, n_bins: Column, labels: Sequence[str] | None, prefi
              .otherwise(generated))
 
 
+def qcut_edges(df: DataFrame, value: str, q: int, by: Sequence[str] = (), **kw) -> DataFrame:
+    """The (small, materialised) edges table shared by ``qcut`` and
+    ``bin_labels``: ``by`` columns + ``_e``."""
+    return materialize(quantile_edges(df, value, q, by, out="_e", **kw).select(*by, "_e"))
+
+
 def qcut(df: DataFrame, value: str, q: int, labels: Sequence[str] | None = None,
-         out: str = "bin", bin_col: str | None = None, by: Sequence[str] = (), **kw) -> DataFrame:
+         out: str = "bin", bin_col: str | None = None, by: Sequence[str] = (),
+         edges: DataFrame | None = None, **kw) -> DataFrame:
     """A14 ``pd.qcut(x, q, labels, duplicates='drop')`` over the whole column
     (or per group with ``by``). Adds the label column ``out`` and, when
-    ``bin_col`` is given, the 1-based bin number used for ordering."""
-    edges = quantile_edges(df, value, q, by, out="_e", **kw)
+    ``bin_col`` is given, the 1-based bin number used for ordering.
+
+    The edges are attached as a scalar subquery (one row) or, per group, by
+    an equi-join on the group key (one row per group)."""
+    edges = edges if edges is not None else qcut_edges(df, value, q, by, **kw)
     if by:
-        with_e = df.join(edges.select(*by, "_e"), list(by), "left")
+        with_e = df.join(edges, list(by), "left")
     else:
         with_e = df.withColumn("_e", edges.select("_e").scalar())
     b = bin_of(F.col(value).cast("double"), F.col("_e"))
@@ -163,11 +203,12 @@ def qcut(df: DataFrame, value: str, q: int, labels: Sequence[str] | None = None,
 
 
 def bin_labels(df: DataFrame, value: str, q: int, labels: Sequence[str] | None = None,
-               label_col: str = "bin", bin_col: str = "bin_no", by: Sequence[str] = (), **kw) -> DataFrame:
+               label_col: str = "bin", bin_col: str = "bin_no", by: Sequence[str] = (),
+               edges: DataFrame | None = None, **kw) -> DataFrame:
     """Every surviving bin of ``qcut`` (one row per bin, empty bins included),
     for left-joining grouped results so empty categories still show (pandas
     categorical groupby)."""
-    edges = quantile_edges(df, value, q, by, out="_e", **kw)
+    edges = edges if edges is not None else qcut_edges(df, value, q, by, **kw)
     nb = F.size("_e") - 1
     rows = edges.where(nb >= 1).select(*by, nb.alias("_nb"),
                                        F.explode(F.sequence(F.lit(1), nb)).alias(bin_col))

@@ -14,7 +14,7 @@ from cosecha.functions.arith import fill0, round_half_even
 from cosecha.functions.recode import recode_replace
 from cosecha.functions.text import space_to_underscore
 from cosecha.operators.aggregate import share_case
-from cosecha.operators.quantile import bin_labels, qcut
+from cosecha.operators.quantile import bin_labels, qcut, qcut_edges
 from cosecha.operators.relational import filter_not_null, order_desc, top_k, with_flag
 from cosecha.operators.stats import (box_stats, density_by_group, ols_fit, pearson, whatif_delta,
                                      whatif_predict, welch_ttest, welch_summary)
@@ -62,9 +62,10 @@ def income_gap(a: DataFrame, income: str, measures: Sequence[str], q: int = INCO
     """Means of ``measures`` per income quantile (labels Q1..Qk over the
     surviving bins; bins without rows still listed, with NULL means)."""
     d = filter_not_null(a, [income, *measures])
-    binned = qcut(d, income, q, out=label, bin_col="_bin")
+    edges = qcut_edges(d, income, q)
+    binned = qcut(d, income, q, out=label, bin_col="_bin", edges=edges)
     means = binned.groupBy("_bin").agg(*[F.avg(m).alias(m) for m in measures])
-    bins = bin_labels(d, income, q, label_col=label, bin_col="_bin")
+    bins = bin_labels(d, income, q, label_col=label, bin_col="_bin", edges=edges)
     return (bins.join(means, "_bin", "left")
                 .select(label, *[round_half_even(m, 2).alias(m) for m in measures]))
 

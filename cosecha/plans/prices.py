@@ -14,6 +14,7 @@ from cosecha.operators.aggregate import group_stats
 from cosecha.operators.fuzzy import fuzzy_best_match
 from cosecha.operators.quantile import qcut
 from cosecha.operators.relational import join_left
+from cosecha.session import materialize
 
 # ---- fixed values (must equal the analysed pipeline's) -------------------
 PRICE_LABELS = ["Bajo", "Medio-Bajo", "Medio-Alto", "Alto"]
@@ -40,7 +41,8 @@ def price_stats(prices: DataFrame, product: str = "producto", price: str = "prec
 
 def price_products(prices: DataFrame, **kw) -> DataFrame:
     """ODEPA_AGREGADO: stats + normalised name + price quartile + volatility."""
-    agg = price_stats(prices, **kw).withColumn("producto_normalizado", normalize_text("Producto"))
+    # one row per product, read by the quartile edges and by the binning pass
+    agg = materialize(price_stats(prices, **kw).withColumn("producto_normalizado", normalize_text("Producto")))
     agg = qcut(agg, "Precio_Promedio_CLP", PRICE_QUANTILES, labels=PRICE_LABELS, out="categoria_precio")
     return agg.withColumn("volatilidad_precio",
                           safe_div("Precio_Std_CLP", "Precio_Promedio_CLP") * F.lit(100))
@@ -66,8 +68,14 @@ def match_products(products: DataFrame, foods: DataFrame, cutoff: float = MATCH_
 
 
 def price_food(products: DataFrame, foods_integrated: DataFrame, **kw) -> DataFrame:
-    """ODEPA_FDC_INTEGRADO: correspondences left-joined to the food table."""
-    return join_left(match_products(products, foods_integrated, **kw), foods_integrated, "fdc_id")
+    """ODEPA_FDC_INTEGRADO: correspondences left-joined to the food table.
+
+    Both inputs feed two branches (the match and the join back), and the
+    result feeds every analysis, so each is materialised once in the shared
+    checkpoint folder (the tables the source pipeline stores and re-reads)."""
+    products = materialize(products)
+    foods_integrated = materialize(foods_integrated)
+    return materialize(join_left(match_products(products, foods_integrated, **kw), foods_integrated, "fdc_id"))
 
 
 def match_quality(matches: DataFrame, good: float = GOOD_MATCH_SCORE) -> DataFrame:

@@ -1,0 +1,62 @@
+"""A table store for flow outputs that later analyses read.
+
+The analysed pipeline writes its integrated tables once and every analysis
+reads the stored table back. ``stored`` does the same on Spark: the table is
+built by its flow the first time, written as Parquet under the shared
+``spark.checkpoint.dir``, and read back afterwards. The store key includes
+the input files' paths, sizes and modification times and a hash of this
+package's code, so changed inputs or changed code rebuild the table."""
+
+from __future__ import annotations
+
+import hashlib
+import os
+from typing import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+
+from cosecha.session import checkpoint_dir
+
+_CODE_HASH: str | None = None
+
+
+def code_version() -> str:
+    global _CODE_HASH
+    if _CODE_HASH is None:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        h = hashlib.sha1()
+        for dirpath, _, files in sorted(os.walk(root)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    with open(os.path.join(dirpath, f), "rb") as fh:
+                        h.update(f.encode() + fh.read())
+        _CODE_HASH = h.hexdigest()[:16]
+    return _CODE_HASH
+
+
+def _fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    h = hashlib.sha1()
+    for p in sorted(paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        for st in sorted(fs.listStatus(path), key=lambda s: s.getPath().toString()):
+            h.update(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()};".encode())
+    return h.hexdigest()[:16]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    return bool(p.getFileSystem(conf).exists(p))
+
+
+def stored(spark: SparkSession, name: str, inputs: Sequence[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """The stored table ``name`` built from ``inputs`` (files or folders)."""
+    key = hashlib.sha1(f"{name}|{code_version()}|{_fingerprint(spark, inputs)}".encode()).hexdigest()[:20]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cosecha-store/{name}-{key}"
+    if not _exists(spark, path):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

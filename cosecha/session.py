@@ -62,3 +62,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "table"):
+    """Compute ``df`` once and cut its lineage: written as a Parquet table in a
+    fresh folder under the shared ``spark.checkpoint.dir`` and read back
+    (never a machine-local folder; a lost executor only costs a re-read).
+
+    Used where one intermediate feeds several branches of a plan, so the
+    upstream scan/aggregate is not re-run per branch or per scalar subquery.
+    Unlike ``DataFrame.checkpoint()`` (which recomputes its input once more
+    to save it) this computes the plan a single time, and the read-back scan
+    gets column pruning, filter push-down and real size statistics."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
