@@ -41,10 +41,11 @@ SMALL_GROUP_DISTINCT = 1_000_000
 
 
 def linspace_fractions(q: int) -> list[float]:
-    """The fractions ``pandas.qcut(x, q)`` uses (``numpy.linspace``), bit for bit:
-    0.6 is 0.6000000000000001 there, and a decimal literal would bin ties
-    differently."""
-    return [float(x) for x in np.linspace(0, 1, q + 1)]
+    """The fractions ``pandas.qcut(x, q)`` ends up using, bit for bit: the
+    ``numpy.linspace`` points, passed to ``np.percentile`` as percentages and
+    divided by 100 again (2/3 becomes 0.6666666666666665). With exactly these
+    doubles the edges, and so the bins of tied data, equal pandas'."""
+    return [float(x) for x in (np.linspace(0, 1, q + 1) * 100) / 100]
 
 
 def _bucket_index(cuts: Column, v: Column, buckets: int) -> Column:
