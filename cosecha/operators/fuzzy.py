@@ -12,10 +12,12 @@ Plan
    explodes the range of right lengths that can still reach the cutoff
    (a lossless bound: ratio <= 2*min(la,lb)/(la+lb) for difflib, and
    1 - |la-lb|/max(la,lb) for Levenshtein). No cross join, no cap.
-3. When the distinct right side is below ``broadcast_rows`` (counted first) it
-   is broadcast and the left side keeps its partitioning, so pair scoring is
-   spread by left text. Above that, both sides are salted on the length key
-   so one popular length does not land in a single task.
+3. When the distinct right side is below ``broadcast_rows`` and
+   ``broadcast_bytes`` (measured first) it is broadcast and the left side
+   keeps its partitioning, so pair scoring is spread by left text. Above
+   that, the join is a shuffle on (length, salt): right texts get one of
+   ``salts`` salts by hash and left rows are replicated over the salts, so
+   the pairs of one popular length are split over ``salts`` tasks.
 4. Scoring: ``difflib.SequenceMatcher(None, right, left).ratio()`` in an Arrow
    UDF (with difflib's cheap upper bounds first), or Spark's native
    ``levenshtein`` with its early-exit threshold.
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
 DEFAULT_SALTS = 32
 
 
@@ -79,7 +82,8 @@ def _length_band(method: str, cutoff: float):
 
 def fuzzy_best_match(left: DataFrame, left_col: str, right: DataFrame, right_col: str, right_id: str,
                      cutoff: float = 0.5, method: str = "difflib", order: str | None = None,
-                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS, salts: int = DEFAULT_SALTS,
+                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                     salts: int = DEFAULT_SALTS,
                      how: str = "inner") -> DataFrame:
     """One row per distinct non-null left text with its best right match:
     ``left_col``, ``match_text``, ``right_id``, ``match_score`` (0-100).
@@ -96,8 +100,10 @@ def fuzzy_best_match(left: DataFrame, left_col: str, right: DataFrame, right_col
     lo, hi = _length_band(method, cutoff)
     Lx = L.select("_l", F.explode(F.sequence(F.greatest(lo, F.lit(0)), hi)).alias("_len"))
 
-    n_right = R.count()          # size check behind the broadcast decision (metadata-sized action)
-    if n_right <= broadcast_rows:
+    # size check behind the broadcast decision: rows and text bytes of the
+    # distinct right side (one small aggregate)
+    size = R.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("_r") + F.lit(16)).alias("b")).first()
+    if size["n"] <= broadcast_rows and (size["b"] or 0) <= broadcast_bytes:
         pairs = Lx.join(F.broadcast(R), "_len")
     else:
         Rs = R.withColumn("_salt", F.pmod(F.xxhash64("_r"), F.lit(salts)))

@@ -42,7 +42,8 @@ def price_stats(prices: DataFrame, product: str = "producto", price: str = "prec
 def price_products(prices: DataFrame, **kw) -> DataFrame:
     """ODEPA_AGREGADO: stats + normalised name + price quartile + volatility."""
     # one row per product, read by the quartile edges and by the binning pass
-    agg = materialize(price_stats(prices, **kw).withColumn("producto_normalizado", normalize_text("Producto")))
+    agg = materialize(price_stats(prices, **kw).withColumn("producto_normalizado", normalize_text("Producto")),
+                      "price-stats")
     agg = qcut(agg, "Precio_Promedio_CLP", PRICE_QUANTILES, labels=PRICE_LABELS, out="categoria_precio")
     return agg.withColumn("volatilidad_precio",
                           safe_div("Precio_Std_CLP", "Precio_Promedio_CLP") * F.lit(100))
@@ -70,12 +71,12 @@ def match_products(products: DataFrame, foods: DataFrame, cutoff: float = MATCH_
 def price_food(products: DataFrame, foods_integrated: DataFrame, **kw) -> DataFrame:
     """ODEPA_FDC_INTEGRADO: correspondences left-joined to the food table.
 
-    Both inputs feed two branches (the match and the join back), and the
-    result feeds every analysis, so each is materialised once in the shared
-    checkpoint folder (the tables the source pipeline stores and re-reads)."""
-    products = materialize(products)
-    foods_integrated = materialize(foods_integrated)
-    return materialize(join_left(match_products(products, foods_integrated, **kw), foods_integrated, "fdc_id"))
+    Both inputs feed two branches (the match and the join back), so each is
+    materialised once in the shared checkpoint folder; the result is lazy
+    (store it with ``plans.store.stored`` when several analyses read it)."""
+    products = materialize(products, "products")
+    foods_integrated = materialize(foods_integrated, "foods")
+    return join_left(match_products(products, foods_integrated, **kw), foods_integrated, "fdc_id")
 
 
 def match_quality(matches: DataFrame, good: float = GOOD_MATCH_SCORE) -> DataFrame:
