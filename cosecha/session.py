@@ -18,9 +18,34 @@ RUNTIME_CONF = {
 }
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (UDFs, the XPORT data
+    source) whatever the driver's working directory: zip it once per driver
+    process and ``addPyFile`` it, which also distributes it to executors."""
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="cosecha-pyfiles-"), "cosecha.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     for k, v in RUNTIME_CONF.items():
         spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 

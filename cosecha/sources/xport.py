@@ -244,6 +244,9 @@ class XportReader(DataSourceReader):
 
 
 class XportWriter(DataSourceArrowWriter):
+    """One transport file per task, streamed batch by batch (v5 files carry
+    no row count, so the header does not wait for the data)."""
+
     def __init__(self, options, schema: StructType):
         self.options = options
         self.schema = schema
@@ -252,17 +255,21 @@ class XportWriter(DataSourceArrowWriter):
         from pyspark import TaskContext
         ctx = TaskContext.get()
         widths = json.loads(self.options.get("charWidths", "{}"))
-        batches = list(iterator)
-        table = pa.Table.from_batches(batches, schema=batches[0].schema) if batches else None
+        enc = self.options.get("encoding", "utf-8")
         base = self.options["path"].rstrip("/")
         name = f"part-{ctx.partitionId():05d}.xpt"
         tmp = f"{base}/_tmp-{ctx.partitionId():05d}-{ctx.attemptNumber()}.xpt"
-        data = encode_table(table, self.schema, widths, self.options.get("member", "DATA"),
-                            self.options.get("encoding", "utf-8"))
         fs, p = _fs(tmp)
         fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
+        header, lengths = encode_header(self.schema, widths, self.options.get("member", "DATA"))
+        written = 0
         with fs.open_output_stream(p) as out:
-            out.write(data)
+            out.write(header)
+            for batch in iterator:
+                body = encode_records(batch, self.schema, lengths, enc)
+                out.write(body)
+                written += len(body)
+            out.write(b" " * ((-written) % CARD))
         fs.move(p, p.rsplit("/", 1)[0] + "/" + name)
         return WriterCommitMessage()
 
@@ -300,7 +307,9 @@ def _card(b: bytes) -> bytes:
     return b.ljust(CARD, b" ")[:CARD]
 
 
-def encode_table(table, schema: StructType, widths: dict, member: str, encoding: str) -> bytes:
+def encode_header(schema: StructType, widths: dict, member: str):
+    """Library, member, descriptor and NAMESTR records up to the OBS header;
+    returns (bytes, field lengths)."""
     stamp = b"01JAN00:00:00:00"
     out = [LIB_HEADER,
            _card(b"SAS     SAS     SASLIB  9.4     cosecha " + b" " * 24 + stamp),
@@ -311,8 +320,7 @@ def encode_table(table, schema: StructType, widths: dict, member: str, encoding:
     fields = schema.fields
     out.append(_card(b"HEADER RECORD*******NAMESTR HEADER RECORD!!!!!!!000000"
                      + f"{len(fields):04d}".encode() + b"00000000000000000000  "))
-    pos, names = 0, []
-    lengths = []
+    pos, names, lengths = 0, [], []
     for i, f in enumerate(fields):
         if len(f.name) > 8:
             raise ValueError(f"XPORT v5 names are at most 8 characters: {f.name}")
@@ -325,13 +333,17 @@ def encode_table(table, schema: StructType, widths: dict, member: str, encoding:
     blob = b"".join(names)
     out.append(blob + b" " * ((-len(blob)) % CARD))
     out.append(OBS_HEADER)
-    head = b"".join(out)
-    n = table.num_rows if table is not None else 0
-    rec = np.full((n, pos), ord(" "), dtype=np.uint8)
+    return b"".join(out), lengths
+
+
+def encode_records(batch, schema: StructType, lengths: list, encoding: str) -> bytes:
+    """One Arrow batch -> fixed-width records (numpy, column by column)."""
+    n = batch.num_rows
+    rec = np.full((n, sum(lengths)), ord(" "), dtype=np.uint8)
     off = 0
-    for f, length in zip(fields, lengths):
+    for i, (f, length) in enumerate(zip(schema.fields, lengths)):
         if n:
-            col = table.column(f.name)
+            col = batch.column(i)
             if isinstance(f.dataType, StringType):
                 vals = [("" if v is None else v).encode(encoding)[:length].ljust(length) for v in col.to_pylist()]
                 rec[:, off: off + length] = np.frombuffer(b"".join(vals), dtype=np.uint8).reshape(n, length)
@@ -339,8 +351,7 @@ def encode_table(table, schema: StructType, widths: dict, member: str, encoding:
                 x = col.cast(pa.float64()).to_numpy(zero_copy_only=False)
                 rec[:, off: off + length] = double_to_ibm(np.asarray(x, dtype=np.float64), length)
         off += length
-    body = rec.tobytes()
-    return head + body + b" " * ((-len(body)) % CARD)
+    return rec.tobytes()
 
 
 def write_xport(df, path: str, member: str = "DATA") -> str:
