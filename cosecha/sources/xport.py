@@ -181,6 +181,22 @@ def double_to_ibm(x: np.ndarray, length: int = 8) -> np.ndarray:
     return out[:, :length]
 
 
+def _decode_chars(cell: np.ndarray, length: int, encoding: str) -> pa.Array:
+    """(n, length) blank-padded bytes -> right-trimmed strings, vectorised in
+    Arrow (fixed-size binary -> utf8 -> rtrim); other encodings or invalid
+    UTF-8 fall back to Python decoding with replacement characters."""
+    import pyarrow.compute as pc
+    n = cell.shape[0]
+    if encoding.lower().replace("-", "") in ("utf8", "ascii"):
+        fsb = pa.FixedSizeBinaryArray.from_buffers(pa.binary(length), n, [None, pa.py_buffer(cell.tobytes())])
+        try:
+            return pc.utf8_rtrim(fsb.cast(pa.binary()).cast(pa.string()), characters=" ")
+        except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+            pass
+    s = np.char.rstrip(cell.view(f"S{length}").reshape(n), b" ")
+    return pa.array([b.decode(encoding, errors="replace") for b in s.tolist()], type=pa.string())
+
+
 def decode_records(buf: bytes, layout: Layout, wanted: list, encoding: str) -> pa.RecordBatch:
     reclen = layout.record_length
     n = len(buf) // reclen
@@ -192,9 +208,7 @@ def decode_records(buf: bytes, layout: Layout, wanted: list, encoding: str) -> p
             vals, miss = ibm_to_double(cell)
             arrays.append(pa.array(vals, type=pa.float64(), mask=miss))
         else:
-            s = np.ascontiguousarray(cell).view(f"S{v.length}").reshape(n)
-            s = np.char.rstrip(s, b" ")
-            arrays.append(pa.array([b.decode(encoding, errors="replace") for b in s.tolist()], type=pa.string()))
+            arrays.append(_decode_chars(np.ascontiguousarray(cell), v.length, encoding))
         names.append(out_name)
     return pa.RecordBatch.from_arrays(arrays, names=names)
 

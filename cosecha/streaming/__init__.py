@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The analysed pipeline is one-shot batch work: no watermark, window, state or
+incremental source appears anywhere in it, so there is nothing to express
+with Structured Streaming. New source files are picked up by re-running the
+ingest job (``cosecha.sources.files.ingest``) with replace semantics."""
