@@ -13,8 +13,10 @@ Plan
    (a lossless bound: ratio <= 2*min(la,lb)/(la+lb) for difflib, and
    1 - |la-lb|/max(la,lb) for Levenshtein). No cross join, no cap.
 3. When the distinct right side is below ``broadcast_rows`` and
-   ``broadcast_bytes`` (measured first) it is broadcast and the left side
-   keeps its partitioning, so pair scoring is spread by left text. Above
+   ``broadcast_bytes`` (measured first) it is broadcast; when the pair count
+   can reach ``spread_pairs`` the exploded (left text, length) rows are
+   repartitioned to the cluster's parallelism, so pair scoring is spread
+   over all cores. Above
    that, the join is a shuffle on (length, salt): right texts get one of
    ``salts`` salts by hash and left rows are replicated over the salts, so
    the pairs of one popular length are split over ``salts`` tasks.
@@ -38,6 +40,7 @@ from pyspark.sql import types as T
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 256 << 20
 DEFAULT_SALTS = 32
+DEFAULT_SPREAD_PAIRS = 1_000_000
 
 
 @F.pandas_udf(T.DoubleType())
@@ -63,6 +66,11 @@ def difflib_ratio(right: pd.Series, left: pd.Series, cutoff: pd.Series) -> pd.Se
     return pd.Series(out, dtype="float64")
 
 
+def _parallelism(df: DataFrame) -> int:
+    sc = df.sparkSession.sparkContext
+    return max(sc.defaultParallelism * 2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
 def _length_band(method: str, cutoff: float):
     """Right lengths that can reach ``cutoff`` for a left text of length L."""
     L = F.length("_l")
@@ -83,7 +91,7 @@ def _length_band(method: str, cutoff: float):
 def fuzzy_best_match(left: DataFrame, left_col: str, right: DataFrame, right_col: str, right_id: str,
                      cutoff: float = 0.5, method: str = "difflib", order: str | None = None,
                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                     salts: int = DEFAULT_SALTS,
+                     salts: int = DEFAULT_SALTS, spread_pairs: int = DEFAULT_SPREAD_PAIRS,
                      how: str = "inner") -> DataFrame:
     """One row per distinct non-null left text with its best right match:
     ``left_col``, ``match_text``, ``right_id``, ``match_score`` (0-100).
@@ -100,10 +108,21 @@ def fuzzy_best_match(left: DataFrame, left_col: str, right: DataFrame, right_col
     lo, hi = _length_band(method, cutoff)
     Lx = L.select("_l", F.explode(F.sequence(F.greatest(lo, F.lit(0)), hi)).alias("_len"))
 
-    # size check behind the broadcast decision: rows and text bytes of the
-    # distinct right side (one small aggregate)
-    size = R.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("_r") + F.lit(16)).alias("b")).first()
-    if size["n"] <= broadcast_rows and (size["b"] or 0) <= broadcast_bytes:
+    # size checks (one small job): rows of both distinct sides, text bytes of
+    # the right side
+    sizes = {r["side"]: r for r in
+             L.select(F.lit("L").alias("side"), F.lit(0).alias("_b"))
+              .unionByName(R.select(F.lit("R").alias("side"), (F.octet_length("_r") + F.lit(16)).alias("_b")))
+              .groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("_b").alias("b")).collect()}
+    n_left = sizes["L"]["n"] if "L" in sizes else 0
+    n_right = sizes["R"]["n"] if "R" in sizes else 0
+    r_bytes = (sizes["R"]["b"] or 0) if "R" in sizes else 0
+    if n_right <= broadcast_rows and r_bytes <= broadcast_bytes:
+        if n_left * n_right >= spread_pairs:
+            # the left side is small after distinct and AQE would coalesce it
+            # into a few partitions; an explicit count (not coalesced) spreads
+            # the pair scoring over every core
+            Lx = Lx.repartition(_parallelism(left), "_l", "_len")
         pairs = Lx.join(F.broadcast(R), "_len")
     else:
         Rs = R.withColumn("_salt", F.pmod(F.xxhash64("_r"), F.lit(salts)))

@@ -89,3 +89,12 @@ def test_whatif_delta_is_slope_times_mean_shift(spark):
     delta = whatif_delta(df, "x", "y", 1.2).first()["delta"]
     assert delta == pytest.approx(slope * 0.2 * x.mean(), rel=1e-9)
     assert slope == pytest.approx(np.polyfit(x, y, 1)[0], rel=1e-9)
+
+
+def test_fuzzy_spread_path_equals_default(spark, sf0001):
+    prods = A.fuzzy_products(spark, sf0001).select(normalize_text("producto").alias("p"))
+    foods = A.food(spark, sf0001).select("fdc_id", F.lower("description").alias("d"))
+    a = {tuple(r) for r in fuzzy_best_match(prods, "p", foods, "d", "fdc_id", method="levenshtein").collect()}
+    b = {tuple(r) for r in fuzzy_best_match(prods, "p", foods, "d", "fdc_id", method="levenshtein",
+                                            spread_pairs=0).collect()}
+    assert a == b
