@@ -69,23 +69,18 @@ def pivot_first(df: DataFrame, index: str, columns: str, values: str,
     disappears, as in pandas); one output column per listed value, in list
     order, NULL-filled when a value never occurs.
 
-    "First" is the smallest ``order`` key (a unique, explicit order). With a
-    single order column the pivot is one hash aggregate with a conditional
-    ``min_by`` per value. A composite key would force ``min_by`` onto a
-    struct buffer, which Spark can only run as a sort aggregate; instead the
-    trailing key columns are reduced first (``min_by`` on one column per
-    level, all hash aggregates), leaving one row per leading key."""
+    One grouped aggregate with a conditional ``min_by`` per listed value, so
+    the plan has a single exchange and partial (map-side) aggregation: at most
+    one row per index value and map task crosses the network (Spark's own
+    two-phase pivot would shuffle twice). "First" is the smallest ``order``
+    key; with one order column the aggregate is hash based, with a composite
+    key ``min_by`` keeps a struct and Spark runs the same single-exchange plan
+    as a sort-based aggregate (a level-by-level hash reduction would instead
+    shuffle every input row, since its first grouping key is near-unique)."""
     names = names or {}
     order = list(order or [values])
+    key = order_key(order)
     src = df.where(F.col(values).isNotNull() & F.col(columns).isin(list(pivot_values)))
-    *lead, last = order
-    if lead:
-        src = src.groupBy(index, columns, *lead).agg(F.min_by(values, last).alias(values))
-        for i in range(len(lead) - 1, 0, -1):
-            src = src.groupBy(index, columns, *lead[:i]).agg(F.min_by(values, lead[i]).alias(values))
-        key = F.col(lead[0])
-    else:
-        key = F.col(last)
     aggs = []
     for v in pivot_values:
         hit = F.col(columns) == F.lit(v)

@@ -29,9 +29,18 @@ def test_python_only_in_fuzzy_scorer(spark, sf0001, qs):
     assert "ArrowEvalPython" in plan(qs["fuzzy_best_match"](spark, sf0001))
 
 
-def test_pivot_is_hash_aggregated_single_listed_values(spark, sf0001, qs):
+def test_pivot_has_one_exchange_and_partial_aggregation(spark, sf0001, qs):
     p = plan(qs["nutrient_pivot"](spark, sf0001))
-    assert "SortAggregate" not in p and "pivotfirst" not in p.lower()
+    assert "pivotfirst" not in p.lower()
+    assert p.count("Exchange hashpartitioning") == 1
+    assert "partial_min_by" in p
+
+
+def test_single_column_order_pivot_is_hash_aggregated(spark):
+    from cosecha.operators.aggregate import pivot_first
+    df = spark.createDataFrame([(1, 10, 1.0, 3)], "i long, c int, v double, o long")
+    p = plan(pivot_first(df, "i", "c", "v", [10], {10: "a"}, ["o"]))
+    assert "SortAggregate" not in p and "HashAggregate" in p
 
 
 def _scan_lines(df):
