@@ -31,6 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cosecha.operators.relational import join_small
 from cosecha.session import materialize
 
 DEFAULT_BUCKETS = 1024
@@ -122,7 +123,7 @@ def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: S
     stats = materialize(stats, "quantile-cuts")     # one row per group
 
     if by:
-        bucketed = counts.join(stats, by)
+        bucketed = join_small(counts, stats, by)
     else:
         s = stats.select(F.struct("_n", "_b", "_r").alias("s")).scalar()
         bucketed = counts.select("_v", "_c", s["_n"].alias("_n"), s["_b"].alias("_b"),
@@ -137,7 +138,9 @@ def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: S
                   .where(F.size("_rb") > 0)
                   .select(*by, "_k", "_start", "_rb"))
 
-    rows = bucketed.select(*by, "_k", "_v", "_c", "_n").join(per_bucket, by + ["_k"])
+    # at most 2(k+1) needed buckets per group: broadcast, so only their rows
+    # are shuffled into the window below
+    rows = join_small(bucketed.select(*by, "_k", "_v", "_c", "_n"), per_bucket, by + ["_k"])
     wv = Window.partitionBy(*by, "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = (rows.withColumn("_hi", F.col("_start") + F.sum("_c").over(wv))
                 .withColumn("_lo", F.col("_hi") - F.col("_c")))
@@ -190,7 +193,7 @@ def qcut(df: DataFrame, value: str, q: int, labels: Sequence[str] | None = None,
     an equi-join on the group key (one row per group)."""
     edges = edges if edges is not None else qcut_edges(df, value, q, by, **kw)
     if by:
-        with_e = df.join(edges, list(by), "left")
+        with_e = join_small(df, edges, list(by), "left")
     else:
         with_e = df.withColumn("_e", edges.select("_e").scalar())
     b = bin_of(F.col(value).cast("double"), F.col("_e"))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cosecha.operators.quantile import exact_quantiles
+from cosecha.operators.relational import join_small
 
 
 def _complete(df: DataFrame, *cols: str) -> DataFrame:
@@ -163,7 +164,7 @@ def box_stats(df: DataFrame, group: str, value: str, whis: float = 1.5) -> DataF
     lo = F.col("q1") - F.lit(whis) * F.col("iqr")
     hi = F.col("q3") + F.lit(whis) * F.col("iqr")
     v = F.col(value)
-    j = d.select(group, value).join(q, group)
+    j = join_small(d.select(group, value), q, group)
     return (j.groupBy(group, "q1", "median", "q3", "iqr")
              .agg(F.count(F.lit(1)).alias("n"),
                   F.min(F.when(v >= lo, v)).alias("whisker_low"),
@@ -191,7 +192,7 @@ def density_by_group(df: DataFrame, group: str, value: str, grid: int = 100, cut
     stats = stats.withColumn("h", F.col("_sd") * fac).where(F.col("h") > 0)
     stats = (stats.withColumn("_lo", F.col("_mn") - F.lit(cut) * F.col("h"))
                   .withColumn("_step", (F.col("_mx") + F.lit(cut) * F.col("h") - F.col("_lo")) / F.lit(grid - 1)))
-    j = pts.join(stats.select(group, "n", "h", "_lo", "_step"), group)
+    j = join_small(pts, stats.select(group, "n", "h", "_lo", "_step"), group)
     j = j.select(group, value, "_c", "n", "h", "_lo", "_step",
                  F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
     x = F.col("_lo") + F.col("i") * F.col("_step")
