@@ -132,9 +132,13 @@ def q_join_inner(spark, d):
     return rel.join_inner(base, _pivot(spark, d), "fdc_id")
 
 
+# foods with their fibre and sugar values; foods with neither measured keep NULLs
+FIBRE_SUGAR = {1079: "Fibra", 2000: "Azucares_Totales"}
+
+
 def q_join_left(spark, d):
     base = A.food(spark, d).select("fdc_id", "description", "food_category_id")
-    right = _pivot(spark, d).where(F.col("fdc_id") % 5 != 0)
+    right = fd.nutrient_pivot(A.food_nutrient(spark, d), nutrients=FIBRE_SUGAR)
     return rel.join_left(base, right, "fdc_id")
 
 

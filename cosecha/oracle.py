@@ -197,10 +197,13 @@ ORACLE: dict[str, str] = {
     "join_inner": _with(V("food"), V("food_nutrient"), PIVOT,
                         body="SELECT f.fdc_id, f.description, f.food_category_id, p.* EXCLUDE (fdc_id) "
                              "FROM food f JOIN piv p ON f.fdc_id = p.fdc_id"),
-    "join_left": _with(V("food"), V("food_nutrient"), PIVOT,
-                       body="SELECT f.fdc_id, f.description, f.food_category_id, p.* EXCLUDE (fdc_id) "
-                            "FROM food f LEFT JOIN (SELECT * FROM piv WHERE fdc_id % 5 <> 0) p "
-                            "ON f.fdc_id = p.fdc_id"),
+    "join_left": _with(V("food"), V("food_nutrient"), ("fs", """
+        SELECT fdc_id,
+               arg_min(amount, (ord1, ord2)) FILTER (WHERE nutrient_id = 1079) AS Fibra,
+               arg_min(amount, (ord1, ord2)) FILTER (WHERE nutrient_id = 2000) AS Azucares_Totales
+        FROM food_nutrient WHERE amount IS NOT NULL AND nutrient_id IN (1079, 2000) GROUP BY fdc_id"""),
+                       body="SELECT f.fdc_id, f.description, f.food_category_id, p.Fibra, p.Azucares_Totales "
+                            "FROM food f LEFT JOIN fs p ON f.fdc_id = p.fdc_id"),
     "nutrient_pivot": _with(V("food_nutrient"), PIVOT, body="SELECT * FROM piv"),
     "derived_nutrients": _with(V("food_nutrient"), PIVOT, DERIVED, body="SELECT * FROM derived"),
     "classify_food": _with(V("food_nutrient"), PIVOT, DERIVED, CLASSIFIED,
