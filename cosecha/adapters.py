@@ -134,11 +134,3 @@ def fuzzy_products(spark, sf_dir):
 def duckdb_view(name: str) -> str:
     """The same view text with DuckDB's pre-registered table names."""
     return VIEWS[name].format(**{t: t for t in BASE_TABLES}).strip()
-
-
-def with_views(sql: str, *names: str) -> str:
-    """Prefix an oracle query with the adapter views it uses, as CTEs."""
-    if not names:
-        return sql.strip()
-    ctes = ",\n".join(f"{n} AS (\n{duckdb_view(n)}\n)" for n in names)
-    return f"WITH {ctes}\n{sql.strip()}"

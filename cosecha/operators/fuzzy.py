@@ -30,7 +30,6 @@ Plan
 from __future__ import annotations
 
 import difflib
-import math
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -150,15 +149,3 @@ def fuzzy_best_match(left: DataFrame, left_col: str, right: DataFrame, right_col
     if how == "left":
         best = L.withColumnRenamed("_l", left_col).join(best, left_col, "left")
     return best
-
-
-def close_matches_reference(word: str, possibilities, cutoff: float = 0.5):
-    """Plain ``difflib.get_close_matches(word, possibilities, n=1, cutoff)``
-    (used by the tests as the brute-force truth)."""
-    m = difflib.get_close_matches(word, possibilities, n=1, cutoff=cutoff)
-    return m[0] if m else None
-
-
-def length_bound_ok(la: int, lb: int, cutoff: float) -> bool:
-    """The lossless length bound, in plain Python (tests)."""
-    return la + lb > 0 and 2.0 * min(la, lb) / (la + lb) >= cutoff - 1e-12 or math.isclose(cutoff, 0)

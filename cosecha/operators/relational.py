@@ -14,7 +14,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cosecha._util import col, resolve_existing
+from cosecha._util import resolve_existing
 
 
 def _case_sensitive(df: DataFrame) -> bool:

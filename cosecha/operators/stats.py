@@ -10,9 +10,7 @@ numbers) runs in Python, as an Arrow UDF over the one-row summary."""
 from __future__ import annotations
 
 import math
-from typing import Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F

@@ -15,7 +15,6 @@ from cosecha.adapters import duckdb_view
 from cosecha.plans import analysis as an
 from cosecha.plans import food as fd
 from cosecha.plans import prices as pr
-from cosecha.plans import surveys as sv
 
 
 def _q(s: str) -> str:

@@ -15,9 +15,9 @@ from cosecha.functions.recode import recode_replace
 from cosecha.functions.text import space_to_underscore
 from cosecha.operators.aggregate import share_case
 from cosecha.operators.quantile import bin_labels, qcut, qcut_edges
-from cosecha.operators.relational import filter_not_null, order_desc, top_k, with_flag
+from cosecha.operators.relational import filter_not_null, order_desc, with_flag
 from cosecha.operators.stats import (box_stats, density_by_group, ols_fit, pearson, whatif_delta,
-                                     whatif_predict, welch_ttest, welch_summary)
+                                     whatif_predict, welch_ttest)
 from cosecha.operators.survey import conditional_counts
 
 # ---- fixed values (must equal the analysed pipeline's) -------------------

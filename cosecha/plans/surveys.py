@@ -4,7 +4,6 @@ RESUMEN_COMPARATIVO_*, DATOS_ANALISIS_FINAL)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cosecha.functions.recode import recode_map
 from cosecha.operators.relational import (column_or_null, has_columns, select_existing, union_by_name,

@@ -4,7 +4,6 @@ row side is never shuffled on the hot key for a join."""
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from cosecha.operators.quantile import exact_quantiles
 from cosecha.operators.stats import box_stats, density_by_group

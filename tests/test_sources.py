@@ -1,11 +1,9 @@
 """Round trips for the sources and sinks."""
 
-import os
 import tempfile
 
 import numpy as np
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from cosecha import adapters as A
