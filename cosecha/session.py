@@ -25,8 +25,11 @@ def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers (UDFs, the XPORT data
     source) whatever the driver's working directory: zip it once per driver
     process and ``addPyFile`` it, which also distributes it to executors."""
-    sc = spark.sparkContext
-    key = id(sc._jsc)
+    try:
+        sc = spark.sparkContext
+        key = id(sc._jsc)
+    except Exception:  # noqa: BLE001 - no driver-side context (e.g. Spark Connect)
+        return
     if key in _SHIPPED:
         return
     import zipfile
@@ -78,8 +81,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="cosecha-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001 - no driver-side context (e.g. Spark Connect)
+        pass
     return d
 
 
