@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,5 +59,14 @@ def stored(spark: SparkSession, name: str, inputs: Sequence[str], build: Callabl
     key = hashlib.sha1(f"{name}|{code_version()}|{_fingerprint(spark, inputs)}".encode()).hexdigest()[:20]
     path = f"{checkpoint_dir(spark).rstrip('/')}/cosecha-store/{name}-{key}"
     if not _exists(spark, path):
-        build().write.mode("overwrite").parquet(path)
+        # write aside, then rename into place: concurrent builders never see a
+        # half-written table, and the loser of the race reads the winner's
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+        build().write.mode("overwrite").parquet(tmp)
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        src, dst = jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(path)
+        fs = dst.getFileSystem(conf)
+        if not fs.exists(dst) and not fs.rename(src, dst) and not _exists(spark, path):
+            raise RuntimeError(f"could not store {name} at {path}")
     return spark.read.parquet(path)
