@@ -105,8 +105,11 @@ def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: S
     # computed once: every later step (sizes, cut points, buckets, ranks) reads it
     counts = materialize(base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")), "quantile-counts")
 
-    # size check: the largest number of distinct values in one group
-    widest = counts.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    # size check: the largest number of distinct values in one group (the
+    # total row count bounds it, and is all there is without groups)
+    widest = counts.count()
+    if by and widest > small_group:
+        widest = counts.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
     if widest <= small_group:
         w = Window.partitionBy(*by).orderBy("_v")
         rows = (counts.withColumn("_hi", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
