@@ -365,6 +365,15 @@ def q_flow_final_analysis(spark, d):
     return sv.final_analysis(A.survey_a(spark, d))
 
 
+def q_flow_integration(spark, d):
+    """The integration run: all integrated tables written to a fresh store
+    (replace, clustered on their index columns), reported by inventory."""
+    from cosecha.plans.integration import integrate
+    from cosecha.session import scratch_path
+    return integrate(spark, A.food(spark, d), A.food_nutrient(spark, d), A.prices(spark, d),
+                     A.survey_a(spark, d), A.survey_b(spark, d), scratch_path(spark, "integration"))
+
+
 def _source_queries():
     try:
         from cosecha.sources import fixtures as fx
@@ -440,6 +449,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "flow_price_products": q_flow_price_products,
         "flow_price_food": q_flow_price_food,
         "flow_final_analysis": q_flow_final_analysis,
+        "flow_integration": q_flow_integration,
     }
     qs.update(_source_queries())
 

@@ -366,6 +366,19 @@ ORACLE: dict[str, str] = {
 
 ORACLE["top_k_states"] = ORACLE["state_profile"] + f" LIMIT {an.TOP_STATES}"
 
+ORACLE["flow_integration"] = _with(V("survey_a"), V("survey_b"), *INTEGRATED_CHAIN, body="""
+    SELECT 'FDC_NUTRIENTES_INTEGRADO' AS table_name, 'ok' AS status, count(*) AS n_rows FROM food_integrated
+    UNION ALL SELECT 'ODEPA_AGREGADO', 'ok', count(*) FROM products
+    UNION ALL SELECT 'ODEPA_FDC_INTEGRADO', 'ok', count(*) FROM integrated
+    UNION ALL SELECT 'COMPARACION_DIABETES_EDAD', 'ok',
+        (SELECT count(DISTINCT edad_grupo_brfss) FROM survey_a) + (SELECT count(DISTINCT age_g) FROM survey_b)
+    UNION ALL SELECT 'COMPARACION_DIABETES_IMC', 'ok',
+        (SELECT count(DISTINCT categoria_imc) FROM survey_a) + (SELECT count(DISTINCT categoria_imc) FROM survey_b)
+    UNION ALL SELECT 'NHANES_DIABETES_FIBRA', 'ok', count(DISTINCT categoria_fibra) FROM survey_a
+    UNION ALL SELECT 'NHANES_DIABETES_AZUCAR', 'ok', count(DISTINCT categoria_azucar) FROM survey_a
+    UNION ALL SELECT 'RESUMEN_COMPARATIVO_NHANES_BRFSS', 'ok', CAST(2 AS BIGINT)
+    UNION ALL SELECT 'DATOS_ANALISIS_FINAL', 'ok', count(*) FROM survey_a""")
+
 
 def _sources():
     from cosecha.sources.fixtures import ORACLE_SOURCES

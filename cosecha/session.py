@@ -105,7 +105,24 @@ def materialize(df, name: str = "table"):
     Unlike ``DataFrame.checkpoint()`` (which recomputes its input once more
     to save it) this computes the plan a single time, and the read-back scan
     gets column pruning, filter push-down and real size statistics."""
+    if is_plain_scan(df):
+        return df
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_CHEAP_NODES = {"Project", "Filter", "Relation"}
+
+
+def is_plain_scan(df) -> bool:
+    """True when the optimised plan only projects/filters a file relation
+    (re-reading it is as cheap as reading a copy)."""
+    import re
+    try:
+        txt = df._jdf.queryExecution().optimizedPlan().toString()
+    except Exception:  # noqa: BLE001
+        return False
+    nodes = re.findall(r"^(?:[\s:|+-]*)([A-Z][A-Za-z]*)", txt, flags=re.M)
+    return bool(nodes) and set(nodes) <= _CHEAP_NODES
