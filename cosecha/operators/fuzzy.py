@@ -19,7 +19,9 @@ Plan
    over all cores. Above
    that, the join is a shuffle on (length, salt): right texts get one of
    ``salts`` salts by hash and left rows are replicated over the salts, so
-   the pairs of one popular length are split over ``salts`` tasks.
+   the pairs of one popular length are split over ``salts`` tasks. By
+   default the salt count is sized from the most popular right-side length
+   (one salt per ``RIGHT_PER_SALT`` texts of that length).
 4. Scoring: ``difflib.SequenceMatcher(None, right, left).ratio()`` in an Arrow
    UDF (with difflib's cheap upper bounds first), or Spark's native
    ``levenshtein`` with its early-exit threshold.
@@ -38,7 +40,9 @@ from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 256 << 20
-DEFAULT_SALTS = 32
+# right texts of one length handled by one (length, salt) task in the salted path
+RIGHT_PER_SALT = 20_000
+MAX_SALTS = 1024
 # about 30 us of difflib per pair: beyond ~1.5 s of single-core scoring, spread it
 DEFAULT_SPREAD_PAIRS = 50_000
 
@@ -91,7 +95,7 @@ def _length_band(method: str, cutoff: float):
 def fuzzy_best_match(left: DataFrame, left_col: str, right: DataFrame, right_col: str, right_id: str,
                      cutoff: float = 0.5, method: str = "difflib", order: str | None = None,
                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                     salts: int = DEFAULT_SALTS, spread_pairs: int = DEFAULT_SPREAD_PAIRS,
+                     salts: int | None = None, spread_pairs: int = DEFAULT_SPREAD_PAIRS,
                      how: str = "inner") -> DataFrame:
     """One row per distinct non-null left text with its best right match:
     ``left_col``, ``match_text``, ``right_id``, ``match_score`` (0-100).
@@ -125,6 +129,10 @@ def fuzzy_best_match(left: DataFrame, left_col: str, right: DataFrame, right_col
             Lx = Lx.repartition(_parallelism(left), "_l", "_len")
         pairs = Lx.join(F.broadcast(R), "_len")
     else:
+        if salts is None:
+            # sized from the most popular right-side length (one small aggregate)
+            widest = R.groupBy("_len").count().agg(F.max("count")).first()[0] or 0
+            salts = int(min(MAX_SALTS, max(1, -(-widest // RIGHT_PER_SALT))))
         Rs = R.withColumn("_salt", F.pmod(F.xxhash64("_r"), F.lit(salts)))
         Ls = Lx.select("_l", "_len", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
         pairs = Ls.join(Rs, ["_len", "_salt"]).drop("_salt")
