@@ -88,42 +88,26 @@ def _pick(rows: DataFrame, by: list) -> DataFrame:
                                  F.max("_n").alias("_n"))
 
 
-def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: Sequence[str] = (),
-                    out: str = "quantiles", buckets: int = DEFAULT_BUCKETS,
-                    accuracy: int = DEFAULT_ACCURACY, small_group: int = SMALL_GROUP_DISTINCT) -> DataFrame:
-    """One row per group (one row in total without ``by``): ``by`` columns,
-    ``n`` (non-null values) and ``out`` = array of quantiles in ``fractions``
-    order. NULL values and NULL group keys are ignored (pandas)."""
-    by = list(by)
-    fr = [float(p) for p in fractions]
-    v = F.col(value).cast("double")
-    base = df.select(*[F.col(c) for c in by], v.alias("_v"))
-    base = base.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    for c in by:
-        base = base.where(F.col(c).isNotNull())
-
-    # computed once: every later step (sizes, cut points, buckets, ranks) reads it
-    counts = materialize(base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")), "quantile-counts")
+def _by_window(counts: DataFrame, by: list, fr: Sequence[float], out: str) -> DataFrame:
+    """Groups known to be small: one window per group ranks its values."""
+    w = Window.partitionBy(*by).orderBy("_v")
+    rows = (counts.withColumn("_hi", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+                  .withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
+                  .withColumn("_lo", F.col("_hi") - F.col("_c"))
+                  .withColumn("_rb", _wanted_ranks(F.col("_n"), fr)))
+    return _interpolate(_pick(rows, by), by, fr, out)
 
-    # size check: the largest number of distinct values in one group (the
-    # total row count bounds it, and is all there is without groups)
-    widest = counts.count()
-    if by and widest > small_group:
-        widest = counts.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    if widest <= small_group:
-        w = Window.partitionBy(*by).orderBy("_v")
-        rows = (counts.withColumn("_hi", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-                      .withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
-                      .withColumn("_lo", F.col("_hi") - F.col("_c"))
-                      .withColumn("_rb", _wanted_ranks(F.col("_n"), fr)))
-        return _interpolate(_pick(rows, by), by, fr, out)
 
+def _by_buckets(counts: DataFrame, by: list, fr: Sequence[float], out: str,
+                buckets: int, accuracy: int) -> DataFrame:
+    """Wide groups: cut points, bucket offsets, windows inside the needed
+    buckets only."""
     probes = [i / buckets for i in range(1, buckets)]
     stats = (counts.groupBy(*by)
              .agg(F.sum("_c").alias("_n"),
                   F.array_distinct(F.approx_percentile("_v", probes, accuracy)).alias("_b"))
              .withColumn("_r", _wanted_ranks(F.col("_n"), fr)))
-    stats = materialize(stats, "quantile-cuts")     # one row per group
+    stats = materialize(stats, "quantile-cuts")     # one row per wide group
 
     if by:
         bucketed = join_small(counts, stats, by)
@@ -150,6 +134,45 @@ def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: S
     return _interpolate(_pick(rows, by), by, fr, out)
 
 
+def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: Sequence[str] = (),
+                    out: str = "quantiles", buckets: int = DEFAULT_BUCKETS,
+                    accuracy: int = DEFAULT_ACCURACY, small_group: int = SMALL_GROUP_DISTINCT) -> DataFrame:
+    """One row per group (one row in total without ``by``): ``by`` columns,
+    ``n`` (non-null values) and ``out`` = array of quantiles in ``fractions``
+    order. NULL values and NULL group keys are ignored (pandas).
+
+    Groups with at most ``small_group`` distinct values are ranked by one
+    window each; wider groups are bucketed. Only the wide groups get cut
+    points, and there are at most ``distinct values / small_group`` of them."""
+    by = list(by)
+    fr = [float(p) for p in fractions]
+    v = F.col(value).cast("double")
+    base = df.select(*[F.col(c) for c in by], v.alias("_v"))
+    base = base.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    for c in by:
+        base = base.where(F.col(c).isNotNull())
+
+    # computed once: every later step (sizes, cut points, buckets, ranks) reads it
+    counts = materialize(base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")), "quantile-counts")
+
+    # size check: the total number of distinct values bounds every group
+    total = counts.count()
+    if total <= small_group:
+        return _by_window(counts, by, fr, out)
+    if not by:
+        return _by_buckets(counts, by, fr, out, buckets, accuracy)
+
+    # per group: wide groups are few (each holds more than small_group values)
+    sizes = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("_nd"))
+    wide = materialize(sizes.where(F.col("_nd") > F.lit(small_group)).select(*by), "quantile-wide")
+    if wide.count() == 0:
+        return _by_window(counts, by, fr, out)
+    narrow_counts = counts.join(F.broadcast(wide), by, "left_anti")
+    wide_counts = counts.join(F.broadcast(wide), by, "left_semi")
+    return (_by_window(narrow_counts, by, fr, out)
+            .unionByName(_by_buckets(wide_counts, by, fr, out, buckets, accuracy)))
+
+
 def quantile_edges(df: DataFrame, value: str, q: int, by: Sequence[str] = (),
                    out: str = "edges", **kw) -> DataFrame:
     """A13 ``qcut(..., retbins=True, duplicates='drop')`` edges: the linspace

@@ -99,3 +99,17 @@ def test_fuzzy_spread_path_equals_default(spark, sf0001):
     b = {tuple(r) for r in fuzzy_best_match(prods, "p", foods, "d", "fdc_id", method="levenshtein",
                                             spread_pairs=0).collect()}
     assert a == b
+
+
+def test_mixed_small_and_wide_groups(spark):
+    rng = np.random.default_rng(13)
+    wide = pd.DataFrame({"g": "wide", "v": np.round(rng.normal(0, 50, 4000), 2)})
+    small = pd.DataFrame({"g": rng.choice(["a", "b", "c"], 300), "v": rng.integers(0, 15, 300).astype(float)})
+    pdf = pd.concat([wide, small], ignore_index=True)
+    df = spark.createDataFrame(pdf)
+    fr = linspace_fractions(5)
+    got = {r["g"]: list(r["quantiles"]) for r in
+           exact_quantiles(df, "v", fr, by=["g"], buckets=16, small_group=100).collect()}
+    assert set(got) == {"wide", "a", "b", "c"}
+    for g, vals in got.items():
+        assert vals == list(np.quantile(pdf[pdf.g == g].v.to_numpy(), fr)), g
