@@ -391,6 +391,17 @@ def _source_queries():
     }
 
 
+def _llm_queries():
+    """Queries and oracles of the training-data operators, when present."""
+    try:
+        import corpus_pipeline
+        from cosecha.llm import queries as lq
+    except ImportError:
+        return {}, {}
+    return ({**lq.QUERIES, "pipeline": corpus_pipeline.run},
+            {**lq.ORACLE, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     qs = {
         "select_cols": q_select_cols,
@@ -452,6 +463,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "flow_integration": q_flow_integration,
     }
     qs.update(_source_queries())
+    qs.update(_llm_queries()[0])
 
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -470,4 +482,4 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def oracle_sql() -> dict[str, str]:
     from cosecha.oracle import ORACLE
-    return dict(ORACLE)
+    return {**ORACLE, **_llm_queries()[1]}
