@@ -11,6 +11,12 @@ def op1_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op3_simhash(spark, sf_dir):
+    from cosecha.llm.simhash import near_duplicates
+    prepare(spark)
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_repair(spark, sf_dir):
     from cosecha.llm.repair import repair_round_trip
     prepare(spark)
@@ -19,6 +25,7 @@ def op10_repair(spark, sf_dir):
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_simhash": op3_simhash,
     "op10_repair": op10_repair,
 }
 
