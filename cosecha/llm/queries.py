@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cosecha.llm import decontam
 from cosecha.llm.common import prepare, table
 
 
@@ -17,6 +18,12 @@ def op3_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark, sf_dir):
+    from cosecha.llm.decontam import decontaminate, digest
+    prepare(spark)
+    return digest(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 def op10_repair(spark, sf_dir):
     from cosecha.llm.repair import repair_round_trip
     prepare(spark)
@@ -26,8 +33,11 @@ def op10_repair(spark, sf_dir):
 QUERIES = {
     "op1_packing": op1_packing,
     "op3_simhash": op3_simhash,
+    "op5_decontaminate": op5_decontaminate,
     "op10_repair": op10_repair,
 }
 
 #: DuckDB statements of the operators that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_decontaminate": decontam.ORACLE,
+}
