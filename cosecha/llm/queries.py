@@ -24,6 +24,14 @@ def op5_decontaminate(spark, sf_dir):
     return digest(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op8_toxicity(spark, sf_dir):
+    from cosecha.llm.toxicity import fit
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return model.score(docs.select("doc_id", "text")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_repair(spark, sf_dir):
     from cosecha.llm.repair import repair_round_trip
     prepare(spark)
@@ -34,6 +42,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op3_simhash": op3_simhash,
     "op5_decontaminate": op5_decontaminate,
+    "op8_toxicity": op8_toxicity,
     "op10_repair": op10_repair,
 }
 
