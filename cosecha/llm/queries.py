@@ -32,6 +32,12 @@ def op8_toxicity(spark, sf_dir):
     return model.score(docs.select("doc_id", "text")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op9_sharding(spark, sf_dir):
+    from cosecha.llm.sharding import shard_documents
+    prepare(spark)
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_repair(spark, sf_dir):
     from cosecha.llm.repair import repair_round_trip
     prepare(spark)
@@ -43,6 +49,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op5_decontaminate": op5_decontaminate,
     "op8_toxicity": op8_toxicity,
+    "op9_sharding": op9_sharding,
     "op10_repair": op10_repair,
 }
 
