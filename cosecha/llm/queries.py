@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cosecha.llm import decontam
+from cosecha.llm import chat, decontam
 from cosecha.llm.common import prepare, table
 
 
@@ -12,6 +12,14 @@ def op1_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op2_chat(spark, sf_dir):
+    from cosecha.llm.chat import SCHEMAS, link_tools, turns_as_calls
+    prepare(spark)
+    calls, results = turns_as_calls(table(spark, sf_dir, "conversations"))
+    schemas = spark.createDataFrame(SCHEMAS, "name string, field string, type string, required boolean")
+    return link_tools(calls, results, schemas)
+
+
 def op3_simhash(spark, sf_dir):
     from cosecha.llm.simhash import near_duplicates
     prepare(spark)
@@ -46,6 +54,7 @@ def op10_repair(spark, sf_dir):
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_chat": op2_chat,
     "op3_simhash": op3_simhash,
     "op5_decontaminate": op5_decontaminate,
     "op8_toxicity": op8_toxicity,
@@ -55,5 +64,6 @@ QUERIES = {
 
 #: DuckDB statements of the operators that SQL can express.
 ORACLE: dict[str, str] = {
+    "op2_chat": chat.ORACLE,
     "op5_decontaminate": decontam.ORACLE,
 }
