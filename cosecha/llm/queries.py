@@ -26,6 +26,14 @@ def op3_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_ann(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from cosecha.llm.ann import nearest
+    prepare(spark)
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_decontaminate(spark, sf_dir):
     from cosecha.llm.decontam import decontaminate, digest
     prepare(spark)
@@ -56,6 +64,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_chat": op2_chat,
     "op3_simhash": op3_simhash,
+    "op4_ann": op4_ann,
     "op5_decontaminate": op5_decontaminate,
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
