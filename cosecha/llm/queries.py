@@ -40,6 +40,12 @@ def op5_decontaminate(spark, sf_dir):
     return digest(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op7_token_counts(spark, sf_dir):
+    from cosecha.llm.unigram import count_tokens
+    prepare(spark)
+    return count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark, sf_dir):
     from cosecha.llm.toxicity import fit
     prepare(spark)
@@ -66,6 +72,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_ann": op4_ann,
     "op5_decontaminate": op5_decontaminate,
+    "op7_token_counts": op7_token_counts,
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_repair": op10_repair,
