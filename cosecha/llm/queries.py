@@ -40,6 +40,12 @@ def op5_decontaminate(spark, sf_dir):
     return digest(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op6_repeats(spark, sf_dir):
+    from cosecha.llm.repeats import repeated_bytes
+    prepare(spark)
+    return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark, sf_dir):
     from cosecha.llm.unigram import count_tokens
     prepare(spark)
@@ -72,6 +78,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_ann": op4_ann,
     "op5_decontaminate": op5_decontaminate,
+    "op6_repeats": op6_repeats,
     "op7_token_counts": op7_token_counts,
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
