@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cosecha.llm.common import prepare, store
+from cosecha.llm.common import null_safe_anti, prepare, store
 
 WINDOW = 13
 #: words of one segment of the index
@@ -203,6 +203,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
             .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not contaminated."""
+    found = decontaminate(docs, benchmark, id_col=id_col, text_col=text_col)
+    bad = found.where("contaminated").select("doc_id", "text_key").distinct()
+    keyed = docs.withColumn("__id", F.col(id_col).cast("long")).withColumn("__key", F.xxhash64(text_col))
+    bad = bad.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    return null_safe_anti(keyed, bad, ["__id", "__key"]).select(*docs.columns)
+
+
 def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")

@@ -146,3 +146,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     classes = store(linked.join(least, "root").select(F.col("fp").alias("class"), "component_id"), "classes")
     return f.join(classes, f["fp"] == classes["class"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is the smallest of its component;
+    one row for each. Rows without ``doc_id`` can't be named and stay."""
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col)
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
+    kept = docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    alone = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
+    return kept.withColumn("__alone", alone).dropDuplicates([id_col, "__alone"]).select(*docs.columns)
