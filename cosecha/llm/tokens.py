@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import os
 import re
+import struct
+from unicodedata import is_normalized
 
 import numpy as np
 
@@ -19,7 +21,14 @@ _WS = "\t-\r \x85\xa0  -     　"
 _RUNS = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 _IRREGULAR = re.compile(f"[ \n][{_WS}]|[{_WS}][ \n]")
 
-MAX_CACHED = 600_000
+#: marks that end a word and are a pre-token of their own there
+_MARKS = ".,;:!?#$%&*"
+#: the letters that stand for bytes in byte-level models: printable Latin-1 for
+#: itself, the other bytes from U+0100 on
+_PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_LETTERS = {b: chr(0x100 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+
+MAX_CACHED = 800_000
 MAX_CHUNK = 64
 
 _ENCODERS: dict = {}
@@ -33,7 +42,7 @@ class _Chunks(dict):
         self.encode = encode
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(self.encode(chunk), "<u4").tobytes()
+        ids = self.encode(chunk)
         if len(chunk) <= MAX_CHUNK:
             if len(self) >= MAX_CACHED:
                 self.clear()
@@ -51,17 +60,41 @@ class ChunkEncoder:
         self.tok.encode_special_tokens = True
         #: white space never reaches the model when the pre-tokenizer drops it
         self.drops_space = self._ids(" \n a") == self._ids("a")
-        self.exact = _Chunks(self._ids)
-        self.spaced = _Chunks(lambda c: self._ids(c if c[:1] == "\n" else " " + c))
+        self.exact = _Chunks(lambda c: np.array(self._ids(c), "<u4").tobytes())
+        self.words = _Chunks(lambda w: struct.pack(f"<{len(i := self._word(w))}I", *i))
+        self.spaced = _Chunks(lambda c: self._chunk(c if self.drops_space or c[:1] == "\n" else " " + c))
 
     def _ids(self, chunk: str) -> list[int]:
         return self.tok.encode(chunk, add_special_tokens=False).ids
 
+    def _word(self, word: str) -> list[int]:
+        """A pre-token of letters (behind a space or not), by the model alone."""
+        if self.drops_space:
+            word = word.lower() if word.isascii() else "".join(map(str.lower, word))
+        if not word.isascii():
+            word = word.encode().decode("latin-1")
+        return [t.id for t in self.tok.model.tokenize(word.translate(_BYTE_LETTERS))]
+
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk without inner white space. Letters followed by common
+        marks are two pre-tokens, each looked up by itself."""
+        word = chunk.rstrip(_MARKS)
+        letters = word.lstrip(" \n")
+        space = word[:len(word) - len(letters)]
+        if not (letters.isalpha() and (letters.isascii() or (max(letters) < "\u0530" and is_normalized("NFC", letters)))):
+            return np.array(self._ids(chunk), "<u4").tobytes()
+        marks = self.exact[chunk[len(word):]] if len(word) < len(chunk) else b""
+        if self.drops_space:
+            return self.words[letters] + marks
+        if space == "\n":
+            return self.exact[space] + self.words[letters] + marks
+        return self.words[word] + marks
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if self.drops_space:
-            return b"".join(map(self.exact.__getitem__, text.replace("\n", " ").split(" ")))
+            return b"".join(map(self.spaced.__getitem__, text.replace("\n", " ").split(" ")))
         if _IRREGULAR.search(text):
             return b"".join(map(self.exact.__getitem__, _RUNS.findall(text)))
         first, *rest = text.replace("\n", " \n").split(" ")
