@@ -41,7 +41,7 @@ from cosecha.llm.tokens import encoder, public_path
 from cosecha.session import scratch_path
 
 END_ID = 2
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 18
 #: a pair is worth a rule from this many occurrences in a block
 MIN_COUNT = 16
 #: rounds of pair replacement (compression effort; every round may add many rules)
