@@ -62,13 +62,9 @@ def _products(spark, d):
 
 
 def _integrated(spark, d):
-    """ODEPA_FDC_INTEGRADO (fuzzy matched), the input of the analyses: read
-    from the table store, where the integration flow puts it (built on first
-    use for these input files)."""
-    from cosecha.plans.store import stored
-    inputs = [f"{d.rstrip('/')}/{t}.parquet" for t in ("lineitem", "part")]
-    return stored(spark, "odepa_fdc_integrado", inputs,
-                  lambda: pr.price_food(_products(spark, d), _food_integrated(spark, d)))
+    """The input of the analyses: every price observation with its food, as many
+    rows as there are prices; computed from the tables on every call."""
+    return pr.priced_foods(A.prices(spark, d), _food_integrated(spark, d))
 
 
 def _pivot(spark, d):
@@ -278,11 +274,12 @@ def q_quality_index(spark, d):
 
 def q_welch_ttest(spark, d):
     t = an.price_ttest(_integrated(spark, d)).drop("p")
-    return _round_all(t, 6)
+    return _round(_round_all(t, 6, keep=("var_a", "var_b")), 3, "var_a", "var_b")
 
 
 def q_welch_pvalue(spark, d):
-    return _round_all(an.price_ttest_u(_integrated(spark, d)), 6)
+    t = an.price_ttest_u(_integrated(spark, d))
+    return _round(_round_all(t, 6, keep=("var_a", "var_b")), 3, "var_a", "var_b")
 
 
 def q_box_stats(spark, d):

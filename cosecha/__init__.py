@@ -10,7 +10,6 @@ functions/  column-level helpers (text normalisation, recoding, null-safe
 operators/  DataFrame -> DataFrame operators (relational, aggregates, pivot,
             exact quantiles and bins, survey tables, statistics, fuzzy join)
 plans/      the composed flows (food, prices, surveys, analyses)
-streaming/  nothing: the workload is batch only
 """
 
 from cosecha.session import get_session, checkpoint_dir, materialize, scratch_path, tune

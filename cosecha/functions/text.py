@@ -1,7 +1,7 @@
 """Text normalisation.
 
-Python's ``\\w`` and ``\\s`` are Unicode-aware; Java regexes need ``(?U)`` to
-match them (without it ``limón`` would lose its accent). ``F.trim`` only strips
+Python's ``\\w`` and ``\\s`` are Unicode-aware; Java regexes need ``(?U)`` and
+explicit classes to match them (without it ``limón`` would lose its accent). ``F.trim`` only strips
 spaces, so stripping uses a whitespace regex."""
 
 from __future__ import annotations
@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from cosecha._util import col
 
-_EDGE_WS = r"(?U)^\s+|\s+$"
-_PUNCT = r"(?U)[^\w\s]"
-_WS_RUN = r"(?U)\s+"
+# Python's classes: letters, numbers of every kind and the underscore are word
+# characters (combining marks are not); the four separators \x1c-\x1f are space
+_WS = r"[\s\x1c-\x1f]"
+_EDGE_WS = rf"(?U)^{_WS}+|{_WS}+$"
+_PUNCT = r"(?U)[^\p{L}\p{N}_\s\x1c-\x1f]"
+_WS_RUN = rf"(?U){_WS}+"
 
 
 def strip_ws(c) -> Column:

@@ -8,25 +8,23 @@ Plan
 ----
 1. Both sides are reduced to distinct texts (the right side keeps the first id
    per text, J4). Dictionaries of names do not grow with the fact tables.
-2. Candidate pairs come from an equi-join on text length: the left side
-   explodes the range of right lengths that can still reach the cutoff
-   (a lossless bound: ratio <= 2*min(la,lb)/(la+lb) for difflib, and
-   1 - |la-lb|/max(la,lb) for Levenshtein). No cross join, no cap.
-3. When the distinct right side is below ``broadcast_rows`` and
-   ``broadcast_bytes`` (measured first) it is broadcast; when the pair count
-   can reach ``spread_pairs`` the exploded (left text, length) rows are
-   repartitioned to the cluster's parallelism, so pair scoring is spread
-   over all cores. Above
-   that, the join is a shuffle on (length, salt): right texts get one of
-   ``salts`` salts by hash and left rows are replicated over the salts, so
-   the pairs of one popular length are split over ``salts`` tasks. By
-   default the salt count is sized from the most popular right-side length
-   (one salt per ``RIGHT_PER_SALT`` texts of that length).
-4. Scoring: ``difflib.SequenceMatcher(None, right, left).ratio()`` in an Arrow
-   UDF (with difflib's cheap upper bounds first), or Spark's native
-   ``levenshtein`` with its early-exit threshold.
-5. Best per left text: ``max_by`` over (score, right text) - ties go to the
-   larger text as ``get_close_matches`` does - a partial+final aggregate.
+2. A text is the set of its tokens (character, how often it came before). Both
+   scores are bounded by the tokens two texts share: difflib's ratio is at most
+   ``2 * shared / (la + lb)``, Levenshtein's similarity at most
+   ``shared / max(la, lb)``. So a pair that reaches the cutoff shares a minimum
+   of tokens, and with any fixed token order one of them is among the first
+   ``length - minimum + 1`` of each text: an equi-join on those tokens finds
+   every pair. A pair counts at its first shared token only, and lengths and
+   shared tokens are verified in the join, natively, before anything is scored.
+   No caps, no salts, no size switches: which side to broadcast and which hot
+   token to split is the planner's (AQE's) choice. With a cutoff of zero or less
+   every pair qualifies and is scored.
+3. Scoring, once per surviving pair: ``difflib.SequenceMatcher(None, right,
+   left).ratio()`` in an Arrow UDF (with difflib's cheap upper bounds first), or
+   Spark's native ``levenshtein`` with its early-exit threshold.
+4. Best per left text: ``max_by`` over (score, right text) - ties go to the
+   larger text as ``get_close_matches`` does - a partial+final aggregate; pairs
+   below the cutoff have a NULL order and are skipped by it.
 """
 
 from __future__ import annotations
@@ -34,17 +32,12 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-DEFAULT_BROADCAST_BYTES = 256 << 20
-# right texts of one length handled by one (length, salt) task in the salted path
-RIGHT_PER_SALT = 20_000
-MAX_SALTS = 1024
-# about 30 us of difflib per pair: beyond ~1.5 s of single-core scoring, spread it
-DEFAULT_SPREAD_PAIRS = 50_000
+#: letters from rare to common; any order is right, this one prunes well
+RARE_FIRST = "wkxqjzyfhvgbpmdltucsrnioae "
 
 
 @F.pandas_udf(T.DoubleType())
@@ -52,17 +45,16 @@ def difflib_ratio(right: pd.Series, left: pd.Series, cutoff: pd.Series) -> pd.Se
     """``SequenceMatcher(None, right, left).ratio()`` or NULL when below the
     cutoff. ``left`` is difflib's second sequence (the one it indexes), so
     pairs are scored grouped by left text to reuse its index."""
-    out = [None] * len(right)
-    order = sorted(range(len(right)), key=lambda i: left.iat[i])
+    rights, lefts, cutoffs = right.tolist(), left.tolist(), cutoff.tolist()
+    out = [None] * len(rights)
     sm = difflib.SequenceMatcher(None)
     current = None
-    for i in order:
-        b = left.iat[i]
-        if b != current:
-            sm.set_seq2(b)
-            current = b
-        sm.set_seq1(right.iat[i])
-        c = cutoff.iat[i]
+    for i in sorted(range(len(rights)), key=lefts.__getitem__):
+        if lefts[i] != current:
+            current = lefts[i]
+            sm.set_seq2(current)
+        sm.set_seq1(rights[i])
+        c = cutoffs[i]
         if sm.real_quick_ratio() >= c and sm.quick_ratio() >= c:
             r = sm.ratio()
             if r >= c:
@@ -70,32 +62,53 @@ def difflib_ratio(right: pd.Series, left: pd.Series, cutoff: pd.Series) -> pd.Se
     return pd.Series(out, dtype="float64")
 
 
-def _parallelism(df: DataFrame) -> int:
-    sc = df.sparkSession.sparkContext
-    return max(sc.defaultParallelism * 2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+def _tokens(text: Column) -> Column:
+    """Distinct tokens in the fixed order: later repeats of a character first,
+    then rare characters."""
+    chars = F.when(F.length(text) > 0, F.transform(F.sequence(F.lit(1), F.length(text)),
+                                                   lambda i: F.substring(text, i, F.lit(1))))
+    nth = F.transform(chars, lambda c, i: F.struct(
+        (-F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda x: x == c))).alias("k"),
+        F.position(c, F.lit(RARE_FIRST)).alias("r"),
+        c.alias("c")))
+    named = F.transform(F.array_sort(nth), lambda t: F.concat(t["c"], -t["k"]))
+    return F.coalesce(named, F.array(F.lit("")))  # an empty text only meets empty texts
 
 
-def _length_band(method: str, cutoff: float):
-    """Right lengths that can reach ``cutoff`` for a left text of length L."""
-    L = F.length("_l")
-    if method == "difflib":
-        if cutoff <= 0:
-            return F.lit(0), L * 1000 + 1000
-        lo = F.ceil(L * F.lit(cutoff / (2.0 - cutoff)) - F.lit(1e-9))
-        hi = F.floor(L * F.lit((2.0 - cutoff) / cutoff) + F.lit(1e-9))
-        return lo, hi
-    # levenshtein: |la - lb| <= (1 - c) * max(la, lb)
+def _with_tokens(df: DataFrame, text: str, side: str, method: str, cutoff: float) -> DataFrame:
+    """``df`` with its length, tokens and prefix of tokens, one row per prefix
+    token ``_t``."""
+    n = F.length(text)
     if cutoff <= 0:
-        return F.lit(0), L * 1000 + 1000
-    lo = F.ceil(L * F.lit(cutoff) - F.lit(1e-9))
-    hi = F.floor(L / F.lit(cutoff) + F.lit(1e-9))
-    return lo, hi
+        none = F.array().cast("array<string>")
+        return df.select("*", n.alias(f"_n{side}"), none.alias(f"_a{side}"), none.alias(f"_p{side}"), F.lit("").alias("_t"))
+    share = cutoff / (2.0 - cutoff) if method == "difflib" else cutoff
+    least = F.ceil(n * F.lit(share) - F.lit(1e-9))
+    df = df.withColumn(f"_n{side}", n).withColumn(f"_a{side}", _tokens(F.col(text)))
+    df = df.withColumn(f"_p{side}", F.slice(f"_a{side}", F.lit(1), F.greatest(n - least + 1, F.lit(1)).cast("int")))
+    return df.withColumn("_t", F.explode(f"_p{side}"))
+
+
+def candidate_pairs(left: DataFrame, right: DataFrame, method: str, cutoff: float) -> DataFrame:
+    """Every pair of ``left._l`` and ``right._r`` whose shared tokens allow the
+    cutoff, once, with all columns of both sides."""
+    a = _with_tokens(left, "_l", "l", method, cutoff)
+    b = _with_tokens(right, "_r", "r", method, cutoff).withColumnRenamed("_t", "_tr")
+    cond = F.col("_t") == F.col("_tr")
+    if cutoff > 0:
+        shared = F.size(F.array_intersect("_al", "_ar"))
+        la, lb = F.col("_nl"), F.col("_nr")
+        if method == "difflib":
+            bound = lambda x: 2.0 * x + 1e-9 >= F.lit(cutoff) * (la + lb)
+        else:
+            bound = lambda x: x + 1e-9 >= F.lit(cutoff) * F.greatest(la, lb)
+        cond &= bound(F.least(la, lb)) & (F.element_at(F.array_intersect("_pl", "_pr"), 1) == F.col("_t")) & \
+            ((la + lb == 0) | bound(shared))
+    return a.join(b, cond).select(*left.columns, *right.columns)
 
 
 def fuzzy_best_match(left: DataFrame, left_col: str, right: DataFrame, right_col: str, right_id: str,
                      cutoff: float = 0.5, method: str = "difflib", order: str | None = None,
-                     broadcast_rows: int = DEFAULT_BROADCAST_ROWS, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                     salts: int | None = None, spread_pairs: int = DEFAULT_SPREAD_PAIRS,
                      how: str = "inner") -> DataFrame:
     """One row per distinct non-null left text with its best right match:
     ``left_col``, ``match_text``, ``right_id``, ``match_score`` (0-100).
@@ -107,35 +120,7 @@ def fuzzy_best_match(left: DataFrame, left_col: str, right: DataFrame, right_col
     R = (right.where(F.col(right_col).isNotNull())
               .groupBy(F.col(right_col).alias("_r"))
               .agg(F.min_by(F.col(right_id), okey).alias("_id")))
-    R = R.withColumn("_len", F.length("_r"))
-
-    lo, hi = _length_band(method, cutoff)
-    Lx = L.select("_l", F.explode(F.sequence(F.greatest(lo, F.lit(0)), hi)).alias("_len"))
-
-    # size checks (one small job): rows of both distinct sides, text bytes of
-    # the right side
-    sizes = {r["side"]: r for r in
-             L.select(F.lit("L").alias("side"), F.lit(0).alias("_b"))
-              .unionByName(R.select(F.lit("R").alias("side"), (F.octet_length("_r") + F.lit(16)).alias("_b")))
-              .groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("_b").alias("b")).collect()}
-    n_left = sizes["L"]["n"] if "L" in sizes else 0
-    n_right = sizes["R"]["n"] if "R" in sizes else 0
-    r_bytes = (sizes["R"]["b"] or 0) if "R" in sizes else 0
-    if n_right <= broadcast_rows and r_bytes <= broadcast_bytes:
-        if n_left * n_right >= spread_pairs:
-            # the left side is small after distinct and AQE would coalesce it
-            # into a few partitions; an explicit count (not coalesced) spreads
-            # the pair scoring over every core
-            Lx = Lx.repartition(_parallelism(left), "_l", "_len")
-        pairs = Lx.join(F.broadcast(R), "_len")
-    else:
-        if salts is None:
-            # sized from the most popular right-side length (one small aggregate)
-            widest = R.groupBy("_len").count().agg(F.max("count")).first()[0] or 0
-            salts = int(min(MAX_SALTS, max(1, -(-widest // RIGHT_PER_SALT))))
-        Rs = R.withColumn("_salt", F.pmod(F.xxhash64("_r"), F.lit(salts)))
-        Ls = Lx.select("_l", "_len", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-        pairs = Ls.join(Rs, ["_len", "_salt"]).drop("_salt")
+    pairs = candidate_pairs(L, R, method, cutoff)
 
     if method == "difflib":
         score = difflib_ratio(F.col("_r"), F.col("_l"), F.lit(float(cutoff)))
@@ -150,9 +135,10 @@ def fuzzy_best_match(left: DataFrame, left_col: str, right: DataFrame, right_col
     else:
         raise ValueError(f"unknown method {method!r}")
 
-    scored = pairs.select("_l", "_r", "_id", score.alias("_s")).where(F.col("_s").isNotNull())
-    best = (scored.groupBy("_l")
-            .agg(F.max_by(F.struct("_r", "_id", "_s"), F.struct("_s", "_r")).alias("_b"))
+    scored = pairs.select("_l", "_r", "_id", score.alias("_s"))
+    passed = F.when(F.col("_s").isNotNull(), F.struct("_s", "_r"))
+    best = (scored.groupBy("_l").agg(F.max_by(F.struct("_r", "_id", "_s"), passed).alias("_b"))
+            .where(F.col("_b").isNotNull())
             .select(F.col("_l").alias(left_col), F.col("_b._r").alias("match_text"),
                     F.col("_b._id").alias(right_id), (F.col("_b._s") * F.lit(100.0)).alias("match_score")))
     if how == "left":

@@ -31,14 +31,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cosecha.operators.relational import join_small
 from cosecha.session import materialize
 
 DEFAULT_BUCKETS = 1024
 DEFAULT_ACCURACY = 10000
-# groups with at most this many distinct values are ranked by one window per
-# group (one task holds at most this many rows); larger groups are bucketed
-SMALL_GROUP_DISTINCT = 1_000_000
 
 
 def linspace_fractions(q: int) -> list[float]:
@@ -88,46 +84,40 @@ def _pick(rows: DataFrame, by: list) -> DataFrame:
                                  F.max("_n").alias("_n"))
 
 
-def _by_window(counts: DataFrame, by: list, fr: Sequence[float], out: str) -> DataFrame:
-    """Groups known to be small: one window per group ranks its values."""
-    w = Window.partitionBy(*by).orderBy("_v")
-    rows = (counts.withColumn("_hi", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-                  .withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
-                  .withColumn("_lo", F.col("_hi") - F.col("_c"))
-                  .withColumn("_rb", _wanted_ranks(F.col("_n"), fr)))
-    return _interpolate(_pick(rows, by), by, fr, out)
-
-
 def _by_buckets(counts: DataFrame, by: list, fr: Sequence[float], out: str,
                 buckets: int, accuracy: int) -> DataFrame:
-    """Wide groups: cut points, bucket offsets, windows inside the needed
-    buckets only."""
+    """Cut points, bucket offsets, windows inside the needed buckets only."""
     probes = [i / buckets for i in range(1, buckets)]
     stats = (counts.groupBy(*by)
              .agg(F.sum("_c").alias("_n"),
                   F.array_distinct(F.approx_percentile("_v", probes, accuracy)).alias("_b"))
              .withColumn("_r", _wanted_ranks(F.col("_n"), fr)))
-    stats = materialize(stats, "quantile-cuts")     # one row per wide group
+    stats = materialize(stats, "quantile-cuts")     # one row per group
 
     if by:
-        bucketed = join_small(counts, stats, by)
+        bucketed = counts.join(stats, by)
     else:
         s = stats.select(F.struct("_n", "_b", "_r").alias("s")).scalar()
         bucketed = counts.select("_v", "_c", s["_n"].alias("_n"), s["_b"].alias("_b"),
                                  s["_r"].alias("_r"))
     bucketed = bucketed.withColumn("_k", _bucket_index(F.col("_b"), F.col("_v"), buckets))
 
-    per_bucket = bucketed.groupBy(*by, "_k").agg(F.sum("_c").alias("_bc"), F.first("_r").alias("_r"))
-    wb = Window.partitionBy(*by).orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    per_bucket = (per_bucket.withColumn("_end", F.sum("_bc").over(wb))
-                  .withColumn("_start", F.col("_end") - F.col("_bc"))
-                  .withColumn("_rb", F.filter("_r", lambda r: (r >= F.col("_start")) & (r < F.col("_end"))))
-                  .where(F.size("_rb") > 0)
-                  .select(*by, "_k", "_start", "_rb"))
-
-    # at most 2(k+1) needed buckets per group: broadcast, so only their rows
-    # are shuffled into the window below
-    rows = join_small(bucketed.select(*by, "_k", "_v", "_c", "_n"), per_bucket, by + ["_k"])
+    # one row per group: its buckets (at most ``buckets``) with running counts
+    sizes = bucketed.groupBy(*by, "_k").agg(F.sum("_c").alias("_bc"), F.first("_r").alias("_r"))
+    in_order = F.array_sort(F.collect_list(F.struct("_k", "_bc")))
+    per_group = sizes.groupBy(*by).agg(in_order.alias("_ks"), F.first("_r").alias("_r"))
+    none = F.array().cast("array<struct<_k:int,_start:bigint,_end:bigint>>")
+    running = F.aggregate("_ks", F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")), lambda acc, x: F.struct(
+        (acc["at"] + x["_bc"]).alias("at"),
+        F.concat(acc["out"], F.array(F.struct(x["_k"].cast("int").alias("_k"), acc["at"].alias("_start"),
+                                              (acc["at"] + x["_bc"]).alias("_end")))).alias("out")), lambda acc: acc["out"])
+    per_bucket = (per_group.select(*by, "_r", F.explode(running).alias("_b"))
+                  .select(*by, "_b._k", "_b._start", F.filter("_r", lambda r: (r >= F.col("_b._start")) &
+                                                              (r < F.col("_b._end"))).alias("_rb"))
+                  .where(F.size("_rb") > 0))
+
+    # at most 2(k+1) needed buckets per group: only their rows reach the window
+    rows = bucketed.select(*by, "_k", "_v", "_c", "_n").join(per_bucket, by + ["_k"])
     wv = Window.partitionBy(*by, "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = (rows.withColumn("_hi", F.col("_start") + F.sum("_c").over(wv))
                 .withColumn("_lo", F.col("_hi") - F.col("_c")))
@@ -136,14 +126,11 @@ def _by_buckets(counts: DataFrame, by: list, fr: Sequence[float], out: str,
 
 def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: Sequence[str] = (),
                     out: str = "quantiles", buckets: int = DEFAULT_BUCKETS,
-                    accuracy: int = DEFAULT_ACCURACY, small_group: int = SMALL_GROUP_DISTINCT) -> DataFrame:
+                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """One row per group (one row in total without ``by``): ``by`` columns,
     ``n`` (non-null values) and ``out`` = array of quantiles in ``fractions``
-    order. NULL values and NULL group keys are ignored (pandas).
-
-    Groups with at most ``small_group`` distinct values are ranked by one
-    window each; wider groups are bucketed. Only the wide groups get cut
-    points, and there are at most ``distinct values / small_group`` of them."""
+    order. NULL values and NULL group keys are ignored (pandas). One way for
+    groups of every size: no task ranks more than a bucket."""
     by = list(by)
     fr = [float(p) for p in fractions]
     v = F.col(value).cast("double")
@@ -152,25 +139,10 @@ def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: S
     for c in by:
         base = base.where(F.col(c).isNotNull())
 
-    # computed once: every later step (sizes, cut points, buckets, ranks) reads it
+    # computed once: every later step (cut points, buckets, ranks) reads it
     counts = materialize(base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")), "quantile-counts")
 
-    # size check: the total number of distinct values bounds every group
-    total = counts.count()
-    if total <= small_group:
-        return _by_window(counts, by, fr, out)
-    if not by:
-        return _by_buckets(counts, by, fr, out, buckets, accuracy)
-
-    # per group: wide groups are few (each holds more than small_group values)
-    sizes = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("_nd"))
-    wide = materialize(sizes.where(F.col("_nd") > F.lit(small_group)).select(*by), "quantile-wide")
-    if wide.count() == 0:
-        return _by_window(counts, by, fr, out)
-    narrow_counts = counts.join(F.broadcast(wide), by, "left_anti")
-    wide_counts = counts.join(F.broadcast(wide), by, "left_semi")
-    return (_by_window(narrow_counts, by, fr, out)
-            .unionByName(_by_buckets(wide_counts, by, fr, out, buckets, accuracy)))
+    return _by_buckets(counts, by, fr, out, buckets, accuracy)
 
 
 def quantile_edges(df: DataFrame, value: str, q: int, by: Sequence[str] = (),
@@ -219,7 +191,7 @@ def qcut(df: DataFrame, value: str, q: int, labels: Sequence[str] | None = None,
     an equi-join on the group key (one row per group)."""
     edges = edges if edges is not None else qcut_edges(df, value, q, by, **kw)
     if by:
-        with_e = join_small(df, edges, list(by), "left")
+        with_e = df.join(edges, list(by), "left")
     else:
         with_e = df.withColumn("_e", edges.select("_e").scalar())
     b = bin_of(F.col(value).cast("double"), F.col("_e"))

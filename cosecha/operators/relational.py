@@ -96,26 +96,6 @@ def join_left(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on=on, how="left")
 
 
-# one row per group is small, but it is only broadcast behind a row count
-SMALL_SIDE_ROWS = 1_000_000
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
-    """Join a (usually small) per-key table back to the rows.
-
-    The small side is materialised in the shared checkpoint folder and its
-    rows counted (a proven size bound); within ``max_rows`` it is broadcast,
-    so the big side is never shuffled on the key and a key holding a third of
-    all rows cannot land in one task. Beyond it, a shuffle join on which AQE's
-    skew handling can split hot partitions."""
-    from cosecha.session import materialize
-    small = materialize(small, "join-small")
-    if small.count() <= max_rows:
-        return big.join(F.broadcast(small), on=on, how=how)
-    return big.join(small, on=on, how=how)
-
-
 def order_desc(df: DataFrame, measure: str, *tie_break: str) -> DataFrame:
     """O1 sort by a measure, descending, with a unique tie-break."""
     return df.orderBy(F.col(measure).desc(), *[F.col(c).asc() for c in tie_break])

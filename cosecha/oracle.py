@@ -114,13 +114,18 @@ SELECT p.Producto AS producto_odepa, p.producto_normalizado AS producto_odepa_no
        p.Precio_Promedio_CLP AS precio_promedio_clp, p.Grupo AS grupo_odepa, p.categoria_precio
 FROM products p JOIN fi_desc m ON p.producto_normalizado = m.d
 """)
-INTEGRATED = ("integrated", """
+MATCHED = ("matched", """
 SELECT c.*, f.* EXCLUDE (fdc_id) FROM matches c LEFT JOIN food_integrated f ON c.fdc_id = f.fdc_id
 """)
+INTEGRATED = ("integrated", """
+SELECT p.producto AS producto_odepa, p.precio AS precio_promedio_clp, p.grupo AS grupo_odepa, f.*
+FROM prices p JOIN food_integrated f ON p.ord4 = f.fdc_id
+""")
 
 FOOD_CHAIN = [V("food"), V("food_nutrient"), PIVOT, FOOD_INTEGRATED]
 PRICE_CHAIN = [V("prices"), PRICE_STATS, PRICE_EDGES, PRODUCTS]
-INTEGRATED_CHAIN = FOOD_CHAIN + PRICE_CHAIN + [FI_DESC, MATCHES, INTEGRATED]
+MATCHED_CHAIN = FOOD_CHAIN + PRICE_CHAIN + [FI_DESC, MATCHES, MATCHED]
+INTEGRATED_CHAIN = FOOD_CHAIN + [V("prices"), INTEGRATED]
 
 
 def _prev(src: str, group: str, alias: str | None = None, digits: int = 9) -> str:
@@ -302,8 +307,8 @@ ORACLE: dict[str, str] = {
                avg(v) FILTER (WHERE c = 'Saludable') AS mean_a, avg(v) FILTER (WHERE c = 'No saludable') AS mean_b,
                var_samp(v) FILTER (WHERE c = 'Saludable') AS var_a, var_samp(v) FILTER (WHERE c = 'No saludable') AS var_b
         FROM tc WHERE c IN ('Saludable', 'No saludable') AND v IS NOT NULL"""), body="""
-        SELECT n_a, n_b, round(mean_a, 6) AS mean_a, round(mean_b, 6) AS mean_b, round(var_a, 6) AS var_a,
-               round(var_b, 6) AS var_b,
+        SELECT n_a, n_b, round(mean_a, 6) AS mean_a, round(mean_b, 6) AS mean_b, round(var_a, 3) AS var_a,
+               round(var_b, 3) AS var_b,
                round(CASE WHEN n_a > 0 AND n_b > 0 THEN (mean_a - mean_b) / nullif(sqrt(var_a / n_a + var_b / n_b), 0) END, 6) AS t,
                round(CASE WHEN n_a > 0 AND n_b > 0 THEN (var_a / n_a + var_b / n_b) * (var_a / n_a + var_b / n_b)
                      / nullif((var_a / n_a) * (var_a / n_a) / (n_a - 1) + (var_b / n_b) * (var_b / n_b) / (n_b - 1), 0) END, 6) AS dof
@@ -358,18 +363,18 @@ ORACLE: dict[str, str] = {
     "flow_price_products": _with(*PRICE_CHAIN, body="""
         SELECT * REPLACE (round(Precio_Promedio_CLP, 6) AS Precio_Promedio_CLP, round(Precio_Std_CLP, 6) AS Precio_Std_CLP,
                           round(volatilidad_precio, 6) AS volatilidad_precio) FROM products"""),
-    "flow_price_food": _with(*INTEGRATED_CHAIN, body="""
+    "flow_price_food": _with(*MATCHED_CHAIN, body="""
         SELECT * REPLACE (round(precio_promedio_clp, 6) AS precio_promedio_clp, round(match_score, 6) AS match_score)
-        FROM integrated"""),
+        FROM matched"""),
     "flow_final_analysis": _with(V("survey_a"), body=f"SELECT {_p(FINAL_COLS)}, 'NHANES' AS fuente_datos FROM survey_a"),
 }
 
 ORACLE["top_k_states"] = ORACLE["state_profile"] + f" LIMIT {an.TOP_STATES}"
 
-ORACLE["flow_integration"] = _with(V("survey_a"), V("survey_b"), *INTEGRATED_CHAIN, body="""
+ORACLE["flow_integration"] = _with(V("survey_a"), V("survey_b"), *MATCHED_CHAIN, body="""
     SELECT 'FDC_NUTRIENTES_INTEGRADO' AS table_name, 'ok' AS status, count(*) AS n_rows FROM food_integrated
     UNION ALL SELECT 'ODEPA_AGREGADO', 'ok', count(*) FROM products
-    UNION ALL SELECT 'ODEPA_FDC_INTEGRADO', 'ok', count(*) FROM integrated
+    UNION ALL SELECT 'ODEPA_FDC_INTEGRADO', 'ok', count(*) FROM matched
     UNION ALL SELECT 'COMPARACION_DIABETES_EDAD', 'ok',
         (SELECT count(DISTINCT edad_grupo_brfss) FROM survey_a) + (SELECT count(DISTINCT age_g) FROM survey_b)
     UNION ALL SELECT 'COMPARACION_DIABETES_IMC', 'ok',

@@ -50,10 +50,11 @@ def price_products(prices: DataFrame, **kw) -> DataFrame:
 
 
 def match_products(products: DataFrame, foods: DataFrame, cutoff: float = MATCH_CUTOFF,
-                   method: str = "difflib") -> DataFrame:
+                   method: str = "difflib", how: str = "inner") -> DataFrame:
     """Correspondences: every product whose normalised name reaches the cutoff
     against a lower-cased food description, with the first food id of the
-    best description (unmatched products are dropped)."""
+    best description. Unmatched products are dropped, or kept with NULL food
+    columns by ``how="left"``."""
     right = foods.select("fdc_id", F.lower("description").alias("_desc"))
     best = fuzzy_best_match(products, "producto_normalizado", right, "_desc", "fdc_id",
                             cutoff=cutoff, method=method)
@@ -63,7 +64,7 @@ def match_products(products: DataFrame, foods: DataFrame, cutoff: float = MATCH_
                         F.col("Grupo").alias("grupo_odepa"), "categoria_precio")
     b = best.select(F.col("producto_normalizado").alias("producto_odepa_norm"), "fdc_id",
                     F.col("match_text").alias("fdc_description"), "match_score")
-    j = p.join(b, "producto_odepa_norm")
+    j = p.join(b, "producto_odepa_norm", how)
     return j.select("producto_odepa", "producto_odepa_norm", "fdc_id", "fdc_description", "match_score",
                     "precio_promedio_clp", "grupo_odepa", "categoria_precio")
 
@@ -72,13 +73,20 @@ def price_food(products: DataFrame, foods_integrated: DataFrame, **kw) -> DataFr
     """ODEPA_FDC_INTEGRADO: correspondences left-joined to the food table.
 
     Both inputs feed two branches (the match and the join back), so each is
-    materialised once in the shared checkpoint folder; the result is lazy
-    (store it with ``plans.store.stored`` when several analyses read it)."""
+    materialised once in the shared checkpoint folder; the result is lazy."""
     products = materialize(products, "products")
     foods_integrated = materialize(foods_integrated, "foods")
     return join_left(match_products(products, foods_integrated, **kw), foods_integrated, "fdc_id")
 
 
+def priced_foods(prices: DataFrame, foods_integrated: DataFrame, food_id: str = "ord4") -> DataFrame:
+    """Every price observation joined to the food it was taken for: the analyses'
+    input, which grows with the observations."""
+    p = prices.select(F.col(food_id).alias("fdc_id"), F.col("producto").alias("producto_odepa"),
+                      F.col("precio").alias("precio_promedio_clp"), F.col("grupo").alias("grupo_odepa"))
+    return p.join(foods_integrated, "fdc_id")
+
+
 def match_quality(matches: DataFrame, good: float = GOOD_MATCH_SCORE) -> DataFrame:
     """Number of matches, mean score and matches above ``good``."""
     s = F.col("match_score")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cosecha import adapters as A
 from cosecha.functions.text import normalize_text
-from cosecha.operators.fuzzy import fuzzy_best_match
+from cosecha.operators.fuzzy import candidate_pairs, fuzzy_best_match
 from cosecha.operators.quantile import exact_quantiles, linspace_fractions, qcut
 from cosecha.operators.stats import ols_fit, whatif_delta
 
@@ -44,7 +44,7 @@ def test_bucketed_quantiles_equal_numpy(spark, buckets):
     df = spark.createDataFrame(pdf)
     fr = linspace_fractions(4) + [0.1, 0.99]
     got = {r["g"]: list(r["quantiles"]) for r in
-           exact_quantiles(df, "v", fr, by=["g"], buckets=buckets, small_group=5).collect()}
+           exact_quantiles(df, "v", fr, by=["g"], buckets=buckets).collect()}
     for g, vals in got.items():
         assert vals == list(np.quantile(pdf[pdf.g == g].v.to_numpy(), fr))
 
@@ -60,13 +60,45 @@ def test_fuzzy_equals_get_close_matches_on_fixture(spark, sf0001):
         assert got.get(w) == (m[0] if m else None), w
 
 
-def test_fuzzy_salted_path_equals_broadcast(spark, sf0001):
-    prods = A.fuzzy_products(spark, sf0001).select(normalize_text("producto").alias("p"))
-    foods = A.food(spark, sf0001).select("fdc_id", F.lower("description").alias("d"))
-    a = {tuple(r) for r in fuzzy_best_match(prods, "p", foods, "d", "fdc_id").collect()}
-    b = {tuple(r) for r in fuzzy_best_match(prods, "p", foods, "d", "fdc_id", broadcast_rows=0, salts=4).collect()}
-    c = {tuple(r) for r in fuzzy_best_match(prods, "p", foods, "d", "fdc_id", broadcast_rows=0).collect()}
-    assert a == b == c
+@pytest.mark.parametrize("method", ["difflib", "levenshtein"])
+@pytest.mark.parametrize("cutoff", [0.0, 0.3, 0.5, 0.8, 1.0])
+def test_candidates_lose_no_pair(spark, method, cutoff):
+    rng = np.random.default_rng(5)
+    words = ["", "a", "aa"] + ["".join(rng.choice(list("abcd é"), rng.integers(1, 9))) for _ in range(60)]
+    left = spark.createDataFrame([(w,) for w in sorted(set(words[:40]))], "_l string")
+    right = spark.createDataFrame([(w,) for w in sorted(set(words[20:]) | {"", "a"})], "_r string")
+    got = [(r["_l"], r["_r"]) for r in candidate_pairs(left, right, method, cutoff).collect()]
+    assert len(got) == len(set(got))
+
+    def lev(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return 1 - row[-1] / max(len(a), len(b)) if a or b else 1.0
+    score = lev if method == "levenshtein" else lambda a, b: difflib.SequenceMatcher(None, b, a).ratio()
+    need = {(a, b) for a in set(words[:40]) for b in set(words[20:]) | {"", "a"} if score(a, b) >= cutoff}
+    assert need <= set(got)
+
+
+@pytest.mark.parametrize("method", ["difflib", "levenshtein"])
+def test_cutoff_zero_keeps_long_texts(spark, method):
+    left = spark.createDataFrame([("a",)], "l string")
+    right = spark.createDataFrame([("x" * 2500 + "a", 7)], "r string, i long")
+    assert fuzzy_best_match(left, "l", right, "r", "i", cutoff=0.0, method=method).count() == 1
+
+
+def test_few_of_the_possible_pairs_are_scored(spark):
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5))
+    names = [f"{word()} {word()} {word()}" for _ in range(5000)]
+    left = spark.createDataFrame([(n,) for n in names], "_l string").repartition(4)
+    right = spark.createDataFrame([(n[:7] + "x" + n[8:],) for n in names], "_r string").repartition(4)
+    pairs = candidate_pairs(left, right, "difflib", 0.9)
+    n = pairs.agg(F.count("*"), F.count_if(F.substring("_l", 1, 6) == F.substring("_r", 1, 6))).first()
+    assert 5000 <= n[1] and n[0] < 5000 * 5000 / 1000
 
 
 def test_length_band_is_lossless():
@@ -92,15 +124,6 @@ def test_whatif_delta_is_slope_times_mean_shift(spark):
     assert slope == pytest.approx(np.polyfit(x, y, 1)[0], rel=1e-9)
 
 
-def test_fuzzy_spread_path_equals_default(spark, sf0001):
-    prods = A.fuzzy_products(spark, sf0001).select(normalize_text("producto").alias("p"))
-    foods = A.food(spark, sf0001).select("fdc_id", F.lower("description").alias("d"))
-    a = {tuple(r) for r in fuzzy_best_match(prods, "p", foods, "d", "fdc_id", method="levenshtein").collect()}
-    b = {tuple(r) for r in fuzzy_best_match(prods, "p", foods, "d", "fdc_id", method="levenshtein",
-                                            spread_pairs=0).collect()}
-    assert a == b
-
-
 def test_mixed_small_and_wide_groups(spark):
     rng = np.random.default_rng(13)
     wide = pd.DataFrame({"g": "wide", "v": np.round(rng.normal(0, 50, 4000), 2)})
@@ -109,7 +132,7 @@ def test_mixed_small_and_wide_groups(spark):
     df = spark.createDataFrame(pdf)
     fr = linspace_fractions(5)
     got = {r["g"]: list(r["quantiles"]) for r in
-           exact_quantiles(df, "v", fr, by=["g"], buckets=16, small_group=100).collect()}
+           exact_quantiles(df, "v", fr, by=["g"], buckets=16).collect()}
     assert set(got) == {"wide", "a", "b", "c"}
     for g, vals in got.items():
         assert vals == list(np.quantile(pdf[pdf.g == g].v.to_numpy(), fr)), g

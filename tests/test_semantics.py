@@ -198,3 +198,13 @@ def test_fuzzy_ties_and_cutoff(spark):
         m = difflib.get_close_matches(w, poss, n=1, cutoff=0.5)
         assert got.get(w, (None,))[0] == (m[0] if m else None)
     assert got["ab"] == ("aby", 2)
+
+
+def test_text_classes_are_pythons(spark):
+    import re
+    from cosecha.functions.text import normalize_text
+    texts = ["m² agua", "½ kilo", "limón", "x‿y", "a\x1cb", "\x1f z \x1c", " Limón Ñuble, (1ª) 50% \t", "a\xa0b_c", "Ⅷ ①"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: r["n"] for r in df.select("t", normalize_text("t").alias("n")).collect()}
+    for t in texts:
+        assert got[t] == re.sub(r"\s+", " ", re.sub(r"[^\w\s]", "", t.lower().strip())), ascii(t)

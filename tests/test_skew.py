@@ -21,12 +21,12 @@ def skewed(spark):
     return pdf, spark.createDataFrame(pdf).repartition(8)
 
 
-@pytest.mark.parametrize("small", [10**9, 50])
-def test_quantiles_exact_under_skew(skewed, small):
+@pytest.mark.parametrize("buckets", [16, 1024])
+def test_quantiles_exact_under_skew(skewed, buckets):
     pdf, df = skewed
     fr = [0.25, 0.5, 0.75, 0.9]
     got = {r["g"]: list(r["quantiles"]) for r in
-           exact_quantiles(df, "v", fr, by=["g"], small_group=small, buckets=16).collect()}
+           exact_quantiles(df, "v", fr, by=["g"], buckets=buckets).collect()}
     for g, vals in got.items():
         assert vals == list(np.quantile(pdf[pdf.g == g].v.to_numpy(), fr)), g
 
@@ -38,9 +38,19 @@ def test_prevalence_under_skew(skewed):
     assert got == {k: (int(r["count"]), int(r["sum"])) for k, r in exp.iterrows()}
 
 
-def test_hot_group_rows_joined_by_broadcast(skewed):
+def test_hot_group_box_and_density(skewed):
+    pdf, df = skewed
+    sizes = pdf.groupby("g").size().to_dict()
+    for r in box_stats(df, "g", "v").collect():
+        v = pdf[pdf.g == r["g"]].v
+        assert r["n"] == sizes[r["g"]] and r["median"] == np.quantile(v, 0.5)
+    assert density_by_group(df, "g", "v", grid=10).count() == 10 * len(sizes)
+
+
+def test_no_task_ranks_a_whole_column(skewed):
+    from cosecha.operators.quantile import exact_quantiles
     _, df = skewed
-    for out in (box_stats(df, "g", "v"), density_by_group(df, "g", "v", grid=10)):
-        out.collect()
-        p = out._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" not in p and "BroadcastHashJoin" in p
+    p = exact_quantiles(df, "v", [0.5])._jdf.queryExecution().executedPlan().toString()
+    # everything meets in one task only as partial aggregates, never as rows of a window
+    windows = [i for i, ln in enumerate(p.splitlines()) if "Window " in ln]
+    assert windows and "Exchange SinglePartition" not in "\n".join(p.splitlines()[windows[0]:windows[0] + 4])

@@ -97,17 +97,3 @@ def test_ingest_isolates_failures(spark, sf0001):
     got = {r.table_name: (r.status, r.n_rows, r.n_cols, r.error) for r in rep.collect()}
     assert got["BAD"][0] == "error" and got["BAD"][3] == "PATH_NOT_FOUND"
     assert got["GOOD"] == ("ok", 5, 1, None)
-
-
-def test_stored_table_built_once_and_reused(spark, sf0001):
-    from cosecha.plans.store import stored
-    calls = []
-
-    def build():
-        calls.append(1)
-        return A.table(spark, sf0001, "region")
-
-    inputs = [f"{sf0001}/region.parquet"]
-    a = stored(spark, "test_region", inputs, build)
-    b = stored(spark, "test_region", inputs, build)
-    assert a.count() == b.count() == 5 and len(calls) == 1
