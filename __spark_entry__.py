@@ -259,8 +259,7 @@ def q_ols_fit(spark, d):
 def q_whatif_predict(spark, d):
     w = an.quality_whatif(_integrated(spark, d))
     return _round(w.select("precio_promedio_clp", "indice_calidad", "precio_simulado", "calidad_esperada",
-                           "grupo_odepa"), 6, "precio_promedio_clp", "indice_calidad", "precio_simulado",
-                  "calidad_esperada")
+                           "grupo_odepa"), 6, "calidad_esperada")
 
 
 def q_whatif_delta(spark, d):
@@ -268,8 +267,7 @@ def q_whatif_delta(spark, d):
 
 
 def q_quality_index(spark, d):
-    q = an.quality_index(_integrated(spark, d))
-    return _round(q, 6, "precio_promedio_clp", "indice_calidad")
+    return an.quality_index(_integrated(spark, d))
 
 
 def q_welch_ttest(spark, d):
@@ -336,7 +334,7 @@ def q_completeness(spark, d):
     return _round(sv.final_completeness(sv.final_analysis(A.survey_a(spark, d))), 9, "completitud_pct")
 
 
-INVENTORY = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "no_such_table"]
+INVENTORY = [*A.BASE_TABLES, "no_such_table"]
 
 
 def q_table_inventory(spark, d):

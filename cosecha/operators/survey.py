@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from typing import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,7 +92,9 @@ def table_inventory(spark: SparkSession, tables: Mapping[str, Callable[[], DataF
     for t, load in tables.items():
         try:
             df = load()
-        except Exception:  # noqa: BLE001 - an unreadable table is the reported outcome
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+                raise  # unreadable is not missing
             missing.append(t)
             continue
         parts.append(df.agg(F.lit(t).alias(name), F.lit("ok").alias(status), F.count(F.lit(1)).alias(rows)))

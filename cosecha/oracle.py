@@ -11,7 +11,7 @@ among the food descriptions, so the best difflib match is the identical text
 
 from __future__ import annotations
 
-from cosecha.adapters import duckdb_view
+from cosecha.adapters import BASE_TABLES, duckdb_view
 from cosecha.plans import analysis as an
 from cosecha.plans import food as fd
 from cosecha.plans import prices as pr
@@ -286,8 +286,8 @@ ORACLE: dict[str, str] = {
         SELECT round(covar_samp(Fibra, precio_promedio_clp) / nullif(stddev_samp(Fibra) * stddev_samp(precio_promedio_clp), 0), 9) AS corr
         FROM integrated WHERE Fibra IS NOT NULL AND precio_promedio_clp > 0"""),
     "quality_index": _with(*INTEGRATED_CHAIN, QUALITY, body="""
-        SELECT round(precio_promedio_clp, 6) AS precio_promedio_clp, Fibra, Colesterol_Dietetico, Grasas_Saludables,
-               grupo_odepa, round(indice_calidad, 6) AS indice_calidad FROM qi"""),
+        SELECT precio_promedio_clp, Fibra, Colesterol_Dietetico, Grasas_Saludables, grupo_odepa, indice_calidad
+        FROM qi"""),
     "ols_fit": _with(*INTEGRATED_CHAIN, QUALITY, body="""
         SELECT round(regr_slope(indice_calidad, precio_promedio_clp), 9) AS slope,
                round(regr_intercept(indice_calidad, precio_promedio_clp), 9) AS intercept,
@@ -295,8 +295,8 @@ ORACLE: dict[str, str] = {
                CAST(regr_count(indice_calidad, precio_promedio_clp) AS BIGINT) AS n
         FROM qi WHERE indice_calidad IS NOT NULL"""),
     "whatif_predict": _with(*INTEGRATED_CHAIN, QUALITY, MODEL, WHATIF, body="""
-        SELECT round(precio_promedio_clp, 6) AS precio_promedio_clp, round(indice_calidad, 6) AS indice_calidad,
-               round(precio_simulado, 6) AS precio_simulado, round(calidad_esperada, 6) AS calidad_esperada, grupo_odepa
+        SELECT precio_promedio_clp, indice_calidad, precio_simulado, round(calidad_esperada, 6) AS calidad_esperada,
+               grupo_odepa
         FROM whatif"""),
     "whatif_delta": _with(*INTEGRATED_CHAIN, QUALITY, MODEL, WHATIF,
                           body="SELECT round(avg(calidad_esperada) - avg(indice_calidad), 6) AS delta FROM whatif"),
@@ -357,7 +357,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'bmxbmi', round(count(bmxbmi) / count(*) * 100, 9) FROM survey_a"""),
     "table_inventory": " UNION ALL ".join(
         [f"SELECT '{t}' AS table_name, 'ok' AS status, count(*) AS n_rows FROM {t}"
-         for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]]
+         for t in BASE_TABLES]
         + ["SELECT 'no_such_table', 'missing', CAST(NULL AS BIGINT)"]),
     "flow_food_integrated": _with(*FOOD_CHAIN, body="SELECT * FROM food_integrated"),
     "flow_price_products": _with(*PRICE_CHAIN, body="""

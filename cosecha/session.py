@@ -79,6 +79,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     unset (local runs, tests) do we create one of our own."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.conf.get("spark.master", "local").startswith("local") or \
+                spark.conf.get("spark.master", "local").startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="cosecha-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:

@@ -8,7 +8,9 @@ the ordinary readers (CSV, XPORT) then scan in parallel."""
 
 from __future__ import annotations
 
+import uuid
 import zipfile
+import zlib
 from typing import Sequence
 
 import pandas as pd
@@ -21,7 +23,8 @@ CHUNK = 8 << 20
 
 def _unpack_one(archive: str, dest: str, members: Sequence[str] | None, xpt_first: bool):
     fs, p = _fs(archive)
-    stem = archive.rstrip("/").rsplit("/", 1)[-1]
+    # archives of one name from different folders keep apart
+    stem = f"{archive.rstrip('/').rsplit('/', 1)[-1]}-{zlib.crc32(archive.encode()):08x}"
     out_rows = []
     with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as z:
         names = z.namelist()
@@ -30,22 +33,25 @@ def _unpack_one(archive: str, dest: str, members: Sequence[str] | None, xpt_firs
             if not chosen:
                 raise FileNotFoundError(f"{archive}: no .xpt member")
         elif members is not None:
-            base = {n.rsplit("/", 1)[-1]: n for n in names}
-            chosen = [base[m] for m in members if m in base]
+            chosen = [n for m in members for n in names if n.rsplit("/", 1)[-1] == m]
         else:
             chosen = [n for n in names if not n.endswith("/")]
         for m in chosen:
-            target = f"{dest.rstrip('/')}/{stem}/{m.strip().rsplit('/', 1)[-1]}"
+            # the member's own folders stay, so equal base names do too
+            inside = "/".join(x for x in m.strip().split("/") if x not in ("", ".", ".."))
+            target = f"{dest.rstrip('/')}/{stem}/{inside}"
             tfs, tp = _fs(target)
+            aside = f"{tp.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}"
             tfs.create_dir(tp.rsplit("/", 1)[0], recursive=True)
             size = 0
-            with z.open(m) as src, tfs.open_output_stream(tp) as dst:
+            with z.open(m) as src, tfs.open_output_stream(aside) as dst:
                 while True:
                     chunk = src.read(CHUNK)
                     if not chunk:
                         break
                     dst.write(chunk)
                     size += len(chunk)
+            tfs.move(aside, tp)  # a repeated attempt never leaves half a file
             out_rows.append((archive, m.strip().rsplit("/", 1)[-1], target, size))
     return out_rows
 

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from cosecha.functions.text import table_name
 from cosecha.operators.relational import select_existing
 from cosecha.sources import archive
-from cosecha.sources.tables import scan_table, write_replace
+from cosecha.sources.tables import concurrently, scan_table, write_replace
 from cosecha.sources.xport import read_xport
 
 log = logging.getLogger(__name__)
@@ -53,10 +53,10 @@ def _load(spark: SparkSession, entry: Mapping, scratch: str) -> DataFrame:
     if fmt == "csv":
         return read_csv(spark, path, entry.get("schema"))
     if fmt == "xport":
-        return read_xport(spark, path)
+        return read_xport(spark, path, entry.get("columns"))
     if fmt == "zip_xport":
         out = archive.unpack(spark, [path], f"{scratch}/{entry['name']}", xpt_first=True).collect()
-        return read_xport(spark, out[0].path)
+        return read_xport(spark, out[0].path, entry.get("columns"))
     if fmt == "parquet":
         return spark.read.parquet(path)
     raise ValueError(f"unknown format {fmt!r}")
@@ -97,23 +97,21 @@ def ingest(spark: SparkSession, manifest: Sequence[Mapping], store: str, scratch
     Entry keys: ``name``, ``format`` (csv, xport, zip_xport, zip_csv,
     parquet), ``path``, optional ``columns`` (schema-tolerant selection),
     and for zip_csv ``members`` + ``prefix``."""
-    rows = []
-    for e in expand_manifest(spark, manifest, scratch):
+    def load(e: Mapping) -> tuple:
         name = e["name"]
         if e["format"] == "missing":
-            rows.append((name, "missing", None, None, None))
-            continue
+            return name, "missing", None, None, None
         if e["format"] == "error":
-            rows.append((name, "error", None, None, e["error"]))
-            continue
+            return name, "error", None, None, e["error"]
         try:
             df = _load(spark, e, scratch)
             if e.get("columns"):
                 df = select_existing(df, e["columns"])
             write_replace(df, store, name)
             stored = scan_table(spark, store, name)
-            rows.append((name, "ok", stored.count(), len(stored.columns), None))
+            return name, "ok", stored.count(), len(stored.columns), None
         except Exception as err:  # noqa: BLE001 - isolation is the point
             log.warning("ingest of %s failed: %s", name, err)
-            rows.append((name, "error", None, None, _error_code(err)))
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+            return name, "error", None, None, _error_code(err)
+
+    return spark.createDataFrame(concurrently(load, expand_manifest(spark, manifest, scratch)), REPORT_SCHEMA)

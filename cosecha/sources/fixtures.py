@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cosecha import adapters as A
+from cosecha.functions.text import table_name
 from cosecha.session import scratch_path
 from cosecha.sources import archive
 from cosecha.sources.files import ingest, read_csv
-from cosecha.sources.tables import copy_all, list_tables, row_counts, scan_table, write_replace
+from cosecha.sources.tables import concurrently, copy_all, list_tables, row_counts, scan_table, write_replace
 from cosecha.sources.xport import list_files, read_xport, write_xport
 
 # part with XPORT-legal (<= 8 character) names
@@ -92,44 +93,53 @@ def q_sink_replace(spark: SparkSession, d: str) -> DataFrame:
     return scan_table(spark, store, "nation")
 
 
-def _two_table_store(spark, d) -> str:
+def _whole_store(spark, d) -> str:
+    """Every given table in a store of its own."""
     store = scratch_path(spark, "store")
-    for t in ("region", "nation"):
-        write_replace(A.table(spark, d, t), store, t)
+    concurrently(lambda t: write_replace(A.table(spark, d, t), store, t), A.BASE_TABLES)
     return store
 
 
 def q_list_tables(spark: SparkSession, d: str) -> DataFrame:
-    return list_tables(spark, _two_table_store(spark, d))
+    return list_tables(spark, _whole_store(spark, d))
 
 
 def q_copy_all(spark: SparkSession, d: str) -> DataFrame:
-    src = _two_table_store(spark, d)
+    src = _whole_store(spark, d)
     dst = scratch_path(spark, "copy")
     names = copy_all(spark, src, dst)
     return row_counts(spark, dst, names)
 
 
 def q_ingest_report(spark: SparkSession, d: str) -> DataFrame:
+    """Every source kind: two CSV tables (one with a tolerant column list), a
+    transport file, a zipped transport file, a zipped CSV bundle with an absent
+    member, a missing file. Names come from the file names by rule."""
     work = scratch_path(spark, "ingest")
-    # a zipped CSV bundle (nation.csv, region.csv), a transport file, a missing file
-    csv_dir = f"{work}/csv"
-    for t in ("nation", "region"):
-        A.table(spark, d, t).write.option("header", True).csv(f"{csv_dir}/{t}")
-    bundle_files = []
-    for t in ("nation", "region"):
-        bundle_files += [f for f in list_files(f"{csv_dir}/{t}", ".csv")]
-    # one archive per CSV part file; the bundle entry points at the nation archive set
-    region_xpt = f"{work}/xpt"
-    write_xport(A.table(spark, d, "region").select(F.col("r_regionkey").alias("R_KEY"),
-                                                   F.col("r_name").alias("R_NAME")).coalesce(1),
-                region_xpt, member="REGION")
+
+    def csv(t):
+        A.table(spark, d, t).write.option("header", True).csv(f"{work}/csv/{t}")
+        return f"{work}/csv/{t}"
+
+    def xpt(t, **cols):
+        write_xport(A.table(spark, d, t).select(*[F.col(c).alias(n) for n, c in cols.items()]).coalesce(1),
+                    f"{work}/xpt/{t}", member=t.upper()[:8])
+        return f"{work}/xpt/{t}"
+
+    A.table(spark, d, "part").coalesce(1).write.option("header", True).csv(f"{work}/csv/part")
+    bundle = archive.zip_files(spark, list_files(f"{work}/csv/part", ".csv"), f"{work}/zip/csv",
+                               member_name=lambda f: "food.csv")
+    customer = xpt("customer", C_KEY="c_custkey", C_BAL="c_acctbal", C_SEG="c_mktsegment")
+    orders = xpt("orders", O_KEY="o_orderkey", O_PRICE="o_totalprice", O_STAT="o_orderstatus")
+    zipped = archive.zip_files(spark, list_files(orders), f"{work}/zip/xpt", member_name=lambda f: "LLCP.XPT ")
     manifest = [
-        {"name": "FDC_NATION", "format": "csv", "path": f"{csv_dir}/nation"},
-        {"name": "FDC_REGION", "format": "csv", "path": f"{csv_dir}/region",
-         "columns": ["r_regionkey", "r_name", "r_comment"]},
-        {"name": "REGION_XPT", "format": "xport", "path": region_xpt},
-        {"name": "FDC_MISSING", "format": "csv", "path": f"{work}/no_such_file.csv"},
+        {"name": table_name("orders.csv", "ODEPA_"), "format": "csv", "path": csv("orders")},
+        {"name": table_name("customer.csv"), "format": "csv", "path": csv("customer"),
+         "columns": ["c_custkey", "c_name", "c_comment_x"]},
+        {"name": "CUSTOMER_XPT", "format": "xport", "path": customer},
+        {"name": "ORDERS_XPT", "format": "zip_xport", "path": zipped[0], "columns": ["O_KEY", "O_STAT", "_STATE"]},
+        {"format": "zip_csv", "path": bundle[0], "members": ["food.csv", "nutrient.csv"], "prefix": "FDC_"},
+        {"name": table_name("no_such_file.csv", "FDC_"), "format": "csv", "path": f"{work}/no_such_file.csv"},
     ]
     return ingest(spark, manifest, f"{work}/store", f"{work}/scratch")
 
@@ -142,13 +152,15 @@ ORACLE_SOURCES = {
     "src_zip_xport": ("SELECT CAST(p_partkey AS DOUBLE) AS PARTKEY, p_name AS NAME, p_brand AS BRAND, "
                       "p_type AS TYPE, CAST(p_size AS DOUBLE) AS SIZE, p_retailprice AS RETAILPR FROM part"),
     "sink_replace": "SELECT * FROM nation",
-    "list_tables": "SELECT 'nation' AS table_name UNION ALL SELECT 'region'",
-    "copy_all": ("SELECT 'nation' AS table_name, count(*) AS n_rows FROM nation "
-                 "UNION ALL SELECT 'region', count(*) FROM region"),
+    "list_tables": " UNION ALL ".join(f"SELECT '{t}' AS table_name" for t in A.BASE_TABLES),
+    "copy_all": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in A.BASE_TABLES),
     "ingest_report": (
-        "SELECT 'FDC_NATION' AS table_name, 'ok' AS status, count(*) AS n_rows, 3 AS n_cols, "
-        "CAST(NULL AS VARCHAR) AS error FROM nation "
-        "UNION ALL SELECT 'FDC_REGION', 'ok', count(*), 2, NULL FROM region "
-        "UNION ALL SELECT 'REGION_XPT', 'ok', count(*), 2, NULL FROM region "
-        "UNION ALL SELECT 'FDC_MISSING', 'error', NULL, NULL, 'PATH_NOT_FOUND'"),
+        "SELECT 'ODEPA_ORDERS' AS table_name, 'ok' AS status, count(*) AS n_rows, "
+        "(SELECT count(*) FROM (DESCRIBE orders)) AS n_cols, CAST(NULL AS VARCHAR) AS error FROM orders "
+        "UNION ALL SELECT 'CUSTOMER', 'ok', count(*), 2, NULL FROM customer "
+        "UNION ALL SELECT 'CUSTOMER_XPT', 'ok', count(*), 3, NULL FROM customer "
+        "UNION ALL SELECT 'ORDERS_XPT', 'ok', count(*), 2, NULL FROM orders "
+        "UNION ALL SELECT 'FDC_FOOD', 'ok', count(*), (SELECT count(*) FROM (DESCRIBE part)), NULL FROM part "
+        "UNION ALL SELECT 'FDC_NUTRIENT', 'missing', NULL, NULL, NULL "
+        "UNION ALL SELECT 'FDC_NO_SUCH_FILE', 'error', NULL, NULL, 'PATH_NOT_FOUND'"),
 }

@@ -34,8 +34,9 @@ def write_replace(df: DataFrame, store: str, name: str, fmt: str = "parquet",
     so Parquet row-group min/max statistics serve later filters on them (the
     Spark counterpart of the secondary indexes the source pipeline builds)."""
     if cluster_by:
-        n = partitions or df.sparkSession.sparkContext.defaultParallelism
-        df = df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+        # without a count the adaptive planner sizes the files by bytes
+        df = df.repartitionByRange(partitions, *cluster_by) if partitions else df.repartitionByRange(*cluster_by)
+        df = df.sortWithinPartitions(*cluster_by)
     elif partitions:
         df = df.repartition(partitions)
     w = df.write.mode("overwrite").format(fmt).options(**(options or {}))
@@ -63,20 +64,32 @@ def copy_all(spark: SparkSession, source: str, target: str, fmt: str = "parquet"
              options: Mapping[str, str] | None = None, source_fmt: str = "parquet") -> list[str]:
     """S9 copy every table of ``source`` to ``target`` with replace semantics.
     ``fmt``/``options`` select the target writer (``parquet``, ``jdbc`` with
-    the caller's url/user/password options, ...). Each copy is one distributed
-    read-write job; nothing passes through the driver."""
+    the caller's url/user/password options, ...; the table is always named as
+    in ``source``). Each copy is one distributed read-write job, several run at
+    a time; nothing passes through the driver."""
     names = [r.table_name for r in list_tables(spark, source).collect()]
-    for n in names:
+
+    def copy(n: str) -> None:
         df = scan_table(spark, source, n, source_fmt)
         if fmt == "jdbc":
-            opts = dict(options or {})
-            opts.setdefault("dbtable", n)
-            df.write.mode("overwrite").format("jdbc").options(**opts).save()
+            df.write.mode("overwrite").format("jdbc").options(**{**(options or {}), "dbtable": n}).save()
         else:
             write_replace(df, target, n, fmt=fmt, options=options)
+
+    concurrently(copy, names)
     return names
 
 
+def concurrently(job, items: Sequence) -> list:
+    """Run independent Spark jobs side by side; results in order, the first
+    failure is raised."""
+    from concurrent.futures import ThreadPoolExecutor
+    if not items:
+        return []
+    with ThreadPoolExecutor(min(4, len(items))) as pool:
+        return list(pool.map(job, items))
+
+
 def row_counts(spark: SparkSession, store: str, names: Sequence[str], fmt: str = "parquet") -> DataFrame:
     """(table_name, n_rows) for the given tables, as one lazy union."""
     parts = [scan_table(spark, store, n, fmt).agg(F.lit(n).alias("table_name"),

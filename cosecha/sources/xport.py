@@ -26,6 +26,7 @@ from __future__ import annotations
 import fnmatch
 import json
 import struct
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -64,6 +65,8 @@ class Layout:
 
 def _fs(path: str):
     import pyarrow.fs as pafs
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
     if "://" in path:
         return pafs.FileSystem.from_uri(path)
     return pafs.LocalFileSystem(), path
@@ -73,7 +76,8 @@ def list_files(path: str, suffix: str = ".xpt") -> list[str]:
     """A file, the ``suffix`` files of a folder (case-insensitive), or a glob."""
     import pyarrow.fs as pafs
     fs, p = _fs(path)
-    scheme = path[: path.index("://") + 3] if "://" in path else ""
+    # what stands before the file system's own path: scheme and host
+    scheme = path[: -len(p)] if p and path.endswith(p) and "://" in path else ""
     if any(ch in p for ch in "*?["):
         parent, pattern = p.rsplit("/", 1)
         infos = fs.get_file_info(pafs.FileSelector(parent))
@@ -202,17 +206,30 @@ def decode_records(buf: bytes, layout: Layout, wanted: list, encoding: str) -> p
     n = len(buf) // reclen
     rec = np.frombuffer(buf, dtype=np.uint8, count=n * reclen).reshape(n, reclen)
     arrays, names = [], []
-    for v, out_name in wanted:
+    for v, field in wanted:
+        names.append(field.name)
+        if v is None:  # another file of the folder has this variable
+            arrays.append(pa.nulls(n, pa.float64() if isinstance(field.dataType, DoubleType) else pa.string()))
+            continue
         cell = rec[:, v.position: v.position + v.length]
         if v.numeric:
             vals, miss = ibm_to_double(cell)
             arrays.append(pa.array(vals, type=pa.float64(), mask=miss))
         else:
             arrays.append(_decode_chars(np.ascontiguousarray(cell), v.length, encoding))
-        names.append(out_name)
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
+def _one_member(path: str, buf: bytes, offset: int) -> None:
+    """Records end where a second member begins: reading on would decode its
+    headers as values."""
+    i = buf.find(MEMBER_HEADER[:48])
+    while i >= 0:
+        if (offset + i) % CARD == 0:
+            raise ValueError(f"{path}: a transport file with several members; split it first")
+        i = buf.find(MEMBER_HEADER[:48], i + 1)
+
+
 # ------------------------------------------------------------ data source
 
 @dataclass
@@ -222,6 +239,13 @@ class XportPartition(InputPartition):
     count: int
 
 
+def _layouts(files: list[str]) -> list:
+    """(file, layout) of every file; headers are read side by side."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(16) as pool:
+        return list(zip(files, pool.map(read_layout, files)))
+
+
 class XportReader(DataSourceReader):
     def __init__(self, options, schema: StructType):
         self.options = options
@@ -233,8 +257,8 @@ class XportReader(DataSourceReader):
     def partitions(self):
         per = int(self.options.get("recordsPerPartition", DEFAULT_RECORDS_PER_PARTITION))
         parts = []
-        for f in self._files():
-            n = read_layout(f).n_records
+        for f, layout in _layouts(self._files()):
+            n = layout.n_records
             for s in range(0, n, per):
                 parts.append(XportPartition(f, s, min(per, n - s)))
         return parts or [XportPartition("", 0, 0)]
@@ -244,26 +268,37 @@ class XportReader(DataSourceReader):
             return
         layout = read_layout(partition.path)
         by_name = {v.name.lower(): v for v in layout.variables}
-        wanted = [(by_name[f.name.lower()], f.name) for f in self.schema.fields]
+        wanted = [(by_name.get(f.name.lower()), f) for f in self.schema.fields]
         enc = self.options.get("encoding", "utf-8")
         fs, p = _fs(partition.path)
         with fs.open_input_file(p) as fh:
-            fh.seek(layout.data_start + partition.start * layout.record_length)
+            at = layout.data_start + partition.start * layout.record_length
+            fh.seek(at - CARD)
+            before = fh.read(CARD)
             left = partition.count
             while left:
                 k = min(BATCH_RECORDS, left)
                 buf = fh.read(k * layout.record_length)
+                _one_member(partition.path, before + buf, at - CARD)
+                before, at = (before + buf)[-CARD:], at + len(buf)
                 yield decode_records(buf, layout, wanted, enc)
                 left -= k
 
 
+@dataclass
+class XportWritten(WriterCommitMessage):
+    written: str
+    final: str
+
+
 class XportWriter(DataSourceArrowWriter):
     """One transport file per task, streamed batch by batch (v5 files carry
     no row count, so the header does not wait for the data)."""
 
-    def __init__(self, options, schema: StructType):
+    def __init__(self, options, schema: StructType, overwrite: bool):
         self.options = options
         self.schema = schema
+        self.overwrite = overwrite
 
     def write(self, iterator):
         from pyspark import TaskContext
@@ -284,8 +319,27 @@ class XportWriter(DataSourceArrowWriter):
                 out.write(body)
                 written += len(body)
             out.write(b" " * ((-written) % CARD))
-        fs.move(p, p.rsplit("/", 1)[0] + "/" + name)
-        return WriterCommitMessage()
+        return XportWritten(tmp, f"{base}/{name}" if self.overwrite else
+                            f"{base}/{name[:-4]}-{uuid.uuid4().hex[:8]}.xpt")
+
+    def commit(self, messages):
+        """All tasks are done: their files take their names; what an overwrite
+        replaces goes first."""
+        base = self.options["path"].rstrip("/")
+        fs, p = _fs(base)
+        fs.create_dir(p, recursive=True)
+        if self.overwrite:
+            for f in list_files(base):
+                fs.delete_file(_fs(f)[1])
+        for m in messages:
+            if m is not None:
+                fs.move(_fs(m.written)[1], _fs(m.final)[1])
+
+    def abort(self, messages):
+        for m in messages:
+            if m is not None:
+                fs, p = _fs(m.written)
+                fs.delete_file(p)
 
 
 class XportDataSource(DataSource):
@@ -297,7 +351,13 @@ class XportDataSource(DataSource):
         files = list_files(self.options["path"])
         if not files:
             raise FileNotFoundError(self.options["path"])
-        full = schema_of(read_layout(files[0]))
+        # the variables of all files, in the order in which they first appear
+        fields: dict = {}
+        for path, layout in _layouts(files):
+            for f in schema_of(layout).fields:
+                if fields.setdefault(f.name.lower(), f).dataType != f.dataType:
+                    raise ValueError(f"{path}: {f.name} is numeric in one file and character in another")
+        full = StructType(list(fields.values()))
         cols = self.options.get("columns")
         if cols:
             keep = {c.strip().lower() for c in cols.split(",")}
@@ -308,7 +368,7 @@ class XportDataSource(DataSource):
         return XportReader(self.options, schema)
 
     def writer(self, schema: StructType, overwrite: bool):
-        return XportWriter(self.options, schema)
+        return XportWriter(self.options, schema, overwrite)
 
 
 def register(spark) -> None:

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from cosecha.adapters import BASE_TABLES
 
 SLOW = {"src_csv", "src_zip_csv", "src_xport", "src_zip_xport", "ingest_report", "copy_all"}
 
@@ -26,7 +27,7 @@ def _rows(cols, recs):
 @pytest.fixture(scope="module")
 def con(sf0001):
     c = duckdb.connect()
-    for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]:
+    for t in BASE_TABLES:
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf0001}/{t}.parquet')")
     return c
 

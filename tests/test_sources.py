@@ -97,3 +97,66 @@ def test_ingest_isolates_failures(spark, sf0001):
     got = {r.table_name: (r.status, r.n_rows, r.n_cols, r.error) for r in rep.collect()}
     assert got["BAD"][0] == "error" and got["BAD"][3] == "PATH_NOT_FOUND"
     assert got["GOOD"] == ("ok", 5, 1, None)
+
+
+def test_zip_members_and_archives_of_one_name_keep_apart(spark):
+    import os
+    import zipfile
+    d = tempfile.mkdtemp(prefix="zz-")
+    for k in "xy":
+        os.makedirs(f"{d}/{k}")
+        with zipfile.ZipFile(f"{d}/{k}/b.zip", "w") as z:
+            z.writestr("a/t.csv", f"v\n{k}1\n")
+            z.writestr("b/t.csv", f"v\n{k}2\n")
+    out = archive.unpack(spark, [f"{d}/x/b.zip", f"{d}/y/b.zip"], f"{d}/u", members=["t.csv"]).collect()
+    assert len({r.path for r in out}) == 4
+    got = spark.read.option("header", True).csv([r.path for r in out])
+    assert sorted(r.v for r in got.collect()) == ["x1", "x2", "y1", "y2"]
+
+
+def _xpt(spark, path, rows, ddl, parts=1):
+    write_xport(spark.createDataFrame(rows, ddl).repartition(parts), path)
+    return list_files(path)
+
+
+def test_xport_second_member_is_refused(spark):
+    import pytest
+    d = tempfile.mkdtemp(prefix="xm-")
+    one = open(_xpt(spark, f"{d}/a", [(float(i),) for i in range(5)], "K double")[0], "rb").read()
+    two = open(_xpt(spark, f"{d}/b", [(float(i),) for i in range(90)], "J double")[0], "rb").read()
+    with open(f"{d}/both.xpt", "wb") as f:
+        f.write(one + two[240:])
+    for per in (3, 1000):
+        with pytest.raises(Exception, match="several members"):
+            spark.read.format("xport").option("recordsPerPartition", per).load(f"{d}/both.xpt").collect()
+
+
+def test_xport_folder_has_the_variables_of_all_files(spark):
+    import shutil
+    d = tempfile.mkdtemp(prefix="xf-")
+    shutil.copy(_xpt(spark, f"{d}/a", [(1.0, "p")], "K double, A string")[0], f"{d}/1.xpt")
+    shutil.copy(_xpt(spark, f"{d}/b", [(2.0, 5.0)], "K double, B double")[0], f"{d}/2.xpt")
+    shutil.rmtree(f"{d}/a")
+    shutil.rmtree(f"{d}/b")
+    assert sorted(tuple(r) for r in read_xport(spark, f"file://{d}").collect()) == [(1.0, "p", None), (2.0, None, 5.0)]
+
+
+def test_xport_overwrite_and_append(spark):
+    d = tempfile.mkdtemp(prefix="xo-")
+    _xpt(spark, f"{d}/t", [(float(i),) for i in range(100)], "K double", 4)
+    _xpt(spark, f"{d}/t", [(1.0,), (2.0,), (3.0,)], "K double")
+    assert read_xport(spark, f"{d}/t").count() == 3
+    spark.createDataFrame([(4.0,)], "K double").write.format("xport").mode("append").save(f"{d}/t")
+    assert sorted(r.K for r in read_xport(spark, f"{d}/t").collect()) == [1.0, 2.0, 3.0, 4.0]
+
+
+def test_unreadable_is_not_missing(spark):
+    import pytest
+    from cosecha.operators.survey import table_inventory
+    d = tempfile.mkdtemp(prefix="inv-")
+    with open(f"{d}/bad.parquet", "w") as f:
+        f.write("no parquet")
+    load = {"bad": lambda: spark.read.parquet(f"{d}/bad.parquet"), "gone": lambda: spark.read.parquet(f"{d}/gone")}
+    assert [r.status for r in table_inventory(spark, {"gone": load["gone"]}).collect()] == ["missing"]
+    with pytest.raises(Exception):
+        table_inventory(spark, load).collect()
