@@ -371,6 +371,23 @@ ORACLE: dict[str, str] = {
 
 ORACLE["top_k_states"] = ORACLE["state_profile"] + f" LIMIT {an.TOP_STATES}"
 
+# the two-sided p is one minus the t density's integral over (-|t|, |t|), by Simpson's rule
+ORACLE["welch_pvalue"] = _with(*INTEGRATED_CHAIN, TWO_U, ("ws", """
+    SELECT count(*) FILTER (WHERE c = 'Saludable') AS n_a, count(*) FILTER (WHERE c = 'No_Saludable') AS n_b,
+           avg(v) FILTER (WHERE c = 'Saludable') AS mean_a, avg(v) FILTER (WHERE c = 'No_Saludable') AS mean_b,
+           var_samp(v) FILTER (WHERE c = 'Saludable') AS var_a, var_samp(v) FILTER (WHERE c = 'No_Saludable') AS var_b
+    FROM (SELECT clasificacion_salud AS c, precio_promedio_clp AS v FROM tu)"""), ("wt", """
+    SELECT *, (mean_a - mean_b) / sqrt(var_a / n_a + var_b / n_b) AS t,
+           (var_a / n_a + var_b / n_b) * (var_a / n_a + var_b / n_b)
+             / ((var_a / n_a) * (var_a / n_a) / (n_a - 1) + (var_b / n_b) * (var_b / n_b) / (n_b - 1)) AS dof
+    FROM ws WHERE n_a > 2 AND n_b > 2"""), ("wp", """
+    SELECT 1 - 2 * sum(CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+                       * pow(1 + (abs(t) * i / 20000) * (abs(t) * i / 20000) / dof, -(dof + 1) / 2))
+               * any_value(exp(lgamma((dof + 1) / 2) - lgamma(dof / 2)) / sqrt(dof * pi()) * abs(t) / 60000) AS p
+    FROM wt, range(0, 20001) r(i)"""), body="""
+    SELECT n_a, n_b, round(mean_a, 6) AS mean_a, round(mean_b, 6) AS mean_b, round(var_a, 3) AS var_a,
+           round(var_b, 3) AS var_b, round(t, 6) AS t, round(dof, 6) AS dof, abs(round(p, 6)) AS p FROM wt, wp""")
+
 ORACLE["flow_integration"] = _with(V("survey_a"), V("survey_b"), *MATCHED_CHAIN, body="""
     SELECT 'FDC_NUTRIENTES_INTEGRADO' AS table_name, 'ok' AS status, count(*) AS n_rows FROM food_integrated
     UNION ALL SELECT 'ODEPA_AGREGADO', 'ok', count(*) FROM products
