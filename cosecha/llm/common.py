@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -20,6 +22,13 @@ ARROW_CONF = {
 }
 
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim  # noqa: B018
+except (OSError, AttributeError):  # another C library: nothing to trim
+    _LIBC = None
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Make a session ready: package shipped to the workers, shared scratch
     folder known, Arrow batches bounded."""
@@ -40,6 +49,22 @@ def store(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished steps now, and
+    not at its next periodic collection: a job of several large steps would hold
+    the files of all of them until then."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def trim() -> None:
+    """In a Python worker: give freed memory back to the system between large
+    rows, so that two workers and the JVM fit an executor."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
