@@ -187,7 +187,7 @@ def q_quintile_bin(spark, d):
 
 
 def q_nutrient_gap_by_income(spark, d):
-    return an.income_gap(A.survey_a(spark, d), "indfmpir", ["bmxbmi", "ridageyr"])
+    return an.income_gap(A.survey_a(spark, d), "indfmpir", ["promedio_tfibe", "promedio_tchol"])
 
 
 def q_prevalence_age(spark, d):

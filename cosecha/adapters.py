@@ -54,7 +54,16 @@ SELECT c_custkey AS seqn, 18+c_custkey%63 AS ridageyr,
        CASE WHEN c_nationkey=24 THEN NULL ELSE c_nationkey%6+1 END AS edad_grupo_brfss,
        CASE WHEN c_custkey%11=0 THEN NULL WHEN c_custkey%7=0 THEN 1 ELSE 0 END AS tiene_diabetes,
        CASE WHEN c_acctbal<2000 THEN 'Baja' WHEN c_acctbal<6000 THEN 'Media' ELSE 'Alta' END AS categoria_fibra,
-       CASE WHEN c_acctbal<4000 THEN 'Alto' ELSE 'Bajo' END AS categoria_azucar
+       CASE WHEN c_acctbal<4000 THEN 'Alto' ELSE 'Bajo' END AS categoria_azucar,
+       1+c_custkey%2 AS riagendr,
+       CASE WHEN c_custkey%9=0 THEN NULL ELSE 4+(c_custkey*13%60)/10.0E0 END AS lbxgh,
+       CASE WHEN c_custkey%8=0 THEN NULL WHEN c_custkey%3=0 THEN 1 ELSE 0 END AS colesterol_alto,
+       CASE WHEN c_custkey%10=0 THEN NULL WHEN c_custkey%4=0 THEN 1 ELSE 0 END AS sindrome_metabolico,
+       CASE WHEN c_custkey%17=0 THEN NULL ELSE 1200+c_custkey*31%2000 END AS promedio_tkcal,
+       CASE WHEN c_custkey%13=0 THEN NULL ELSE (c_custkey*7%400)/10.0E0 END AS promedio_tfibe,
+       CASE WHEN c_custkey%19=0 THEN NULL ELSE (c_custkey*11%6000)/10.0E0 END AS promedio_tchol,
+       (c_custkey*3%1500)/10.0E0 AS promedio_tsugr,
+       CASE WHEN c_custkey%63<22 THEN '18-39' WHEN c_custkey%63<42 THEN '40-59' ELSE '60+' END AS grupo_edad
 FROM {customer}
 """
 

@@ -179,7 +179,8 @@ WHERE rn = 1
 """)
 
 FINAL_COLS = ["seqn", "ridageyr", "indfmpir", "bmxbmi", "categoria_imc", "tiene_diabetes",
-              "categoria_azucar", "categoria_fibra", "edad_grupo_brfss"]
+              "categoria_azucar", "categoria_fibra", "edad_grupo_brfss", "riagendr", "lbxgh", "colesterol_alto",
+              "sindrome_metabolico", "promedio_tkcal", "promedio_tfibe", "promedio_tchol", "promedio_tsugr", "grupo_edad"]
 
 _p = ", ".join
 _q5 = _dlist([0.25, 0.5, 0.75])
@@ -232,13 +233,15 @@ ORACLE: dict[str, str] = {
         FROM (SELECT seqn, e, {_bin_expr('indfmpir')} AS bin_no FROM inc, ie)"""),
     "nutrient_gap_by_income": _with(
         V("survey_a"),
-        ("inc", "SELECT * FROM survey_a WHERE indfmpir IS NOT NULL AND bmxbmi IS NOT NULL AND ridageyr IS NOT NULL"),
+        ("inc", "SELECT * FROM survey_a WHERE indfmpir IS NOT NULL AND promedio_tfibe IS NOT NULL "
+                "AND promedio_tchol IS NOT NULL"),
         ("ie", _edges("inc", "indfmpir", an.INCOME_QUANTILES)),
-        ("binned", f"SELECT bmxbmi, ridageyr, {_bin_expr('indfmpir')} AS bin_no FROM inc, ie"),
+        ("binned", f"SELECT promedio_tfibe, promedio_tchol, {_bin_expr('indfmpir')} AS bin_no FROM inc, ie"),
         ("bins", "SELECT CAST(b AS INTEGER) AS bin_no FROM ie, range(1, len(e)) t(b) WHERE len(e) >= 2"),
         body="""
         SELECT 'Q' || CAST(bins.bin_no AS VARCHAR) AS quintil_ingreso,
-               round_even(avg(bmxbmi), 2) AS bmxbmi, round_even(avg(ridageyr), 2) AS ridageyr
+               round_even(avg(promedio_tfibe), 2) AS promedio_tfibe,
+               round_even(avg(promedio_tchol), 2) AS promedio_tchol
         FROM bins LEFT JOIN binned ON bins.bin_no = binned.bin_no GROUP BY bins.bin_no"""),
     "prevalence_age": _with(V("survey_a"), body=f"SELECT *, 'NHANES' AS fuente FROM ({_prev('survey_a', 'edad_grupo_brfss')})"),
     "prevalence_union": _with(V("survey_a"), V("survey_b"), body=f"""
@@ -352,9 +355,9 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT 'BRFSS', count(*), round(sum(tiene_diabetes) / count(tiene_diabetes) * 100, 9),
                round(avg(imc_real), 9), CAST(NULL AS DOUBLE) FROM survey_b"""),
-    "completeness": _with(V("survey_a"), body="""
-        SELECT 'tiene_diabetes' AS variable, round(count(tiene_diabetes) / count(*) * 100, 9) AS completitud_pct FROM survey_a
-        UNION ALL SELECT 'bmxbmi', round(count(bmxbmi) / count(*) * 100, 9) FROM survey_a"""),
+    "completeness": _with(V("survey_a"), body=" UNION ALL ".join(
+        f"SELECT '{c}' AS variable, round(count({c}) / count(*) * 100, 9) AS completitud_pct FROM survey_a"
+        for c in ("tiene_diabetes", "colesterol_alto", "bmxbmi", "lbxgh", "promedio_tkcal", "sindrome_metabolico"))),
     "table_inventory": " UNION ALL ".join(
         [f"SELECT '{t}' AS table_name, 'ok' AS status, count(*) AS n_rows FROM {t}"
          for t in BASE_TABLES]
