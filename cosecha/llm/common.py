@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import time
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -17,6 +18,8 @@ from cosecha.session import checkpoint_dir, scratch_path, ship_package
 ARROW_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    # tables of this subpackage have rows of up to a mebibyte and more
+    "spark.sql.parquet.columnarReaderBatchSize": "128",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
@@ -53,8 +56,10 @@ def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished steps now, and
     not at its next periodic collection: a job of several large steps would hold
     the files of all of them until then."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first frees what only Python held, the second what that held
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def trim() -> None:
