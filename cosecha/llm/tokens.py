@@ -14,8 +14,6 @@ import re
 import struct
 from unicodedata import is_normalized
 
-import numpy as np
-
 #: Unicode White_Space (what the tokenizers' patterns call white space).
 _WS = "\t-\r \x85\xa0  -     　"
 _RUNS = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
@@ -28,12 +26,16 @@ _MARKS = ".,;:!?#$%&*"
 _PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_LETTERS = {b: chr(0x100 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
-MAX_CACHED = 800_000
+MAX_CACHED = 1_200_000
 MAX_CHUNK = 64
 
 _ENCODERS: dict = {}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Chunks(dict):
     """chunk -> its ids as little-endian unsigned 32-bit integers."""
 
@@ -60,9 +62,9 @@ class ChunkEncoder:
         self.tok.encode_special_tokens = True
         #: white space never reaches the model when the pre-tokenizer drops it
         self.drops_space = self._ids(" \n a") == self._ids("a")
-        self.exact = _Chunks(lambda c: np.array(self._ids(c), "<u4").tobytes())
-        self.words = _Chunks(lambda w: struct.pack(f"<{len(i := self._word(w))}I", *i))
-        self.spaced = _Chunks(lambda c: self._chunk(c if self.drops_space or c[:1] == "\n" else " " + c))
+        self.exact = _Chunks(lambda c: _packed(self._ids(c)))
+        self.words = _Chunks(lambda w: _packed(self._word(w)))
+        self.spaced = _Chunks(self._chunk)
 
     def _ids(self, chunk: str) -> list[int]:
         return self.tok.encode(chunk, add_special_tokens=False).ids
@@ -76,19 +78,19 @@ class ChunkEncoder:
         return [t.id for t in self.tok.model.tokenize(word.translate(_BYTE_LETTERS))]
 
     def _chunk(self, chunk: str) -> bytes:
-        """Ids of a chunk without inner white space. Letters followed by common
-        marks are two pre-tokens, each looked up by itself."""
+        """Ids of a chunk without inner white space (behind a space, unless it
+        begins with a line end). Letters followed by common marks are two
+        pre-tokens, each looked up by itself."""
         word = chunk.rstrip(_MARKS)
-        letters = word.lstrip(" \n")
-        space = word[:len(word) - len(letters)]
+        line = word[:1] == "\n"
+        letters = word[1:] if line else word
         if not (letters.isalpha() and (letters.isascii() or (max(letters) < "\u0530" and is_normalized("NFC", letters)))):
-            return np.array(self._ids(chunk), "<u4").tobytes()
-        marks = self.exact[chunk[len(word):]] if len(word) < len(chunk) else b""
-        if self.drops_space:
-            return self.words[letters] + marks
-        if space == "\n":
-            return self.exact[space] + self.words[letters] + marks
-        return self.words[word] + marks
+            return _packed(self._ids(chunk if line or self.drops_space or chunk[:1] == "\n" else " " + chunk))
+        if len(word) < len(chunk):
+            return self.spaced[word] + self.exact[chunk[len(word):]]
+        if line:
+            return self.exact["\n"] + self.words[letters]
+        return _packed(self._word(letters if self.drops_space else " " + letters))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
