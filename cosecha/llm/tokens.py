@@ -4,7 +4,8 @@ A text is cut where a pre-token always ends: before a run of white space that
 follows another character. The ids of the chunks, one after another, are the
 ids of the text, so a chunk that was seen before is looked up instead of being
 encoded again. The look-up table of a worker is bounded: it is emptied when it
-is full.
+is full. The marks that the tokenizer's file adds (``<|endoftext|>``) are cut out
+first and have their own ids, as in the library's encoding of the whole text.
 """
 
 from __future__ import annotations
@@ -59,7 +60,12 @@ class ChunkEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        added = self.tok.get_added_tokens_decoder()
+        self.marks = {t.content: _packed([i]) for i, t in added.items()}
+        #: literal marks can be cut out here; others only by the library
+        self.plain_marks = not any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added.values())
+        longest_first = sorted(self.marks, key=len, reverse=True)
+        self.at_marks = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self.marks else None
         #: white space never reaches the model when the pre-tokenizer drops it
         self.drops_space = self._ids(" \n a") == self._ids("a")
         self.exact = _Chunks(lambda c: _packed(self._ids(c)))
@@ -95,6 +101,14 @@ class ChunkEncoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if self.marks and not self.plain_marks:
+            return _packed(self._ids(text))
+        if self.at_marks is not None and self.at_marks.search(text):
+            return b"".join(self.marks.get(piece) or self._pieces(piece) for piece in self.at_marks.split(text) if piece)
+        return self._pieces(text)
+
+    def _pieces(self, text: str) -> bytes:
+        """Ids of a text without marks."""
         if self.drops_space:
             return b"".join(map(self.spaced.__getitem__, text.replace("\n", " ").split(" ")))
         if _IRREGULAR.search(text):

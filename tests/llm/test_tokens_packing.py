@@ -61,3 +61,15 @@ def test_pieces_cover_documents_and_sequences_are_gapless(spark, documents, samp
 
 def test_no_documents(spark, documents):
     assert pack_documents(documents([])).count() == 0
+
+
+@pytest.mark.parametrize("name, expected", [("byte_bpe_50k.json", [27773, 2420, 220, 50256, 517, 2420]),
+                                            ("word_bpe_49k.json", [3772, 4160, 49407, 750, 4160])])
+def test_marks_have_the_ids_of_the_untouched_tokenizer(name, expected):
+    from tokenizers import Tokenizer
+    enc, tok, rng = encoder(public_path(name)), Tokenizer.from_file(public_path(name)), random.Random(4)
+    assert np.frombuffer(enc.encode("clean text <|endoftext|> more text"), "<u4").tolist() == expected
+    parts = [*PARTS, "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext|", "<", "\u0338", "<|"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert np.frombuffer(enc.encode(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
