@@ -5,27 +5,32 @@ over the call each one follows; arguments are checked against schemas; a call
 with its result is written as canonical JSON (keys sorted, no white space).
 DataFrame and SQL functions only.
 
-Every join is on an identifier that was made unique first (copies are counted,
-the earliest is kept), so a repeated identifier never multiplies rows. The
-order comes from pointer jumping: each round doubles the distance to the
+Every call and every result is a row of its own. An identifier counts inside its
+conversation (a null ``conv_id`` is a conversation like any other); copies of an
+identifier are numbered, and the n-th call has the n-th result, so every join is
+on a unique key and a repeated identifier never multiplies rows. The numbers come
+from a range sort (``numbered``), so a hot identifier is spread over the tasks.
+The order comes from pointer jumping: each round doubles the distance to the
 ancestor a call points at, so a chain of n calls takes about log2(n) joins and
 no conversation is gathered in a task.
 
 Defined cases: a call without identifier has no result and level 0; a parent
 that doesn't exist is no parent; calls in or behind a cycle have a null level;
-several calls with one identifier: the earliest by (turn, name, arguments) is
-kept and ``n_calls`` counts them; several results: the earliest by (turn,
-content), ``n_results`` counts them; a result without call is a row with a null
-name and the error ``no_call``; arguments that are no JSON object: error
-``bad_json`` and the raw string stays in the JSON; null arguments count as
-``{}``; a tool without schema: error ``no_schema``; empty tables give no rows.
+several calls with one identifier are numbered by (turn, name, arguments), several
+results by (turn, content); ``n_calls`` and ``n_results`` say how many there are; a
+parent with copies is the first of them; a result without call of its number is a
+row with a null name and the error ``no_call``; results without a column
+``conv_id``: identifiers count in the whole table; arguments that are no JSON
+object: error ``bad_json`` and the raw string stays in the JSON; null arguments
+count as ``{}``; a tool without schema: error ``no_schema``; empty tables give no
+rows.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cosecha.llm.common import prepare, store
@@ -47,10 +52,31 @@ def calls_of(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select("conv_id", "turn", F.col("c.id").alias("call_id"), F.col("c.after").alias("parent_id"),
                 F.col("c.name").alias("name"), F.to_json("c.arguments").alias("arguments"))
     results = m.where((F.col("role") == "tool") & F.col("m.tool_call_id").isNotNull()) \
-        .select("turn", F.col("m.tool_call_id").alias("call_id"), F.col("m.content").alias("content"))
+        .select("conv_id", "turn", F.col("m.tool_call_id").alias("call_id"), F.col("m.content").alias("content"))
     return calls, results
 
 
+def numbered(rows: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """``rows`` (a stored table) with ``copy`` (1, 2, ... among the rows with equal
+    ``keys``, nulls being equal, by ``order``) and ``copies`` (their number). Counted
+    inside the parts of a range sort first, so no task holds all copies of a key."""
+    sort = [*keys, *order, "__row"]
+    rows = store(rows.withColumn("__row", F.monotonically_increasing_id()), name)
+    parts = store(rows.repartitionByRange(*sort).withColumn("__part", F.spark_partition_id()), name)
+    here = Window.partitionBy("__part", *keys)
+    parts = parts.withColumn("copy", F.row_number().over(here.orderBy(*order, "__row")))
+    sizes = parts.groupBy(*keys, "__part").agg(F.count("*").alias("n"))
+    every = Window.partitionBy(*keys)
+    sizes = sizes.select(
+        F.col("__part").alias("__p"), *[F.col(k).alias(f"__{k}") for k in keys], F.sum("n").over(every).alias("copies"),
+        (F.sum("n").over(every.orderBy("__part")) - F.col("n")).alias("__before"))
+    same = parts["__part"] == sizes["__p"]
+    for k in keys:
+        same &= parts[k].eqNullSafe(sizes[f"__{k}"])
+    return parts.join(sizes, same).withColumn("copy", F.col("copy") + F.col("__before")).drop(
+        "__p", "__part", "__before", "__row", *[f"__{k}" for k in keys])
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """call_id, level: number of calls before each one on its chain of parents.
     ``calls``: unique call_id, parent_id."""
@@ -85,25 +111,38 @@ def link_tools(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     json.
 
     ``calls``: conv_id, turn, call_id, parent_id, name, arguments (JSON text);
-    ``results``: call_id, turn, content; ``schemas``: name, field, type (a key of
-    TYPES), required. (level, turn) orders a conversation topologically."""
+    ``results``: [conv_id,] call_id, turn, content; ``schemas``: name, field, type (a
+    key of TYPES), required. (level, turn) orders a conversation topologically."""
     prepare(calls.sparkSession)
-    cols = ["conv_id", "turn", "parent_id", "name", "arguments"]
     c = calls.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                      F.col("call_id").cast("string").alias("call_id"),
                      F.col("parent_id").cast("string").alias("parent_id"), "name", "arguments")
-    key = F.struct("turn", "name", "arguments", "conv_id", "parent_id")
-    unique = c.where(F.col("call_id").isNotNull()).groupBy("call_id") \
-        .agg(F.min(key).alias("k"), F.count("*").alias("n_calls")) \
-        .select("call_id", *[F.col(f"k.{x}").alias(x) for x in cols], "n_calls")
-    unique = store(unique, "calls")
-    r = results.where(F.col("call_id").isNotNull()).groupBy(F.col("call_id").cast("string").alias("result_of")).agg(
-        F.min(F.struct("turn", "content")).alias("r"), F.count("*").alias("n_results"))
-    r = store(r.select("result_of", F.col("r.turn").cast("long").alias("result_turn"), F.col("r.content").alias("result"),
-                       "n_results"), "results")
-    at = levels(unique).withColumnRenamed("call_id", "level_of")
-    linked = unique.join(at, unique["call_id"] == at["level_of"]).join(r, unique["call_id"] == r["result_of"], "left")
+    keys = ["conv_id", "call_id"] if "conv_id" in results.columns else ["call_id"]
+    known_conv = F.col("conv_id").cast("long") if "conv_id" in keys else F.lit(None).cast("long")
+    named = numbered(c.where(F.col("call_id").isNotNull()), keys,
+                     [x for x in ("turn", "name", "arguments", "conv_id", "parent_id") if x not in keys], "calls")
+    named = store(named.withColumn("node", F.monotonically_increasing_id()), "calls")
+    r = results.where(F.col("call_id").isNotNull()).select(
+        known_conv.alias("conv_id"), F.col("call_id").cast("string").alias("call_id"),
+        F.col("turn").cast("long").alias("turn"), F.col("content").alias("result"))
+    r = store(numbered(r, keys, ["turn", "result"], "results"), "results").select(
+        F.col("conv_id").alias("result_conv"), F.col("call_id").alias("result_of"), F.col("turn").alias("result_turn"),
+        "result", F.col("copy").alias("result_copy"), F.col("copies").alias("n_results"))
+    # the first call of an identifier is the parent of those that follow it
+    first = named.where(F.col("copy") == 1).select(F.col("conv_id").alias("first_conv"), F.col("call_id").alias("first_id"),
+                                                   F.col("node").alias("up"), F.col("copies").alias("all_calls"))
+    of = lambda left, right: left.eqNullSafe(right) if "conv_id" in keys else F.lit(True)
+    up = named.join(first, (named["parent_id"] == first["first_id"]) & of(named["conv_id"], first["first_conv"]), "left")
+    at = levels(up.select(F.col("node").alias("call_id"), F.col("up").alias("parent_id"))) \
+        .withColumnRenamed("call_id", "level_of")
+    # the number of all results, and the result of the same number
+    answered = r.where(F.col("result_copy") == 1).select(
+        F.col("result_conv").alias("any_conv"), F.col("result_of").alias("any_of"), F.col("n_results").alias("any_results"))
+    mine = (named["call_id"] == r["result_of"]) & (named["copy"] == r["result_copy"]) & of(named["conv_id"], r["result_conv"])
+    linked = named.join(at, named["node"] == at["level_of"]).join(r.drop("n_results"), mine, "left").join(
+        answered, (named["call_id"] == answered["any_of"]) & of(named["conv_id"], answered["any_conv"]), "left")
     out = ["conv_id", "turn", "call_id", "name", "arguments", "level", "n_calls", "result", "n_results"]
+    linked = linked.withColumnsRenamed({"copies": "n_calls", "any_results": "n_results"})
     alone = c.where(F.col("call_id").isNull()).select(
         "conv_id", "turn", "call_id", "name", "arguments", F.lit(0).cast("long").alias("level"),
         F.lit(1).cast("long").alias("n_calls"), F.lit(None).cast("string").alias("result"),
@@ -126,10 +165,11 @@ def link_tools(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
                           F.coalesce("n_results", F.lit(0).cast("long")).alias("n_results"),
                           canonical(arguments="shown", call_id="call_id", level="level", name="name",
                                     result="result").alias("json"))
-    gone = r.join(unique.select("call_id"), r["result_of"] == unique["call_id"], "left_anti").select(
-        F.lit(None).cast("long").alias("conv_id"), F.col("result_turn").alias("turn"), F.col("result_of").alias("call_id"),
+    gone = r.join(first, (r["result_of"] == first["first_id"]) & of(r["result_conv"], first["first_conv"]), "left") \
+        .where(F.col("result_copy") > F.coalesce("all_calls", F.lit(0))).select(
+        F.col("result_conv").alias("conv_id"), F.col("result_turn").alias("turn"), F.col("result_of").alias("call_id"),
         F.lit(None).cast("long").alias("level"), F.lit(None).cast("string").alias("name"), F.lit(False).alias("valid"),
-        F.lit("no_call").alias("errors"), F.lit(0).cast("long").alias("n_calls"), "n_results",
+        F.lit("no_call").alias("errors"), F.coalesce("all_calls", F.lit(0).cast("long")).alias("n_calls"), "n_results",
         canonical(call_id="result_of", result="result").alias("json"))
     return done.unionByName(gone)
 
@@ -159,7 +199,7 @@ def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(n < LONG, "ask").otherwise("report").alias("name"),
         F.when(n < LONG, plain).otherwise(args).alias("arguments"))
     results = conversations.where(F.col("role") == "assistant").select(
-        key(1).alias("call_id"), "turn", F.col("text").alias("content"))
+        "conv_id", key(1).alias("call_id"), "turn", F.col("text").alias("content"))
     return calls, results
 
 

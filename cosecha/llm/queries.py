@@ -13,11 +13,15 @@ def op1_packing(spark, sf_dir):
 
 
 def op2_chat(spark, sf_dir):
+    from pyspark.sql import functions as F
+
     from cosecha.llm.chat import SCHEMAS, link_tools, turns_as_calls
     prepare(spark)
     calls, results = turns_as_calls(table(spark, sf_dir, "conversations"))
     schemas = spark.createDataFrame(SCHEMAS, "name string, field string, type string, required boolean")
-    return link_tools(calls, results, schemas)
+    linked = link_tools(calls, results, schemas)
+    # the statement in chat.ORACLE gives a result without call no conversation
+    return linked.withColumn("conv_id", F.when(F.col("errors") != "no_call", F.col("conv_id")))
 
 
 def op3_simhash(spark, sf_dir):

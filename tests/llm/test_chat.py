@@ -53,3 +53,39 @@ def test_messages_with_tool_calls(spark):
 
 def test_empty_tables(spark):
     assert run(spark, [], []) == [] and run(spark, [], [], []) == []
+
+
+def test_identifiers_count_inside_their_conversation(spark):
+    call = lambda a: json.dumps({"tool_calls": [
+        {"id": "call_1", "name": "add", "after": None, "arguments": {"a": a, "b": 1}},
+        {"id": "call_2", "name": "add", "after": "call_1", "arguments": {"a": a, "b": 2}}]})
+    answer = lambda n, text: json.dumps({"tool_call_id": f"call_{n}", "content": text})
+    rows = []
+    for conv in (1, 2, 3, None):
+        rows += [(conv, 1, "assistant", call(conv or 0)), (conv, 2, "tool", answer(1, f"one of {conv}")),
+                 (conv, 3, "tool", answer(2, f"two of {conv}"))]
+    rows += [(4, 1, "assistant", call(4)), (4, 5, "assistant", call(44)), (4, 2, "tool", answer(1, "first")),
+             (4, 6, "tool", answer(1, "second")), (4, 7, "tool", answer(1, "third")), (5, 1, "tool", answer(1, "lost"))]
+    m = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    s = spark.createDataFrame(SCHEMAS, "name string, field string, type string, required boolean")
+    out = link_tools(*calls_of(m), s).collect()
+    got = sorted(((r.conv_id or 0, r.turn, r.call_id, r.level, json.loads(r.json)["result"], r.n_calls, r.n_results, r.errors)
+                  for r in out), key=str)
+    expected = [(conv or 0, 1, f"call_{n}", n - 1, f"{w} of {conv}", 1, 1, "") for conv in (1, 2, 3, None)
+                for n, w in ((1, "one"), (2, "two"))]
+    expected += [(4, 1, "call_1", 0, "first", 2, 3, ""), (4, 5, "call_1", 0, "second", 2, 3, ""),
+                 (4, 1, "call_2", 1, None, 2, 0, ""), (4, 5, "call_2", 1, None, 2, 0, ""),
+                 (4, 7, "call_1", None, "third", 2, 3, "no_call"), (5, 1, "call_1", None, "lost", 0, 1, "no_call")]
+    assert got == sorted(expected, key=str)
+
+
+def test_every_copy_of_a_hot_identifier_is_a_row(spark):
+    c = spark.range(3000).selectExpr("cast(null as long) AS conv_id", "id % 7 AS turn", "'0' AS call_id",
+                                     "cast(null as string) AS parent_id", "'add' AS name", "'{}' AS arguments")
+    r = spark.range(2000).selectExpr("cast(null as long) AS conv_id", "id % 5 AS turn", "'0' AS call_id",
+                                     "cast(id as string) AS content")
+    s = spark.createDataFrame(SCHEMAS, "name string, field string, type string, required boolean")
+    out = link_tools(c, r, s).collect()
+    results = [json.loads(x.json)["result"] for x in out]
+    assert len(out) == 3000 and {x.n_calls for x in out} == {3000} and {x.n_results for x in out} == {2000}
+    assert sorted(int(x) for x in results if x) == list(range(2000))
