@@ -55,18 +55,20 @@ def simhash(text: str | None, shingle: int = SHINGLE, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > len(spans), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text",
+                 with_key: bool = False) -> DataFrame:
+    """doc_id, fp (the fingerprint as a signed long)[, key (hash of the text)]."""
     prepare(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())] + ([("key", pa.int64())] if with_key else []))
 
     def run(it):
         for b in it:
             fp = np.array([simhash(t, shingle) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], schema=schema)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *b.columns[2:]], schema=schema)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
-        .mapInArrow(run, "doc_id long, fp long")
+    key = [F.xxhash64(text_col).alias("key")] if with_key else []
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *key) \
+        .mapInArrow(run, "doc_id long, fp long" + (", key long" if with_key else ""))
 
 
 def segment_masks(segments: int = SEGMENTS) -> list[tuple[int, int]]:
@@ -133,15 +135,20 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, segments: int = SEGMENTS,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: a row per document."""
-    f = store(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+def _linked(f: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS) -> DataFrame:
+    """fp, rep (smallest doc_id), root (of the component): a row per fingerprint."""
     reps = store(f.groupBy("fp").agg(F.min("doc_id").alias("rep")), "representatives")
     roots = store(components(links(reps, max_bits, segments)), "roots")
     named = reps.join(roots, reps["fp"] == roots["node"], "left") \
         .select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    linked = store(named, "linked")
+    return store(named, "linked")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, segments: int = SEGMENTS,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id: a row per document."""
+    f = store(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    linked = _linked(f, max_bits, segments)
     least = store(linked.groupBy("root").agg(F.min("rep").alias("component_id")), "least")
     classes = store(linked.join(least, "root").select(F.col("fp").alias("class"), "component_id"), "classes")
     return f.join(classes, f["fp"] == classes["class"]).select(
@@ -149,10 +156,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of its component;
-    one row for each. Rows without ``doc_id`` can't be named and stay."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
-    alone = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
-    return kept.withColumn("__alone", alone).dropDuplicates([id_col, "__alone"]).select(*docs.columns)
+    """One row of ``docs`` for each component: the one with the smallest ``doc_id``
+    (nulls last), then text hash. Rows are told apart by id and text."""
+    f = store(fingerprints(docs, id_col=id_col, text_col=text_col, with_key=True), "fingerprints")
+    roots = _linked(f).select(F.col("fp").alias("class"), "root")
+    named = f.join(roots, f["fp"] == roots["class"]).select("root", F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "key").alias("row"))
+    first = named.groupBy("root").agg(F.min("row").alias("first")).withColumnRenamed("root", "of")
+    gone = named.join(first, named["root"] == first["of"]).where(F.col("row") != F.col("first")) \
+        .select(F.col("row.doc_id").alias("__gone"), F.col("row.key").alias("__gone_key")).distinct()
+    keyed = docs.withColumn("__key", F.xxhash64(text_col))
+    same = (F.col("__key") == gone["__gone_key"]) & F.col(id_col).cast("long").eqNullSafe(gone["__gone"])
+    return keyed.join(gone, same, "left_anti").dropDuplicates([id_col, "__key"]).select(*docs.columns)

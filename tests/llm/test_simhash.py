@@ -54,3 +54,11 @@ def test_one_of_each_component_stays(spark, documents, sample):
 
 def test_no_documents(spark, documents):
     assert near_duplicates(documents([])).count() == 0
+
+
+def test_one_row_of_each_component_whatever_the_ids(spark, documents):
+    one, two = (" ".join(f"{w}{i}" for i in range(60)) for w in ("red", "stone"))
+    rows = [(1, one), (5, one), (5, two), (None, two), *[(None, "lost " * 30)] * 5]
+    kept = drop_near_duplicates(documents(rows)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(
+        [(1, one), (5, two), (None, "lost " * 30)], key=str)
