@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cosecha.llm import chat, decontam
+from cosecha.llm import chat, decontam, mixing, negatives, structure
 from cosecha.llm.common import prepare, table
 
 
@@ -76,6 +76,24 @@ def op10_repair(spark, sf_dir):
     return repair_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_structure(spark, sf_dir):
+    from cosecha.llm.structure import repair_conversations
+    prepare(spark)
+    return repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op12_mixing(spark, sf_dir):
+    from cosecha.llm.mixing import mix_documents
+    prepare(spark)
+    return mix_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_negatives(spark, sf_dir):
+    from cosecha.llm.negatives import mine_embeddings
+    prepare(spark)
+    return mine_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_chat": op2_chat,
@@ -87,10 +105,16 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_repair": op10_repair,
+    "op11_structure": op11_structure,
+    "op12_mixing": op12_mixing,
+    "op13_negatives": op13_negatives,
 }
 
 #: DuckDB statements of the operators that SQL can express.
 ORACLE: dict[str, str] = {
     "op2_chat": chat.ORACLE,
     "op5_decontaminate": decontam.ORACLE,
+    "op11_structure": structure.ORACLE,
+    "op12_mixing": mixing.ORACLE,
+    "op13_negatives": negatives.ORACLE,
 }
