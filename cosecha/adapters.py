@@ -38,9 +38,11 @@ SELECT l_partkey AS fdc_id,
 FROM {lineitem}
 """
 
-# prices: one row per price observation; (producto, ord1..ord4) is unique.
+# prices: one row per price observation; (producto, ord1..ord4) is unique. Two of
+# three parts are sold under a name that no food has: a letter more, or one missing.
 PRICES = """
-SELECT p_name AS producto, p_brand AS grupo, p_type AS unidad,
+SELECT CASE p_partkey%3 WHEN 0 THEN p_name WHEN 1 THEN concat(p_name,'s')
+       ELSE concat(substr(p_name,1,1),substr(p_name,3)) END AS producto, p_brand AS grupo, p_type AS unidad,
        l_extendedprice/l_quantity AS precio,
        l_orderkey AS ord1, l_extendedprice AS ord2, l_linenumber AS ord3, l_partkey AS ord4
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey

@@ -5,9 +5,8 @@ The adapter views are inlined from the very SQL text the Spark side runs;
 the flow tables (pivot, integrated foods, products, matched products) are
 re-derived here in plain SQL, independently of the Spark operators.
 
-On the fuzzy fixture used by the analyses every product name occurs verbatim
-among the food descriptions, so the best difflib match is the identical text
-(score 100) and the matched table is an equality join here."""
+Fuzzy matches are scored here too, pair by pair: difflib's ratio by a recursive
+statement, Levenshtein's by DuckDB's function."""
 
 from __future__ import annotations
 
@@ -25,6 +24,10 @@ def _with(*ctes: tuple[str, str], body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS (\n{sql.strip()}\n)" for n, sql in ctes) + "\n" + body.strip()
 
 
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def V(name: str) -> tuple[str, str]:
     return name, duckdb_view(name)
 
@@ -38,6 +41,38 @@ def _dlist(values) -> str:
     return "[" + ", ".join(f"CAST('{float(v)!r}' AS DOUBLE)" for v in values) + "]"
 
 
+def difflib_ratio(left: str, left_col: str, right: str, right_col: str) -> list[tuple[str, str]]:
+    """CTEs up to ``ratios`` (a, b, ratio): difflib's ratio of every pair of short
+    texts, b as its first sequence. A common run is numbered along its diagonal; a
+    range takes its longest run (cut to the range; the earliest end in b, then in
+    a) and leaves the ranges before and behind it. (Texts below 200 characters:
+    difflib leaves frequent ones out of longer texts.)"""
+    return [
+        ("cells", f"""
+SELECT a, b, i, j, row_number() OVER (PARTITION BY a, b, i - j, i - nth ORDER BY i) AS run FROM (
+  SELECT a, b, i, j, row_number() OVER (PARTITION BY a, b, i - j ORDER BY i) AS nth FROM (
+    SELECT DISTINCT {left_col} AS a, {right_col} AS b FROM {left}, {right}),
+    LATERAL (SELECT unnest(range(1, length(b) + 1)) AS i), LATERAL (SELECT unnest(range(1, length(a) + 1)) AS j)
+  WHERE substr(b, i, 1) = substr(a, j, 1))"""),
+        ("runs", """
+SELECT a, b, list({'run': run, 'i': i, 'j': j}) AS runs FROM cells GROUP BY a, b"""),
+        ("blocks", """
+SELECT a, b, CAST(0 AS BIGINT) AS i0, CAST(length(b) AS BIGINT) AS i1, CAST(0 AS BIGINT) AS j0, CAST(length(a) AS BIGINT) AS j1,
+  CAST(0 AS BIGINT) AS size FROM runs
+UNION ALL
+SELECT a, b, nxt.i0, nxt.i1, nxt.j0, nxt.j1, nxt.size FROM (
+  SELECT a, b, unnest([{'i0': i0, 'i1': e - size, 'j0': j0, 'j1': f - size, 'size': size},
+                       {'i0': e, 'i1': i1, 'j0': f, 'j1': j1, 'size': CAST(0 AS BIGINT)}]) AS nxt
+  FROM (SELECT a, b, i0, i1, j0, j1, best // 1000000 AS size, 999 - best // 1000 % 1000 AS e, 999 - best % 1000 AS f FROM (
+    SELECT t.*, list_max(list_transform(
+        list_filter(r.runs, lambda c: c.i > i0 AND c.i <= i1 AND c.j > j0 AND c.j <= j1),
+        lambda c: least(c.run, c.i - i0, c.j - j0) * 1000000 + (999 - c.i) * 1000 + 999 - c.j)) AS best
+    FROM blocks t JOIN runs r USING (a, b) WHERE i1 > i0 AND j1 > j0) WHERE best IS NOT NULL))"""),
+        ("ratios", """
+SELECT a, b, 2.0 * sum(size) / (length(a) + length(b)) AS ratio FROM blocks GROUP BY a, b"""),
+    ]
+
+
 # --------------------------------------------------------------- flow CTEs
 
 _ids = sorted(fd.KEY_NUTRIENTS)
@@ -108,12 +143,15 @@ FI_DESC = ("fi_desc", """
 SELECT lower(description) AS d, min(fdc_id) AS fdc_id FROM food_integrated
 WHERE description IS NOT NULL GROUP BY lower(description)
 """)
-MATCHES = ("matches", """
+MATCHES = [*difflib_ratio("products", "producto_normalizado", "fi_desc", "d"), ("matches", f"""
 SELECT p.Producto AS producto_odepa, p.producto_normalizado AS producto_odepa_norm, m.fdc_id,
-       m.d AS fdc_description, CAST(100.0 AS DOUBLE) AS match_score,
+       m.d AS fdc_description, ratio * 100.0 AS match_score,
        p.Precio_Promedio_CLP AS precio_promedio_clp, p.Grupo AS grupo_odepa, p.categoria_precio
-FROM products p JOIN fi_desc m ON p.producto_normalizado = m.d
-""")
+FROM products p JOIN (
+  SELECT * FROM ratios WHERE ratio >= {pr.MATCH_CUTOFF}
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY ratio DESC, b DESC) = 1) ON p.producto_normalizado = a
+JOIN fi_desc m ON b = m.d
+""")]
 MATCHED = ("matched", """
 SELECT c.*, f.* EXCLUDE (fdc_id) FROM matches c LEFT JOIN food_integrated f ON c.fdc_id = f.fdc_id
 """)
@@ -124,7 +162,7 @@ FROM prices p JOIN food_integrated f ON p.ord4 = f.fdc_id
 
 FOOD_CHAIN = [V("food"), V("food_nutrient"), PIVOT, FOOD_INTEGRATED]
 PRICE_CHAIN = [V("prices"), PRICE_STATS, PRICE_EDGES, PRODUCTS]
-MATCHED_CHAIN = FOOD_CHAIN + PRICE_CHAIN + [FI_DESC, MATCHES, MATCHED]
+MATCHED_CHAIN = FOOD_CHAIN + PRICE_CHAIN + [FI_DESC, *MATCHES, MATCHED]
 INTEGRATED_CHAIN = FOOD_CHAIN + [V("prices"), INTEGRATED]
 
 
@@ -178,6 +216,12 @@ SELECT producto_normalizado, match_text, fdc_id, sc * 100.0 AS match_score FROM
 WHERE rn = 1
 """)
 
+FUZZY_DIF = [*difflib_ratio("fl", "producto_normalizado", "fr", "descripcion"), ("dif", f"""
+SELECT a AS producto_normalizado, b AS match_text, fr.fdc_id, ratio * 100.0 AS match_score
+FROM ratios JOIN fr ON b = fr.descripcion WHERE ratio >= {pr.MATCH_CUTOFF}
+QUALIFY row_number() OVER (PARTITION BY a ORDER BY ratio DESC, b DESC) = 1
+""")]
+
 FINAL_COLS = ["seqn", "ridageyr", "indfmpir", "bmxbmi", "categoria_imc", "tiene_diabetes",
               "categoria_azucar", "categoria_fibra", "edad_grupo_brfss", "riagendr", "lbxgh", "colesterol_alto",
               "sindrome_metabolico", "promedio_tkcal", "promedio_tfibe", "promedio_tchol", "promedio_tsugr", "grupo_edad"]
@@ -366,12 +410,15 @@ ORACLE: dict[str, str] = {
     "flow_price_products": _with(*PRICE_CHAIN, body="""
         SELECT * REPLACE (round(Precio_Promedio_CLP, 6) AS Precio_Promedio_CLP, round(Precio_Std_CLP, 6) AS Precio_Std_CLP,
                           round(volatilidad_precio, 6) AS volatilidad_precio) FROM products"""),
-    "flow_price_food": _with(*MATCHED_CHAIN, body="""
+    "flow_price_food": _recursive(_with(*MATCHED_CHAIN, body="""
         SELECT * REPLACE (round(precio_promedio_clp, 6) AS precio_promedio_clp, round(match_score, 6) AS match_score)
-        FROM matched"""),
+        FROM matched""")),
     "flow_final_analysis": _with(V("survey_a"), body=f"SELECT {_p(FINAL_COLS)}, 'NHANES' AS fuente_datos FROM survey_a"),
 }
 
+ORACLE["fuzzy_best_match"] = _recursive(_with(V("fuzzy_products"), V("food"), FUZZY_L, FUZZY_R, *FUZZY_DIF,
+                                              body="SELECT * FROM dif"))
+
 ORACLE["top_k_states"] = ORACLE["state_profile"] + f" LIMIT {an.TOP_STATES}"
 
 # the two-sided p is one minus the t density's integral over (-|t|, |t|), by Simpson's rule
@@ -391,7 +438,7 @@ ORACLE["welch_pvalue"] = _with(*INTEGRATED_CHAIN, TWO_U, ("ws", """
     SELECT n_a, n_b, round(mean_a, 6) AS mean_a, round(mean_b, 6) AS mean_b, round(var_a, 3) AS var_a,
            round(var_b, 3) AS var_b, round(t, 6) AS t, round(dof, 6) AS dof, abs(round(p, 6)) AS p FROM wt, wp""")
 
-ORACLE["flow_integration"] = _with(V("survey_a"), V("survey_b"), *MATCHED_CHAIN, body="""
+ORACLE["flow_integration"] = _recursive(_with(V("survey_a"), V("survey_b"), *MATCHED_CHAIN, body="""
     SELECT 'FDC_NUTRIENTES_INTEGRADO' AS table_name, 'ok' AS status, count(*) AS n_rows FROM food_integrated
     UNION ALL SELECT 'ODEPA_AGREGADO', 'ok', count(*) FROM products
     UNION ALL SELECT 'ODEPA_FDC_INTEGRADO', 'ok', count(*) FROM matched
@@ -402,7 +449,7 @@ ORACLE["flow_integration"] = _with(V("survey_a"), V("survey_b"), *MATCHED_CHAIN,
     UNION ALL SELECT 'NHANES_DIABETES_FIBRA', 'ok', count(DISTINCT categoria_fibra) FROM survey_a
     UNION ALL SELECT 'NHANES_DIABETES_AZUCAR', 'ok', count(DISTINCT categoria_azucar) FROM survey_a
     UNION ALL SELECT 'RESUMEN_COMPARATIVO_NHANES_BRFSS', 'ok', CAST(2 AS BIGINT)
-    UNION ALL SELECT 'DATOS_ANALISIS_FINAL', 'ok', count(*) FROM survey_a""")
+    UNION ALL SELECT 'DATOS_ANALISIS_FINAL', 'ok', count(*) FROM survey_a"""))
 
 
 def _sources():
