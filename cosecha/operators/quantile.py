@@ -6,25 +6,26 @@ is ``x[floor h] + (x[ceil h] - x[floor h]) * (h - floor h)``.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 task's hash map, and a global window sorts everything in one task. Neither
-survives a 100 TB column, so the order statistics are found like this:
-
-1. pre-aggregate ``(group, value) -> count`` (map-side combine; a value that
-   holds a third of all rows becomes one row);
-2. per group, ~``buckets`` cut points from ``approx_percentile`` over the
-   distinct values, and each distinct value gets the index of its bucket by a
-   binary search over the cut points (log2(buckets) steps, no join);
-3. per ``(group, bucket)`` row counts -> running start offset of each bucket
-   (``groups x buckets`` rows, small);
-4. only the buckets that contain one of the 2(k+1) wanted ranks are opened; a
-   window partitioned by ``(group, bucket)`` gives each distinct value its
-   rank interval, and the wanted ranks are picked out.
-
-Every step is a shuffle of pre-aggregated rows; no task ever holds more than
-one bucket (~distinct/buckets values) of one group.
+survives a 100 TB column, so the order statistics are selected by histograms:
+
+1. one aggregate counts the values of each group in cells that are known
+   before any value is seen: sign, power of two and an even part of it. With the
+   count, the least and greatest value of a cell are kept;
+2. running counts over a group's cells (a bounded number, whatever the data)
+   tell the cell in which a wanted rank lies, and how many values are below it;
+3. the values in those cells alone are counted again, in even parts of the cell
+   between its least and greatest value (or value by value, if the cell holds no
+   more than a histogram has parts), until a cell holds one value.
+
+A cell shrinks by the number of its parts each time, so few rounds do: two for
+up to some 10^8 rows a group, and at most five for any doubles. Every round is
+a scan with map-side combine; only the wanted cells are written, a few rows a
+group. No task holds more than the cells of a group.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 import numpy as np
@@ -33,8 +34,9 @@ from pyspark.sql import functions as F
 
 from cosecha.session import materialize
 
-DEFAULT_BUCKETS = 1024
-DEFAULT_ACCURACY = 10000
+#: parts of a cell in the rounds after the first, and parts of a power of two in the first
+DEFAULT_BUCKETS = 1 << 16
+FIRST_PARTS = 1024
 
 
 def linspace_fractions(q: int) -> list[float]:
@@ -45,13 +47,13 @@ def linspace_fractions(q: int) -> list[float]:
     return [float(x) for x in (np.linspace(0, 1, q + 1) * 100) / 100]
 
 
-def _bucket_index(cuts: Column, v: Column, buckets: int) -> Column:
-    """Number of cut points strictly below ``v`` (cuts sorted ascending), by
-    binary search."""
-    steps = [1 << i for i in reversed(range(max(1, (buckets - 1).bit_length())))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]), F.lit(0),
-        lambda k, s: F.when(F.try_element_at(cuts, k + s) < v, k + s).otherwise(k))
+def _first_cell(v: Column, parts: int) -> Column:
+    """Number of the cell of ``v``: never falls when ``v`` grows."""
+    size = F.abs(v)
+    power = F.floor(F.log2(size))
+    part = F.least(F.greatest(F.floor((size / F.pow(F.lit(2.0), power) - 1) * parts), F.lit(0)), F.lit(parts - 1))
+    cell = F.when(size == float("inf"), F.lit(4096).cast("bigint") * parts).otherwise((power + 1100) * parts + part)
+    return F.when(size == 0, F.lit(0).cast("bigint")).when(v < 0, -cell).otherwise(cell)
 
 
 def _wanted_ranks(n: Column, fr: Sequence[float]) -> Column:
@@ -75,62 +77,38 @@ def _interpolate(vals: DataFrame, by: list, fr: Sequence[float], out: str) -> Da
     return vals.select(*by, F.col("_n").alias("n"), F.array(*qs).alias(out))
 
 
-def _pick(rows: DataFrame, by: list) -> DataFrame:
-    """Rows carry ``_lo``/``_hi`` (rank interval of the value) and ``_rb``
-    (wanted ranks): keep the (rank, value) hits, one map per group."""
-    hits = rows.select(*by, F.explode(F.filter("_rb", lambda r: (r >= F.col("_lo")) & (r < F.col("_hi"))))
-                       .alias("_rank"), "_v", "_n")
-    return hits.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_m"),
-                                 F.max("_n").alias("_n"))
+def _cells(counted: DataFrame, keys: list, at: Column) -> DataFrame:
+    """Of the counted cells of each of ``keys`` those that hold a wanted rank:
+    ``_at`` values are below the cell, ``_rb`` are the ranks in it."""
+    upto = Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counted.withColumn("_at", at + F.sum("_c").over(upto) - F.col("_c"))
+    return placed.withColumn("_rb", F.filter("_r", lambda r: (r >= F.col("_at")) & (r < F.col("_at") + F.col("_c")))) \
+        .where(F.size("_rb") > 0)
 
 
-def _by_buckets(counts: DataFrame, by: list, fr: Sequence[float], out: str,
-                buckets: int, accuracy: int) -> DataFrame:
-    """Cut points, bucket offsets, windows inside the needed buckets only."""
-    probes = [i / buckets for i in range(1, buckets)]
-    stats = (counts.groupBy(*by)
-             .agg(F.sum("_c").alias("_n"),
-                  F.array_distinct(F.approx_percentile("_v", probes, accuracy)).alias("_b"))
-             .withColumn("_r", _wanted_ranks(F.col("_n"), fr)))
-    stats = materialize(stats, "quantile-cuts")     # one row per group
-
+def _narrow(base: DataFrame, cells: DataFrame, by: list, buckets: int) -> DataFrame:
+    """The wanted cells inside ``cells``, from the values that lie there."""
+    cell = F.struct("_mn", "_mx", "_at", "_c", "_n", "_rb")
     if by:
-        bucketed = counts.join(stats, by)
+        rows = base.join(cells.groupBy(*by).agg(F.collect_list(cell).alias("_w")), by)
     else:
-        s = stats.select(F.struct("_n", "_b", "_r").alias("s")).scalar()
-        bucketed = counts.select("_v", "_c", s["_n"].alias("_n"), s["_b"].alias("_b"),
-                                 s["_r"].alias("_r"))
-    bucketed = bucketed.withColumn("_k", _bucket_index(F.col("_b"), F.col("_v"), buckets))
-
-    # one row per group: its buckets (at most ``buckets``) with running counts
-    sizes = bucketed.groupBy(*by, "_k").agg(F.sum("_c").alias("_bc"), F.first("_r").alias("_r"))
-    in_order = F.array_sort(F.collect_list(F.struct("_k", "_bc")))
-    per_group = sizes.groupBy(*by).agg(in_order.alias("_ks"), F.first("_r").alias("_r"))
-    none = F.array().cast("array<struct<_k:int,_start:bigint,_end:bigint>>")
-    running = F.aggregate("_ks", F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")), lambda acc, x: F.struct(
-        (acc["at"] + x["_bc"]).alias("at"),
-        F.concat(acc["out"], F.array(F.struct(x["_k"].cast("int").alias("_k"), acc["at"].alias("_start"),
-                                              (acc["at"] + x["_bc"]).alias("_end")))).alias("out")), lambda acc: acc["out"])
-    per_bucket = (per_group.select(*by, "_r", F.explode(running).alias("_b"))
-                  .select(*by, "_b._k", "_b._start", F.filter("_r", lambda r: (r >= F.col("_b._start")) &
-                                                              (r < F.col("_b._end"))).alias("_rb"))
-                  .where(F.size("_rb") > 0))
-
-    # at most 2(k+1) needed buckets per group: only their rows reach the window
-    rows = bucketed.select(*by, "_k", "_v", "_c", "_n").join(per_bucket, by + ["_k"])
-    wv = Window.partitionBy(*by, "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = (rows.withColumn("_hi", F.col("_start") + F.sum("_c").over(wv))
-                .withColumn("_lo", F.col("_hi") - F.col("_c")))
-    return _interpolate(_pick(rows, by), by, fr, out)
+        rows = base.withColumn("_w", cells.agg(F.collect_list(cell)).scalar())
+    v = F.col("_v")
+    rows = rows.select(*by, "_v", F.explode(F.filter("_w", lambda w: (v >= w["_mn"]) & (v <= w["_mx"]))).alias("_w"))
+    part = F.floor((v - F.col("_w._mn")) / (F.col("_w._mx") - F.col("_w._mn")) * buckets).cast("double")
+    key = F.when(F.col("_w._c") <= buckets, v).otherwise(part)
+    counted = rows.groupBy(*by, F.col("_w._mn").alias("_cell"), key.alias("_k")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx"),
+        F.first("_w._at").alias("_below"), F.first("_w._n").alias("_n"), F.first("_w._rb").alias("_r"))
+    return _cells(counted, [*by, "_cell"], F.col("_below")).select(*by, "_mn", "_mx", "_at", "_c", "_n", "_rb")
 
 
 def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: Sequence[str] = (),
-                    out: str = "quantiles", buckets: int = DEFAULT_BUCKETS,
-                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                    out: str = "quantiles", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """One row per group (one row in total without ``by``): ``by`` columns,
     ``n`` (non-null values) and ``out`` = array of quantiles in ``fractions``
     order. NULL values and NULL group keys are ignored (pandas). One way for
-    groups of every size: no task ranks more than a bucket."""
+    groups of every size: no task holds more than the cells of a group."""
     by = list(by)
     fr = [float(p) for p in fractions]
     v = F.col(value).cast("double")
@@ -139,10 +117,23 @@ def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: S
     for c in by:
         base = base.where(F.col(c).isNotNull())
 
-    # computed once: every later step (cut points, buckets, ranks) reads it
-    counts = materialize(base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c")), "quantile-counts")
-
-    return _by_buckets(counts, by, fr, out, buckets, accuracy)
+    counted = base.groupBy(*by, _first_cell(F.col("_v"), min(FIRST_PARTS, buckets)).alias("_k")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
+    counted = counted.withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
+    counted = counted.withColumn("_r", _wanted_ranks(F.col("_n"), fr))
+    cells = _cells(counted, by, F.lit(0).cast("bigint")).select(*by, "_mn", "_mx", "_at", "_c", "_n", "_rb")
+    found, cells = [], materialize(cells, "quantile-cells")
+    wide = F.col("_mn") < F.col("_mx")
+    while True:
+        found.append(cells.where(~wide))
+        if cells.where(wide & (F.col("_c") > buckets)).isEmpty():
+            break  # one more round, value by value, leaves single values
+        cells = materialize(_narrow(base, cells.where(wide), by, buckets), "quantile-cells")
+    found.append(_narrow(base, cells.where(wide), by, buckets))
+    hits = reduce(DataFrame.unionByName, found).select(*by, F.explode("_rb").alias("_rank"), F.col("_mn").alias("_v"), "_n")
+    values = hits.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_m"),
+                                   F.max("_n").alias("_n"))
+    return _interpolate(values if by else values.where(F.col("_n").isNotNull()), by, fr, out)
 
 
 def quantile_edges(df: DataFrame, value: str, q: int, by: Sequence[str] = (),

@@ -19,6 +19,7 @@ from cosecha.operators.relational import filter_not_null, order_desc, with_flag
 from cosecha.operators.stats import (box_stats, density_by_group, ols_fit, pearson, whatif_delta,
                                      whatif_predict, welch_ttest)
 from cosecha.operators.survey import conditional_counts
+from cosecha.session import materialize
 
 # ---- fixed values (must equal the analysed pipeline's) -------------------
 TOP_STATES = 15
@@ -132,12 +133,17 @@ def price_ttest_u(integrated: DataFrame, overlapping: bool = False) -> DataFrame
     return welch_ttest(d, "precio_promedio_clp", ca, cb, min_n=MIN_N_FOR_TEST)
 
 
+def _class_prices(integrated: DataFrame) -> DataFrame:
+    """Two columns of the join, stored: what follows scans them two or three times."""
+    return materialize(two_class_u(integrated).select("clasificacion_salud", "precio_promedio_clp"), "class-prices")
+
+
 def price_box(integrated: DataFrame) -> DataFrame:
-    return box_stats(two_class_u(integrated), "clasificacion_salud", "precio_promedio_clp")
+    return box_stats(_class_prices(integrated), "clasificacion_salud", "precio_promedio_clp")
 
 
 def price_density(integrated: DataFrame, grid: int = 100) -> DataFrame:
-    return density_by_group(two_class_u(integrated), "clasificacion_salud", "precio_promedio_clp", grid=grid)
+    return density_by_group(_class_prices(integrated), "clasificacion_salud", "precio_promedio_clp", grid=grid)
 
 
 def quality_index(integrated: DataFrame) -> DataFrame:

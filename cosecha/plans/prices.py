@@ -98,7 +98,8 @@ def price_by_class(integrated: DataFrame, cls: str = "clasificacion_salud",
                    price: str = "precio_promedio_clp") -> DataFrame:
     """Mean, exact median and count of the price per health class, rounded."""
     from cosecha.operators.quantile import exact_quantiles
-    d = integrated.where(F.col(cls).isNotNull())
+    # two columns of the join, stored: they are scanned three times
+    d = materialize(integrated.where(F.col(cls).isNotNull()).select(cls, price), "class-prices")
     agg = d.groupBy(cls).agg(F.avg(price).alias("precio_mean"), F.count(F.col(price)).alias("precio_count"))
     med = exact_quantiles(d, price, [0.5], by=[cls], out="_q").select(cls, F.col("_q")[0].alias("precio_median"))
     return (agg.join(med, cls, "left")
