@@ -1,12 +1,14 @@
 """Packing (operator 1): first-fit decreasing with a tournament tree of bin
-capacities, run independently in randomised groups of pieces.
+capacities, run independently in randomised groups of documents.
 
 1. ``token_pieces``: every document becomes its token ids plus an end id, cut
    every ``capacity`` ids. One pass, no shuffle.
-2. ``pack``: the pieces are stored, counted and dealt at random into groups of
-   about ``group_pieces``; each group is packed by first-fit decreasing. A
-   group's size does not depend on any key, so a hot key or source cannot
-   swell one; padding is a part of a bin per group.
+2. ``pack``: a piece of ``capacity`` ids is a sequence of its own, so a document
+   has at most one piece to pack, its last. These are stored, counted and dealt at
+   random into groups of about ``group_pieces`` documents; each group is packed by
+   first-fit decreasing. A group's size does not depend on any key or length, so a
+   hot key, a hot source or a long document cannot swell one; padding is a part of a
+   bin per group.
 
 Defined cases: a null text is empty; an empty document is its end id alone;
 a very long text becomes many pieces, of which the full ones are sequences of
@@ -20,8 +22,8 @@ from __future__ import annotations
 import math
 import zlib
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,23 +104,27 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
     travel along."""
     prepare(pieces.sparkSession)
     kept = store(pieces, "pieces")
-    groups = max(1, math.ceil(kept.count() / group_pieces))
-    dealt = kept.withColumn("__group", F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()),
-                                              F.lit(groups)))
-    columns = pieces.columns
-
-    def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        group = int(pdf["__group"].iloc[0])
-        pdf = pdf.sort_values(["length", "doc_id", "start"], ascending=[False, True, True], kind="stable")
-        spots = first_fit_decreasing(pdf["length"].tolist(), capacity)
-        out = pdf[columns].copy()
-        out["sequence_id"] = [(group << 32) + s for s, _ in spots]
-        out["offset"] = [o for _, o in spots]
-        return out
-
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + \
-          ", sequence_id long, offset long"
-    return dealt.groupBy("__group").applyInPandas(place, ddl)
+    whole = F.col("length") == capacity
+    groups = max(1, math.ceil(kept.where(~whole).count() / group_pieces))
+    dealt = kept.where(~whole).withColumn("__group", F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()),
+                                                            F.lit(groups)))
+    schema = pieces.schema
+
+    def place(rows: pa.Table) -> pa.Table:
+        # in Arrow, so that every column keeps its type and its nulls
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[("length", "descending"), ("doc_id", "ascending"),
+                                                          ("start", "ascending")]))
+        group = rows.column("__group")[0].as_py()
+        spots = first_fit_decreasing(rows.column("length").to_pylist(), capacity)
+        return rows.drop_columns(["__group"]).append_column("sequence_id", pa.array([(group << 32) + s for s, _ in spots], pa.int64())) \
+            .append_column("offset", pa.array([o for _, o in spots], pa.int64()))
+
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", sequence_id long, offset long"
+    packed = dealt.groupBy("__group").applyInArrow(place, ddl)
+    # numbers from ``groups`` << 32 on belong to no group
+    alone = kept.where(whole).withColumn("sequence_id", F.monotonically_increasing_id() + (groups << 32)) \
+        .withColumn("offset", F.lit(0).cast("long"))
+    return packed.unionByName(alone)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID,

@@ -90,7 +90,10 @@ class ChunkEncoder:
         word = chunk.rstrip(_MARKS)
         line = word[:1] == "\n"
         letters = word[1:] if line else word
-        if not (letters.isalpha() and (letters.isascii() or (max(letters) < "\u0530" and is_normalized("NFC", letters)))):
+        plain = letters.isascii() or (max(letters) < "\u0530" and is_normalized("NFC", letters) and
+                                      # lower-casing may add a mark, which is a pre-token of its own
+                                      (not self.drops_space or all(len(c.lower()) == 1 for c in letters)))
+        if not (letters.isalpha() and plain):
             return _packed(self._ids(chunk if line or self.drops_space or chunk[:1] == "\n" else " " + chunk))
         if len(word) < len(chunk):
             return self.spaced[word] + self.exact[chunk[len(word):]]

@@ -73,3 +73,31 @@ def test_marks_have_the_ids_of_the_untouched_tokenizer(name, expected):
     for _ in range(3000):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_every_letter_has_the_ids_of_the_untouched_tokenizer(name):
+    from tokenizers import Tokenizer
+    enc, tok = encoder(public_path(name)), Tokenizer.from_file(public_path(name))
+    points = [c for c in range(0x30000) if not 0xD800 <= c < 0xE000 and (c < 0x3000 or c % 37 == 0)]
+    texts = [t for c in map(chr, points) for t in (f"\u044f{c}", f"{c}b", f"a {c}c.", c)]
+    want = tok.encode_batch(texts, add_special_tokens=False)
+    bad = [t for t, w in zip(texts, want) if np.frombuffer(enc.encode(t), "<u4").tolist() != w.ids]
+    assert not bad
+
+
+def test_long_ids_beside_a_null_one_and_clashing_columns(spark):
+    big = 9007199254740993
+    df = spark.createDataFrame([(big, "a", 1, big), (None, "b", 2, None), (big + 2, None, None, big)],
+                               "doc_id long, text string, length int, sequence_id long")
+    out = pack_documents(df).collect()
+    assert {r.doc_id for r in out} == {big, None, big + 2} and len(out) == 3
+
+
+def test_whole_pieces_are_sequences_of_their_own(spark, documents):
+    rows = [(i, "word " * n) for i, n in enumerate([4095, 8191, 9000, 3, 3, 20_000])]
+    out = pack_documents(documents(rows), with_ids=False, group_pieces=2).collect()
+    full = [r for r in out if r.length == 4096]
+    assert len(full) == 1 + 2 + 2 + 4 and len({r.sequence_id for r in full}) == len(full)
+    rest = {r.sequence_id for r in out if r.length < 4096}
+    assert not rest & {r.sequence_id for r in full} and all(r.offset == 0 for r in full)
