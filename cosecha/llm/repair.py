@@ -1,8 +1,10 @@
 """Token-ID / binary output (operator 10): Re-Pair grammar compression.
 
-Per shard, frequent pairs of neighbouring ids are replaced by nonterminals,
-round after round; the rules and the length of every expansion are stored, so
-any document (or a part of one) is decoded without the rest.
+Per block, repeated pairs of neighbouring ids are replaced by nonterminals, round
+after round, until no pair occurs twice. A round replaces all repeated pairs that
+are more frequent than the pairs they overlap. The rules and the length of every
+expansion are stored, so any document (or a part of one) is decoded from the rules
+below its symbols, without the rest.
 
 File format: a Parquet table, one row per block of whole documents, in
 ascending ``doc_id`` order over (``part``, ``block``):
@@ -41,11 +43,7 @@ from cosecha.llm.tokens import encoder, public_path
 from cosecha.session import scratch_path
 
 END_ID = 2
-BLOCK_IDS = 1 << 18
-#: a pair is worth a rule from this many occurrences in a block
-MIN_COUNT = 16
-#: rounds of pair replacement (compression effort; every round may add many rules)
-ROUNDS = 6
+BLOCK_IDS = 1 << 20
 
 FORMAT = ("part int, block int, n_ids long, base long, doc_ids array<bigint>, doc_ids_n array<bigint>, "
           "doc_symbols array<bigint>, rule_left array<bigint>, rule_right array<bigint>, rule_len array<bigint>, "
@@ -55,52 +53,67 @@ _ARROW = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n_ids", pa.in
                                                          "rule_right", "rule_len")], ("symbols", pa.binary())])
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, min_count: int = MIN_COUNT, rounds: int = ROUNDS):
-    """Re-Pair over one block. ``ends``: positions after each document's last
-    id. Returns (symbols, symbols per document, base, left, right, length)."""
+def _without_overlaps(seq: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """``where`` (places of pairs, ascending) without every second pair of a run of
+    equal ids: in x x x x the pairs at 0 and 2 can be replaced, those at 1 and 3 can't."""
+    equal = seq[where] == seq[where + 1]
+    if not equal.any():
+        return where
+    at = where[equal]
+    begins = np.append(True, np.diff(at) != 1)
+    first = at[begins][np.cumsum(begins) - 1]
+    keep = np.ones(len(where), bool)
+    keep[np.flatnonzero(equal)[(at - first) % 2 == 1]] = False
+    return where[keep]
+
+
+def compress(ids: np.ndarray, ends: np.ndarray):
+    """Re-Pair over one block, until no pair occurs twice (without overlap, inside
+    documents). ``ends``: positions after each document's last id. Returns
+    (symbols, symbols per document, base, left, right, length)."""
     seq = ids.astype(np.int64)
     base = int(seq.max()) + 1 if len(seq) else 0
-    left, right, length = [], [], []
+    left, right, length = [], [], np.zeros(0, np.int64)
     doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:
         a, b = seq[:-1], seq[1:]
-        # a first count by hash drops most pairs before the exact count
+        # a first count by hash drops most pairs that occur once before the exact count
         slot = ((a * 0x9E3779B1 + b * 0x85EBCA77) >> 11) & 0xFFFFF
-        maybe = np.flatnonzero((np.bincount(slot, minlength=1 << 20)[slot] >= min_count) & (doc[:-1] == doc[1:]))
-        if not len(maybe):
-            break
-        pairs, which, count = np.unique((a[maybe] << 32) | b[maybe], return_inverse=True, return_counts=True)
-        rank_of = np.full(len(pairs), len(pairs), np.int64)
-        frequent = np.flatnonzero(count >= min_count)
-        rank_of[frequent[np.argsort(-count[frequent], kind="stable")]] = np.arange(len(frequent))
-        rank = np.full(len(seq) + 1, len(pairs), np.int64)  # rank[i + 1]: of the pair at i; most frequent is 0
-        rank[maybe + 1] = rank_of[which]
-        # of overlapping pairs the more frequent goes first, then the left one
-        at = np.flatnonzero((rank[1:-1] < rank[:-2]) & (rank[1:-1] <= np.append(rank[2:-1], len(pairs)))
-                            & (rank[1:-1] < len(frequent)))
-        used, new, n = np.unique(rank[at + 1], return_inverse=True, return_counts=True)
-        keep = n >= 2
-        if not keep.any():
+        maybe = np.flatnonzero((np.bincount(slot, minlength=1 << 20)[slot] >= 2) & (doc[:-1] == doc[1:]))
+        maybe = _without_overlaps(seq, maybe)
+        code = (a[maybe] << 32) | b[maybe]
+        order = np.argsort(code, kind="stable")
+        new = np.append(True, np.diff(code[order]) != 0) if len(code) else np.zeros(0, bool)
+        count = np.diff(np.append(np.flatnonzero(new), len(code)))
+        if not len(count) or count.max() < 2:
             break
-        number = np.cumsum(keep) - 1
-        at, new = at[keep[new]], number[new[keep[new]]]
-        firsts = np.empty(int(keep.sum()), np.int64)
+        # the most frequent pair has rank 0; of two that overlap the better one goes first
+        none = len(count)
+        rank_of = np.full(none, none, np.int64)
+        twice = np.flatnonzero(count >= 2)
+        rank_of[twice[np.argsort(-count[twice], kind="stable")]] = np.arange(len(twice))
+        rank = np.full(len(seq) + 1, none, np.int64)  # rank[i + 1]: of the pair at i
+        rank[maybe[order] + 1] = np.repeat(rank_of, count)
+        at = np.flatnonzero((rank[1:-1] < rank[:-2]) & (rank[1:-1] < rank[2:]))
+        used = rank[at + 1]
+        n = np.bincount(used, minlength=none)
+        # a pair whose other places were taken waits; rank 0 has all of its places
+        number = np.cumsum(n >= 2) - 1
+        stays = n[used] >= 2
+        at, new = at[stays], number[used[stays]]
+        firsts = np.empty(int(number[-1]) + 1, np.int64)
         firsts[new] = at
-        first_new = base + len(left)
-        ln = np.array(length, np.int64)
-        size = lambda s: np.where(s >= base, ln[np.maximum(s - base, 0)] if len(ln) else 1, 1)  # noqa: E731, B023
         l_sym, r_sym = seq[firsts], seq[firsts + 1]
+        size = lambda s: np.where(s >= base, length[np.maximum(s - base, 0)] if len(length) else 1, 1)  # noqa: E731, B023
+        seq[at] = base + len(left) + new
         left += l_sym.tolist()
         right += r_sym.tolist()
-        length += (size(l_sym) + size(r_sym)).tolist()
-        seq[at] = first_new + new
+        length = np.append(length, size(l_sym) + size(r_sym))
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
         seq, doc = seq[stay], doc[stay]
     per_doc = np.bincount(doc, minlength=len(ends)) if len(ends) else np.zeros(0, np.int64)
-    return seq.astype("<u4"), per_doc, base, left, right, length
+    return seq.astype("<u4"), per_doc, base, left, right, length.tolist()
 
 
 def expansions(base: int, left, right, length) -> tuple[np.ndarray, np.ndarray]:
@@ -131,22 +144,34 @@ def expand(symbols: np.ndarray, base: int, left, right, length) -> np.ndarray:
     return flat[shift + np.arange(len(shift))].astype("<u4")
 
 
-def decode_range(row, doc: int, start: int = 0, stop: int | None = None) -> np.ndarray:
-    """Ids ``start:stop`` of the ``doc``-th document of a block, from the
-    symbols that cover them alone: the stored lengths say which those are."""
+def decode_range(row, doc: int, start: int = 0, stop: int | None = None, visit=None) -> np.ndarray:
+    """Ids ``start:stop`` of the ``doc``-th document of a block. The stored lengths
+    say which symbols, and which rules below them, cover the range; no others are
+    looked at (``visit`` is told each rule that is)."""
     s0 = int(sum(row["doc_symbols"][:doc]))
     syms = np.frombuffer(row["symbols"], "<u4")[s0:s0 + row["doc_symbols"][doc]].astype(np.int64)
     n = row["doc_ids_n"][doc]
     stop = n if stop is None else min(stop, n)
     if start >= stop:
         return np.zeros(0, "<u4")
-    base = row["base"]
-    size = np.where(syms >= base, np.asarray([*row["rule_len"], 1], np.int64)[np.maximum(syms - base, -1)], 1)
-    after = np.cumsum(size)
+    base, left, right, length = row["base"], row["rule_left"], row["rule_right"], row["rule_len"]
+    size = lambda s: length[s - base] if s >= base else 1
+    after = np.cumsum([size(s) for s in syms.tolist()])
     i, j = np.searchsorted(after, start, "right"), np.searchsorted(after, stop, "left") + 1
-    ids = expand(syms[i:j], base, row["rule_left"], row["rule_right"], row["rule_len"])
-    skip = start - (after[i] - size[i])
-    return ids[skip:skip + stop - start]
+    at = int(after[i - 1]) if i else 0
+    out, stack = [], syms[i:j][::-1].tolist()
+    while stack and at < stop:
+        s = stack.pop()
+        if at + size(s) <= start:
+            at += size(s)
+        elif s < base:
+            out.append(s)
+            at += 1
+        else:
+            if visit:
+                visit(s - base)
+            stack += (right[s - base], left[s - base])
+    return np.array(out, "<u4")
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID,
