@@ -157,7 +157,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of ``docs`` for each component: the one with the smallest ``doc_id``
-    (nulls last), then text hash. Rows are told apart by id and text."""
+    (nulls last), then text hash, then hash of all its columns. Components are of ids
+    and texts; rows equal in both are one document."""
     f = store(fingerprints(docs, id_col=id_col, text_col=text_col, with_key=True), "fingerprints")
     roots = _linked(f).select(F.col("fp").alias("class"), "root")
     named = f.join(roots, f["fp"] == roots["class"]).select("root", F.struct(
@@ -167,4 +168,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         .select(F.col("row.doc_id").alias("__gone"), F.col("row.key").alias("__gone_key")).distinct()
     keyed = docs.withColumn("__key", F.xxhash64(text_col))
     same = (F.col("__key") == gone["__gone_key"]) & F.col(id_col).cast("long").eqNullSafe(gone["__gone"])
-    return keyed.join(gone, same, "left_anti").dropDuplicates([id_col, "__key"]).select(*docs.columns)
+    kept = keyed.join(gone, same, "left_anti")
+    row = F.struct(*docs.columns)
+    return kept.groupBy(id_col, "__key").agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("__row")).select("__row.*")

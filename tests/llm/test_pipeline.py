@@ -37,9 +37,41 @@ def test_every_stage_takes_effect(spark, sf0001):
     assert {r.doc_id for r in docs.collect()} == {d for d, _ in kept["decontamination"]}
 
 
+CASES = [(1, None, "x"), (1, None, "x"), (2, "", None), (None, "no id at all here", "n"), (3, "one and the same text", "a"),
+         (3, "one and the same text", "b"), (4, "one and the same text", "c"), (5, "word " * 60_000, "long"),
+         (2 ** 53 + 1, "a text of its own, seen nowhere else", "z")]
+
+
+def test_stages_keep_clashing_columns_and_defined_cases(spark, sf0001):
+    columns = ["doc_id", "text", "score", "predicted", "held_out", "key", "fp", "segment", "n_chars"]
+    ddl = "doc_id long, text string, score string, predicted string, held_out string, key string, fp string, " \
+          "segment string, n_chars long"
+    docs = spark.createDataFrame([(i, t, s, "p", None, "k", "f", "g", None if t is None else len(t)) for i, t, s in CASES], ddl)
+    key = lambda r: tuple((x is None, x) for x in r)
+    rows = lambda df: sorted(map(tuple, df.collect()), key=key)
+    given = rows(docs)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out, again = stage(spark, docs, sf0001), stage(spark, docs.repartition(3), sf0001)
+        assert out.columns == columns and rows(out) == rows(again), name
+        assert stage(spark, docs.limit(0), sf0001).count() == 0
+        if name in ("toxicity", "decontamination"):
+            assert rows(out) == given, name
+        if name == "near_duplicates":
+            kept = {(r.doc_id, r.text, r.score) for r in out.collect()}
+            # texts without words are one component, equal texts another
+            assert len([k for k in kept if not k[1]]) == 1 and len([k for k in kept if k[1] == CASES[4][1]]) == 1
+            assert (3, CASES[4][1]) in {k[:2] for k in kept} and (None, "no id at all here", "n") in kept
+        if name == "repeats":
+            assert len(rows(out)) == len(given) and {r.score for r in out.collect()} == {r[2] for r in given}
+            assert all(r.n_chars == len(r.text) for r in out.collect() if r.text is not None)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf0001).collect()
+    assert {r.doc_id for r in pieces} == {c[0] for c in CASES}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), sf0001).count() == 0
+
+
 def test_queries_are_registered():
     names = [q for q in E.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 def test_queries_with_sql_equal_it(spark, sf0001):
