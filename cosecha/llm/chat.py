@@ -2,8 +2,9 @@
 
 Calls and results are joined by identifier; calls are put in topological order
 over the call each one follows; arguments are checked against schemas; a call
-with its result is written as canonical JSON (keys sorted, no white space).
-DataFrame and SQL functions only.
+with its result is written as canonical JSON: keys sorted at every depth, no white
+space, one spelling for equal numbers (``1``, ``1.0`` and ``1e0`` are ``1``; see
+``plain_numbers``). DataFrame and SQL functions only.
 
 Every call and every result is a row of its own. An identifier counts inside its
 conversation (a null ``conv_id`` is a conversation like any other); copies of an
@@ -35,8 +36,10 @@ from pyspark.sql import functions as F
 
 from cosecha.llm.common import prepare, store
 
-#: JSON type names -> pattern of the type that Spark reports for a value
-TYPES = {"string": "^STRING$", "integer": "^BIGINT$", "number": "^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$",
+#: JSON type names -> pattern of the type that Spark reports for a value; an integer is
+#: a number without a fraction, however it is written
+NUMBER = "^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$"
+TYPES = {"string": "^STRING$", "integer": NUMBER, "number": NUMBER,
          "boolean": "^BOOLEAN$", "object": "^OBJECT<.*", "array": "^ARRAY<.*", "null": "^VOID$"}
 _MESSAGE = "struct<tool_calls:array<struct<id:string,name:string,after:string,arguments:variant>>," \
            "tool_call_id:string,content:string>"
@@ -100,8 +103,12 @@ def _errors(args, spec) -> F.Column:
     fields = F.map_keys(spec)
     missing = F.filter(fields, lambda f: F.element_at(spec, f)["required"] & ~F.array_contains(keys, f))
     unknown = F.array_except(keys, fields)
-    wrong = F.filter(F.array_intersect(keys, fields), lambda k: ~F.regexp_like(
-        F.schema_of_variant(F.element_at(args, k)), F.element_at(spec, k)["pattern"]))
+    def mistyped(k):
+        value, rule = F.element_at(args, k), F.element_at(spec, k)
+        return ~F.regexp_like(F.schema_of_variant(value), rule["pattern"]) | (
+            rule["whole"] & ~F.regexp_like(plain_numbers(F.to_json(value)), F.lit(r"^-?[0-9]+$|e\+")))
+
+    wrong = F.filter(F.array_intersect(keys, fields), mistyped)
     tag = lambda name, xs: F.transform(xs, lambda x: F.concat(F.lit(name + ":"), x))
     return F.array_sort(F.concat(tag("missing", missing), tag("type", wrong), tag("unknown", unknown)))
 
@@ -152,6 +159,7 @@ def link_tools(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     known = [F.when(F.col("type") == t, F.lit(p)) for t, p in TYPES.items()]
     spec = schemas.groupBy(F.col("name").alias("tool")).agg(F.map_from_entries(F.collect_list(F.struct(
         "field", F.struct(F.coalesce(*known, F.lit("^.*$")).alias("pattern"),
+                          F.coalesce(F.col("type") == "integer", F.lit(False)).alias("whole"),
                           F.coalesce("required", F.lit(False)).alias("required"))))).alias("spec"))
     value = F.try_parse_json(F.coalesce("arguments", F.lit("{}")))
     args = F.try_variant_get("value", "$", "map<string,variant>")
@@ -175,8 +183,53 @@ def link_tools(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
 
 
 def canonical(**columns: str) -> F.Column:
-    """One JSON object: keys sorted at every depth, no white space, nulls kept."""
-    return F.to_json(F.struct(*[F.col(c).alias(k) for k, c in sorted(columns.items())]), {"ignoreNullFields": "false"})
+    """One JSON object: keys sorted at every depth, no white space, nulls kept, equal
+    numbers spelt alike."""
+    return plain_numbers(F.to_json(F.struct(*[F.col(c).alias(k) for k, c in sorted(columns.items())]),
+                                   {"ignoreNullFields": "false"}))
+
+
+#: digits of the longest number written without an exponent
+PLAIN_DIGITS = 38
+
+
+def plain_numbers(json: F.Column) -> F.Column:
+    """``json`` (without white space) with every number in one spelling: no sign on
+    zero, no needless zeros, no exponent while the number has at most PLAIN_DIGITS
+    digits before its point or starts within six zeros behind it, else one digit
+    before the point. What it means is taken from its digits, so nothing is rounded."""
+    # an even number of quotes before a piece: it's outside strings. Escaped quotes and
+    # backslashes are set aside; a raw control character can't be in JSON
+    aside = F.replace(F.replace(json, F.lit("\\\\"), F.lit("\x01")), F.lit('\\"'), F.lit("\x02"))
+    pieces = F.transform(F.split(aside, '"'), lambda p, i: F.when((i % 2 == 0) & p.rlike("[0-9]"), F.array_join(
+        F.transform(F.regexp_extract_all(p, F.lit("-?[0-9][0-9.eE+-]*|[^-0-9]+"), F.lit(0)), _number), "")).otherwise(p))
+    return F.replace(F.replace(F.array_join(pieces, '"'), F.lit("\x02"), F.lit('\\"')), F.lit("\x01"), F.lit("\\\\"))
+
+
+def _number(token: F.Column) -> F.Column:
+    """A number token in its one spelling; another token as it is."""
+    mantissa = F.regexp_extract(token, "^-?([0-9.]+)", 1)
+    fraction = F.regexp_extract(mantissa, "[.]([0-9]*)$", 1)
+    power = F.coalesce(F.regexp_extract(token, "[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+    parts = F.struct(F.ltrim(F.replace(mantissa, F.lit(".")), F.lit("0")).alias("d"), (power - F.length(fraction)).alias("e"),
+                     F.when(token.startswith("-"), "-").otherwise("").alias("sign"))
+    # digits without zeros at either end, and how many stand before the point
+    parts = F.transform(F.array(parts), lambda x: F.struct(
+        F.rtrim(x["d"], F.lit("0")).alias("d"), (x["e"] + F.length(x["d"])).alias("n"), x["sign"].alias("sign")))
+    some = lambda d, a, k: F.substring(d, a, k)
+
+    def spell(x):
+        d, n = x["d"], x["n"]
+        size = F.length(d)
+        rest = F.when(size > 1, F.concat(F.lit("."), some(d, F.lit(2), size))).otherwise("")
+        return F.when(size == 0, "0").otherwise(F.concat(x["sign"], F.when(
+            (n >= size) & (n <= PLAIN_DIGITS), F.concat(d, F.repeat(F.lit("0"), n - size)))
+            .when((n > 0) & (n < size), F.concat(some(d, F.lit(1), n), F.lit("."), some(d, n + 1, size)))
+            .when((n <= 0) & (n > -6), F.concat(F.lit("0."), F.repeat(F.lit("0"), -n), d))
+            .otherwise(F.concat(some(d, F.lit(1), F.lit(1)), rest, F.lit("e"), F.when(n > 0, "+").otherwise(""),
+                                (n - 1).cast("string")))))
+
+    return F.when(token.rlike("^-?[0-9]"), F.transform(parts, spell)[0]).otherwise(token)
 
 
 # the given conversations hold no tool calls: every user turn is read as a call
@@ -204,13 +257,15 @@ def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 ORACLE = """
-WITH RECURSIVE c AS (SELECT conv_id, turn, conv_id || ':' || turn AS call_id, text, length(text) AS n FROM conversations
+WITH RECURSIVE c AS (SELECT conv_id, turn, concat_ws(':', conv_id, turn) AS call_id, text, length(text) AS n FROM conversations
   WHERE role = 'user'),
-r AS (SELECT turn, conv_id || ':' || (turn - 1) AS call_id, conv_id, text AS content FROM conversations
+r AS (SELECT turn, concat_ws(':', conv_id, turn - 1) AS call_id, conv_id, text AS content FROM conversations
   WHERE role = 'assistant'),
 lv AS (SELECT conv_id, turn, 0 AS level FROM c WHERE NOT EXISTS
-         (SELECT 1 FROM c p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
-       UNION ALL SELECT c.conv_id, c.turn, lv.level + 1 FROM lv JOIN c ON c.conv_id = lv.conv_id AND c.turn = lv.turn + 2)
+         (SELECT 1 FROM c p WHERE p.conv_id IS NOT DISTINCT FROM c.conv_id
+         AND p.turn = c.turn - 2)
+       UNION ALL SELECT c.conv_id, c.turn, lv.level + 1 FROM lv JOIN c ON c.conv_id IS NOT DISTINCT FROM lv.conv_id
+         AND c.turn = lv.turn + 2)
 SELECT c.conv_id, c.turn, c.call_id, CAST(lv.level AS BIGINT) AS level,
   CASE WHEN n < 200 THEN 'ask' ELSE 'report' END AS name, n < 200 OR n % 2 = 0 AS valid,
   CASE WHEN n < 200 OR n % 2 = 0 THEN '' ELSE 'missing:max_words' END AS errors, CAST(1 AS BIGINT) AS n_calls,
@@ -219,9 +274,9 @@ SELECT c.conv_id, c.turn, c.call_id, CAST(lv.level AS BIGINT) AS level,
   ',"query":' || CAST(to_json(text) AS VARCHAR) || '},"call_id":"' || c.call_id || '","level":' || lv.level || ',"name":"' ||
   CASE WHEN n < 200 THEN 'ask' ELSE 'report' END || '","result":' ||
   CASE WHEN r.content IS NULL THEN 'null' ELSE CAST(to_json(r.content) AS VARCHAR) END || '}' AS json
-FROM c JOIN lv USING (conv_id, turn) LEFT JOIN r USING (call_id)
+FROM c JOIN lv ON c.conv_id IS NOT DISTINCT FROM lv.conv_id AND c.turn = lv.turn LEFT JOIN r USING (call_id)
 UNION ALL
-SELECT NULL, r.turn, r.call_id, NULL, NULL, FALSE, 'no_call', 0, 1,
+SELECT r.conv_id, r.turn, r.call_id, NULL, NULL, FALSE, 'no_call', 0, 1,
   '{"call_id":"' || r.call_id || '","result":' || coalesce(CAST(to_json(r.content) AS VARCHAR), 'null') || '}'
 FROM r WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.call_id = r.call_id)
 """

@@ -89,3 +89,50 @@ def test_every_copy_of_a_hot_identifier_is_a_row(spark):
     results = [json.loads(x.json)["result"] for x in out]
     assert len(out) == 3000 and {x.n_calls for x in out} == {3000} and {x.n_results for x in out} == {2000}
     assert sorted(int(x) for x in results if x) == list(range(2000))
+
+
+SPELT = {"1": "1", "1.0": "1", "1e0": "1", "1E+0": "1", "10e-1": "1", "100": "100", "1e2": "100", "100.00": "100", "0.1": "0.1",
+         "1e-1": "0.1", "0.10": "0.1", "-0": "0", "-0.0": "0", "0": "0", "-1.50": "-1.5", "12345678901234567890": "12345678901234567890",
+         "1234567.25": "1234567.25", "0.0000012": "0.0000012", "1.2e-6": "0.0000012", "1.2e-7": "1.2e-7", "0.00000012": "1.2e-7",
+         "1e40": "1e+40", "15e39": "1.5e+40", "-2.5e-9": "-2.5e-9", "1" * 38: "1" * 38}
+
+
+def test_equal_numbers_have_equal_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from cosecha.llm.chat import plain_numbers
+    for wrap in ('{"b":%s}', '{"a":[%s,"x 1.0 \\\\",{"c":%s}]}', '{"q":"1.0 \\"2.0\\" ","z":%s,"t":true}'):
+        rows = [(wrap.replace("%s", k), wrap.replace("%s", v)) for k, v in SPELT.items()]
+        df = spark.createDataFrame(rows, "given string, want string")
+        for r in df.select("*", plain_numbers(F.col("given")).alias("got")).collect():
+            assert r.got == r.want
+    long = '{"q":"' + 'a \\"1.0\\" \\n' * 60_000 + '","n":1.50}'
+    df = spark.createDataFrame([(long,)], "j string").select(plain_numbers(F.col("j")).alias("j"))
+    assert df.first().j == long.replace("1.50", "1.5")
+
+
+def test_integers_by_value_and_canonical_calls(spark):
+    values = ["1", "1.0", "1e2", "12345678901234567890", "-0", "1.5", "1e-1", '"1"', "true"]
+    calls = [(1, i, f"c{i}", None, "add", '{"b": 100.0, "a": %s}' % v) for i, v in enumerate(values)]
+    out = {r.turn: r for r in run(spark, calls, [])}
+    assert [out[i].errors for i in range(9)] == [""] * 5 + ["type:a"] * 4
+    assert [json.loads(out[i].json)["arguments"]["a"] for i in range(7)] == [1, 1, 100, 12345678901234567890, 0, 1.5, 0.1]
+    assert all('"b":100}' in r.json for r in out.values())
+
+
+def test_the_query_keeps_the_conversation_of_a_lost_result(spark):
+    import duckdb
+    import pyarrow as pa
+
+    from cosecha.llm import chat
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", "c" * 300), (2, 3, "assistant", "lost \"x\" 1.0"),
+            (None, 0, "user", "n"), (None, 1, "assistant", None), (None, 5, "assistant", "gone"), (3, 0, "system", "s")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    s = spark.createDataFrame(chat.SCHEMAS, "name string, field string, type string, required boolean")
+    out = chat.link_tools(*chat.turns_as_calls(df), s)
+    con = duckdb.connect()
+    con.register("conversations", pa.table({"conv_id": [r[0] for r in rows], "turn": [r[1] for r in rows],
+                                            "role": [r[2] for r in rows], "text": [r[3] for r in rows]}))
+    cur = con.sql(chat.ORACLE)
+    assert {(r.conv_id, r.errors) for r in out.where("errors = 'no_call'").collect()} == {(2, "no_call"), (None, "no_call")}
+    assert sorted(map(str, (tuple(r[c] for c in cur.columns) for r in out.collect()))) == sorted(map(str, cur.fetchall()))
