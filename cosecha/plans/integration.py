@@ -4,13 +4,14 @@ semantics, then the inventory of what was produced.
 Each output is one distributed write. Tables that later steps read (the
 foods with nutrients, the products) are read back from the store rather than
 recomputed. The secondary indexes of the source pipeline become
-``cluster_by``: range-partitioned and sorted on the first indexed column, so
-Parquet min/max statistics serve filters on it."""
+``cluster_by``: laid out along a space-filling curve over all indexed columns, so
+Parquet min/max statistics serve filters on each."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cosecha._util import resolve_existing
 from cosecha.operators.survey import table_inventory
 from cosecha.plans import food as fd
 from cosecha.plans import prices as pr
@@ -40,13 +41,9 @@ INDEXES = {
 # -------------------------------------------------------------------------
 
 
-def _cluster_column(df: DataFrame, table: str):
-    """The first indexed column that exists (case-insensitive), or None."""
-    have = {c.lower(): c for c in df.columns}
-    for c in INDEXES.get(table, []):
-        if c.lower() in have:
-            return [have[c.lower()]]
-    return None
+def _cluster_columns(df: DataFrame, table: str) -> list[str]:
+    """The indexed columns that exist (case-insensitive)."""
+    return resolve_existing(df.columns, INDEXES.get(table, []))
 
 
 def integrate(spark: SparkSession, food: DataFrame, food_nutrient: DataFrame, prices: DataFrame,
@@ -57,7 +54,7 @@ def integrate(spark: SparkSession, food: DataFrame, food_nutrient: DataFrame, pr
     def put(name: str, df: DataFrame | None) -> DataFrame | None:
         if df is None:
             return None
-        write_replace(df, store, name, cluster_by=_cluster_column(df, name))
+        write_replace(df, store, name, cluster_by=_cluster_columns(df, name))
         return scan_table(spark, store, name)
 
     foods = put("FDC_NUTRIENTES_INTEGRADO", fd.food_integrated(food, food_nutrient))

@@ -1,10 +1,11 @@
 """Zip archives (S2, S3): a distributed unpack job.
 
-Archives are listed on the driver (names only); a DataFrame of archive
-paths is spread one archive per task and each task streams the chosen
-members out to a shared folder (bounded memory: members are copied in
-chunks, never held whole). The result is the list of unpacked files, which
-the ordinary readers (CSV, XPORT) then scan in parallel."""
+Archives are listed on the driver (names only). A first job reads the central
+directory of each archive, one task an archive; a second one unpacks, one task a
+member, so an archive of 20 members keeps 20 tasks busy. A task opens the archive
+at the member's place and streams it out to a shared folder (bounded memory:
+copied in chunks, never held whole). The result is the list of unpacked files,
+which the ordinary readers (CSV, XPORT) then scan in parallel."""
 
 from __future__ import annotations
 
@@ -21,39 +22,54 @@ from cosecha.sources.xport import _fs, list_files
 CHUNK = 8 << 20
 
 
-def _unpack_one(archive: str, dest: str, members: Sequence[str] | None, xpt_first: bool):
+def _chosen(archive: str, members: Sequence[str] | None, xpt_first: bool) -> list[str]:
+    """Names of the members wanted, from the archive's central directory."""
     fs, p = _fs(archive)
-    # archives of one name from different folders keep apart
-    stem = f"{archive.rstrip('/').rsplit('/', 1)[-1]}-{zlib.crc32(archive.encode()):08x}"
-    out_rows = []
     with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as z:
         names = z.namelist()
-        if xpt_first:
-            chosen = [n for n in names if ".xpt" in n.lower()][:1]
-            if not chosen:
-                raise FileNotFoundError(f"{archive}: no .xpt member")
-        elif members is not None:
-            chosen = [n for m in members for n in names if n.rsplit("/", 1)[-1] == m]
-        else:
-            chosen = [n for n in names if not n.endswith("/")]
-        for m in chosen:
-            # the member's own folders stay, so equal base names do too
-            inside = "/".join(x for x in m.strip().split("/") if x not in ("", ".", ".."))
-            target = f"{dest.rstrip('/')}/{stem}/{inside}"
-            tfs, tp = _fs(target)
-            aside = f"{tp.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}"
-            tfs.create_dir(tp.rsplit("/", 1)[0], recursive=True)
-            size = 0
-            with z.open(m) as src, tfs.open_output_stream(aside) as dst:
-                while True:
-                    chunk = src.read(CHUNK)
-                    if not chunk:
-                        break
-                    dst.write(chunk)
-                    size += len(chunk)
-            tfs.move(aside, tp)  # a repeated attempt never leaves half a file
-            out_rows.append((archive, m.strip().rsplit("/", 1)[-1], target, size))
-    return out_rows
+    if xpt_first:
+        found = [n for n in names if ".xpt" in n.lower()][:1]
+        if not found:
+            raise FileNotFoundError(f"{archive}: no .xpt member")
+        return found
+    if members is not None:
+        return [n for m in members for n in names if n.rsplit("/", 1)[-1] == m]
+    return [n for n in names if not n.endswith("/")]
+
+
+def _unpack_one(archive: str, member: str, dest: str) -> tuple:
+    # archives of one name from different folders keep apart
+    stem = f"{archive.rstrip('/').rsplit('/', 1)[-1]}-{zlib.crc32(archive.encode()):08x}"
+    # the member's own folders stay, so equal base names do too
+    inside = "/".join(x for x in member.strip().split("/") if x not in ("", ".", ".."))
+    target = f"{dest.rstrip('/')}/{stem}/{inside}"
+    fs, p = _fs(archive)
+    tfs, tp = _fs(target)
+    aside = f"{tp.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}"
+    tfs.create_dir(tp.rsplit("/", 1)[0], recursive=True)
+    size = 0
+    with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as z, z.open(member) as src, \
+            tfs.open_output_stream(aside) as dst:
+        while chunk := src.read(CHUNK):
+            dst.write(chunk)
+            size += len(chunk)
+    tfs.move(aside, tp)  # a repeated attempt never leaves half a file
+    return archive, member.strip().rsplit("/", 1)[-1], target, size
+
+
+def list_members(spark: SparkSession, archives: str | Sequence[str], members: Sequence[str] | None = None,
+                 xpt_first: bool = False) -> DataFrame:
+    """(archive, member) of the chosen members, one task an archive."""
+    paths = list(archives) if not isinstance(archives, str) else list_files(archives, ".zip")
+    src = spark.createDataFrame(pd.DataFrame({"archive": paths}), "archive string").repartition(max(1, len(paths)))
+    mem = list(members) if members is not None else None
+
+    def run(batches):
+        for b in batches:
+            rows = [(a, m) for a in b["archive"] for m in _chosen(a, mem, xpt_first)]
+            yield pd.DataFrame(rows, columns=["archive", "member"])
+
+    return src.mapInPandas(run, "archive string, member string")
 
 
 def unpack(spark: SparkSession, archives: str | Sequence[str], dest: str,
@@ -64,16 +80,13 @@ def unpack(spark: SparkSession, archives: str | Sequence[str], dest: str,
     ``members``: only these member file names (absent ones are skipped);
     ``xpt_first``: the first member whose lower-cased name contains ``.xpt``
     (error if there is none)."""
-    paths = list(archives) if not isinstance(archives, str) else list_files(archives, ".zip")
-    src = spark.createDataFrame(pd.DataFrame({"archive": paths}), "archive string")
-    src = src.repartition(max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4)), "archive")
-    mem = list(members) if members is not None else None
+    found = list_members(spark, archives, members, xpt_first).collect()  # names only
+    src = spark.createDataFrame([tuple(r) for r in found], "archive string, member string") \
+        .repartition(max(1, len(found)))
 
     def run(batches):
         for b in batches:
-            rows = []
-            for a in b["archive"]:
-                rows.extend(_unpack_one(a, dest, mem, xpt_first))
+            rows = [_unpack_one(a, m, dest) for a, m in zip(b["archive"], b["member"])]
             yield pd.DataFrame(rows, columns=["archive", "member", "path", "bytes"])
 
     return src.mapInPandas(run, "archive string, member string, path string, bytes long")

@@ -6,13 +6,13 @@ from __future__ import annotations
 import logging
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from cosecha.functions.text import table_name
 from cosecha.operators.relational import select_existing
 from cosecha.sources import archive
-from cosecha.sources.tables import concurrently, scan_table, write_replace
+from cosecha.sources.tables import concurrently, write_replace
 from cosecha.sources.xport import read_xport
 
 log = logging.getLogger(__name__)
@@ -47,6 +47,11 @@ def _error_code(e: Exception) -> str:
     return type(e).__name__
 
 
+def _paths(path):
+    """One archive, several, or a folder of them."""
+    return path if isinstance(path, str) and not path.endswith(".zip") else [path] if isinstance(path, str) else list(path)
+
+
 def _load(spark: SparkSession, entry: Mapping, scratch: str) -> DataFrame:
     fmt = entry["format"]
     path = entry["path"]
@@ -55,8 +60,8 @@ def _load(spark: SparkSession, entry: Mapping, scratch: str) -> DataFrame:
     if fmt == "xport":
         return read_xport(spark, path, entry.get("columns"))
     if fmt == "zip_xport":
-        out = archive.unpack(spark, [path], f"{scratch}/{entry['name']}", xpt_first=True).collect()
-        return read_xport(spark, out[0].path, entry.get("columns"))
+        archive.unpack(spark, _paths(path), f"{scratch}/{entry['name']}", xpt_first=True).collect()
+        return read_xport(spark, f"{scratch}/{entry['name']}", entry.get("columns"))
     if fmt == "parquet":
         return spark.read.parquet(path)
     raise ValueError(f"unknown format {fmt!r}")
@@ -74,8 +79,9 @@ def expand_manifest(spark: SparkSession, manifest: Sequence[Mapping], scratch: s
         members = list(e["members"])
         prefix = e.get("prefix", "")
         try:
-            got = {r.member: r.path for r in
-                   archive.unpack(spark, [e["path"]], f"{scratch}/bundle", members=members).collect()}
+            got: dict[str, list[str]] = {}
+            for r in archive.unpack(spark, _paths(e["path"]), f"{scratch}/bundle", members=members).collect():
+                got.setdefault(r.member, []).append(r.path)
         except Exception as err:  # noqa: BLE001
             out.extend({"name": table_name(m, prefix), "format": "error", "error": _error_code(err)} for m in members)
             continue
@@ -92,11 +98,13 @@ def expand_manifest(spark: SparkSession, manifest: Sequence[Mapping], scratch: s
 def ingest(spark: SparkSession, manifest: Sequence[Mapping], store: str, scratch: str) -> DataFrame:
     """Load every source of the manifest into ``store`` (replace), each in
     its own try: one failing source does not stop the others. Returns the
-    report (table_name, status ok/missing/error, n_rows, n_cols, error).
+    report (table_name, status ok/missing/error, n_rows, n_cols, error). Rows are
+    counted by the write itself; nothing is scanned twice.
 
     Entry keys: ``name``, ``format`` (csv, xport, zip_xport, zip_csv,
-    parquet), ``path``, optional ``columns`` (schema-tolerant selection),
-    and for zip_csv ``members`` + ``prefix``."""
+    parquet), ``path`` (a file or a folder; for archives also a list), optional
+    ``columns`` (schema-tolerant selection), and for zip_csv ``members`` +
+    ``prefix`` (a member found in several archives is one table)."""
     def load(e: Mapping) -> tuple:
         name = e["name"]
         if e["format"] == "missing":
@@ -107,9 +115,9 @@ def ingest(spark: SparkSession, manifest: Sequence[Mapping], store: str, scratch
             df = _load(spark, e, scratch)
             if e.get("columns"):
                 df = select_existing(df, e["columns"])
-            write_replace(df, store, name)
-            stored = scan_table(spark, store, name)
-            return name, "ok", stored.count(), len(stored.columns), None
+            rows = Observation()
+            write_replace(df, store, name, observed=rows)
+            return name, "ok", rows.get["n"], len(df.columns), None
         except Exception as err:  # noqa: BLE001 - isolation is the point
             log.warning("ingest of %s failed: %s", name, err)
             return name, "error", None, None, _error_code(err)

@@ -27,24 +27,23 @@ def _part(spark, d):
 
 
 def _zip_csv_partitions(df: DataFrame, dest: str, member: str) -> None:
-    """Each partition -> one archive holding one CSV member with a header."""
+    """Each partition -> one archive holding one CSV member with a header,
+    written batch by batch."""
     columns = list(df.columns)
 
     def run(batches):
-        import io
         import zipfile
         from pyspark import TaskContext
         from cosecha.sources.xport import _fs
         pid = TaskContext.get().partitionId()
-        frames = list(batches)
-        pdf = pd.concat(frames) if frames else pd.DataFrame(columns=columns)
-        buf = io.StringIO()
-        pdf.to_csv(buf, index=False)
         target = f"{dest.rstrip('/')}/part-{pid:05d}.zip"
         fs, p = _fs(target)
         fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
-        with fs.open_output_stream(p) as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr(member, buf.getvalue().encode("utf-8"))
+        with fs.open_output_stream(p) as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z, \
+                z.open(member, "w", force_zip64=True) as out:
+            out.write(pd.DataFrame(columns=columns).to_csv(index=False).encode("utf-8"))
+            for pdf in batches:
+                out.write(pdf.to_csv(index=False, header=False).encode("utf-8"))
         yield pd.DataFrame({"archive": [target]})
     df.mapInPandas(run, "archive string").collect()
 
@@ -86,11 +85,12 @@ def q_src_zip_xport(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_sink_replace(spark: SparkSession, d: str) -> DataFrame:
+    """A table replaced by another one, clustered on three of its columns."""
     store = scratch_path(spark, "store")
-    nation = A.table(spark, d, "nation")
-    write_replace(A.table(spark, d, "region"), store, "nation")      # first content ...
-    write_replace(nation, store, "nation", cluster_by=["n_nationkey"])  # ... fully replaced
-    return scan_table(spark, store, "nation")
+    write_replace(A.table(spark, d, "customer"), store, "orders")  # first content ...
+    write_replace(A.table(spark, d, "orders"), store, "orders",    # ... fully replaced
+                  cluster_by=["o_orderkey", "o_custkey", "o_orderpriority"])
+    return scan_table(spark, store, "orders")
 
 
 def _whole_store(spark, d) -> str:
@@ -122,23 +122,23 @@ def q_ingest_report(spark: SparkSession, d: str) -> DataFrame:
         return f"{work}/csv/{t}"
 
     def xpt(t, **cols):
-        write_xport(A.table(spark, d, t).select(*[F.col(c).alias(n) for n, c in cols.items()]).coalesce(1),
+        write_xport(A.table(spark, d, t).select(*[F.col(c).alias(n) for n, c in cols.items()]).repartition(3),
                     f"{work}/xpt/{t}", member=t.upper()[:8])
         return f"{work}/xpt/{t}"
 
-    A.table(spark, d, "part").coalesce(1).write.option("header", True).csv(f"{work}/csv/part")
-    bundle = archive.zip_files(spark, list_files(f"{work}/csv/part", ".csv"), f"{work}/zip/csv",
-                               member_name=lambda f: "food.csv")
+    # several files or archives a source, as large ones have
+    A.table(spark, d, "part").repartition(3).write.option("header", True).csv(f"{work}/csv/part")
+    archive.zip_files(spark, list_files(f"{work}/csv/part", ".csv"), f"{work}/zip/csv", member_name=lambda f: "food.csv")
     customer = xpt("customer", C_KEY="c_custkey", C_BAL="c_acctbal", C_SEG="c_mktsegment")
     orders = xpt("orders", O_KEY="o_orderkey", O_PRICE="o_totalprice", O_STAT="o_orderstatus")
-    zipped = archive.zip_files(spark, list_files(orders), f"{work}/zip/xpt", member_name=lambda f: "LLCP.XPT ")
+    archive.zip_files(spark, list_files(orders), f"{work}/zip/xpt", member_name=lambda f: "LLCP.XPT ")
     manifest = [
         {"name": table_name("orders.csv", "ODEPA_"), "format": "csv", "path": csv("orders")},
         {"name": table_name("customer.csv"), "format": "csv", "path": csv("customer"),
          "columns": ["c_custkey", "c_name", "c_comment_x"]},
         {"name": "CUSTOMER_XPT", "format": "xport", "path": customer},
-        {"name": "ORDERS_XPT", "format": "zip_xport", "path": zipped[0], "columns": ["O_KEY", "O_STAT", "_STATE"]},
-        {"format": "zip_csv", "path": bundle[0], "members": ["food.csv", "nutrient.csv"], "prefix": "FDC_"},
+        {"name": "ORDERS_XPT", "format": "zip_xport", "path": f"{work}/zip/xpt", "columns": ["O_KEY", "O_STAT", "_STATE"]},
+        {"format": "zip_csv", "path": f"{work}/zip/csv", "members": ["food.csv", "nutrient.csv"], "prefix": "FDC_"},
         {"name": table_name("no_such_file.csv", "FDC_"), "format": "csv", "path": f"{work}/no_such_file.csv"},
     ]
     return ingest(spark, manifest, f"{work}/store", f"{work}/scratch")
@@ -151,7 +151,7 @@ ORACLE_SOURCES = {
                   "p_type AS TYPE, CAST(p_size AS DOUBLE) AS SIZE, p_retailprice AS RETAILPR FROM part"),
     "src_zip_xport": ("SELECT CAST(p_partkey AS DOUBLE) AS PARTKEY, p_name AS NAME, p_brand AS BRAND, "
                       "p_type AS TYPE, CAST(p_size AS DOUBLE) AS SIZE, p_retailprice AS RETAILPR FROM part"),
-    "sink_replace": "SELECT * FROM nation",
+    "sink_replace": "SELECT * FROM orders",
     "list_tables": " UNION ALL ".join(f"SELECT '{t}' AS table_name" for t in A.BASE_TABLES),
     "copy_all": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in A.BASE_TABLES),
     "ingest_report": (

@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cosecha.session import materialize
+
 
 def scan_table(spark: SparkSession, store: str, name: str, fmt: str = "parquet") -> DataFrame:
     """S5 ``SELECT * FROM t``: lazy scan; projections and filters applied later
@@ -25,20 +27,77 @@ def scan_sql(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
     return spark.sql(sql, **tables)
 
 
+#: sampled bounds of a column that several columns are clustered by: ranks 0 to 2^BITS - 1
+BITS = 6
+
+
+def _order_keys(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """A number per column that never falls when the column's value grows: the value
+    itself, or the six bytes of a text behind what all its texts begin with."""
+    texts = [c for c in columns if df.schema[c].dataType.typeName() == "string"]
+    ends = df.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(texts) for n, f in (("a", F.min), ("z", F.max))]) \
+        .first() if texts else None
+    keys = []
+    for c in columns:
+        kind = df.schema[c].dataType.typeName()
+        if c in texts:
+            a, z = (((ends[f"{n}_{texts.index(c)}"]) or "").encode() for n in "az")
+            same = next((i for i, (x, y) in enumerate(zip(a, z)) if x != y), min(len(a), len(z)))
+            rest = F.hex(F.substring(F.encode(F.col(c), "UTF-8"), same + 1, 6))
+            keys.append(F.conv(F.rpad(rest, 12, "0"), 16, 10).cast("double"))
+        elif kind in ("date", "timestamp"):
+            keys.append(F.unix_timestamp(F.col(c).cast("timestamp")).cast("double"))
+        else:
+            keys.append(F.col(c).cast("double"))
+    return keys
+
+
+def interleave(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> Column:
+    """The place of a row on a space-filling curve over several columns: each
+    column's rank among its quantile bounds, the bits of the ranks taken in turns.
+    Rows near in any column are near on the curve, so files cut along it have narrow
+    ranges of every column. NULL ranks lowest. Two aggregates over ``df``."""
+    keys = _order_keys(df, columns)
+    probes = [i / (1 << bits) for i in range(1, 1 << bits)]
+    bounds = df.agg(*[F.approx_percentile(k, probes, 1000).alias(f"b{i}") for i, k in enumerate(keys)]).first()
+
+    def rank_of(key, at):
+        below = F.size(F.filter(F.lit(at), lambda x: x < key)) if at else F.lit(0)
+        return F.when(key.isNull(), F.lit(0)).otherwise(below)
+
+    z = F.lit(0)
+    for i, k in enumerate(keys):
+        rank = rank_of(k, sorted(set(bounds[f"b{i}"] or [])))
+        for j in range(bits):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(rank, j).bitwiseAND(F.lit(1)), j * len(keys) + i))
+    return z
+
+
 def write_replace(df: DataFrame, store: str, name: str, fmt: str = "parquet",
                   cluster_by: Sequence[str] | None = None, partitions: int | None = None,
-                  options: Mapping[str, str] | None = None) -> str:
+                  options: Mapping[str, str] | None = None, observed: Observation | None = None) -> str:
     """S7 ``to_sql(if_exists='replace')``: overwrite the whole table.
 
-    ``cluster_by`` range-partitions and sorts on those columns before writing
-    so Parquet row-group min/max statistics serve later filters on them (the
-    Spark counterpart of the secondary indexes the source pipeline builds)."""
-    if cluster_by:
+    ``cluster_by`` range-partitions and sorts before writing so Parquet row-group
+    min/max statistics serve later filters (the Spark counterpart of the secondary
+    indexes the source pipeline builds): by one column itself, by several along a
+    space-filling curve over all of them (``interleave``), so that each prunes.
+    ``observed`` gets ``n``, the rows written, counted by the write itself in its
+    last stage (a repeated task is counted once)."""
+    order = list(cluster_by or [])
+    if len(order) > 1:
+        df = materialize(df, "to-cluster")  # scanned for bounds, then written
+        columns, df = df.columns, df.withColumn("__z", interleave(df, order))
+        order = ["__z", *order]
+    if order:
         # without a count the adaptive planner sizes the files by bytes
-        df = df.repartitionByRange(partitions, *cluster_by) if partitions else df.repartitionByRange(*cluster_by)
-        df = df.sortWithinPartitions(*cluster_by)
+        df = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+        df = df.sortWithinPartitions(*order)
+        df = df.select(*columns) if order[0] == "__z" else df
     elif partitions:
         df = df.repartition(partitions)
+    if observed is not None:
+        df = df.observe(observed, F.count(F.lit(1)).alias("n"))
     w = df.write.mode("overwrite").format(fmt).options(**(options or {}))
     if _is_path(store):
         target = f"{store.rstrip('/')}/{name}"

@@ -160,3 +160,54 @@ def test_unreadable_is_not_missing(spark):
     assert [r.status for r in table_inventory(spark, {"gone": load["gone"]}).collect()] == ["missing"]
     with pytest.raises(Exception):
         table_inventory(spark, load).collect()
+
+
+def test_every_clustered_column_prunes_row_groups(spark, sf001):
+    import pyarrow.parquet as pq
+    d = tempfile.mkdtemp(prefix="zc-")
+    orders = A.table(spark, sf001, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
+                                                    F.concat(F.lit("Clerk#"), F.lpad((F.col("o_custkey") * 7919 % 1000).cast("string"), 9, "0")).alias("clerk"))
+    by = ["o_custkey", "o_totalprice", "clerk"]
+    write_replace(orders, d, "o", cluster_by=by, partitions=64)
+    back = scan_table(spark, d, "o")
+    assert back.columns == orders.columns and back.exceptAll(orders).count() == 0 and back.count() == orders.count()
+    groups = [pq.ParquetFile(f).metadata.row_group(i) for f in list_files(f"{d}/o", ".parquet")
+              for i in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    assert len(groups) >= 48
+    for c in by:
+        at = orders.columns.index(c)
+        read = []
+        for v in [r[c] for r in orders.select(c).orderBy(F.xxhash64(c)).limit(20).collect()]:
+            read.append(sum(g.column(at).statistics.min <= v <= g.column(at).statistics.max for g in groups))
+        assert sum(read) / len(read) < 0.5 * len(groups), (c, read)
+
+
+def test_clustering_takes_nulls_dates_and_no_rows(spark):
+    d = tempfile.mkdtemp(prefix="zn-")
+    df = spark.sql("SELECT id, if(id % 3 = 0, null, concat('é', id)) AS t, date_add(date '2020-01-01', cast(id AS int)) AS day, "
+                   "cast(null AS double) AS none FROM range(200)")
+    for name, rows in (("all", df), ("empty", df.limit(0))):
+        write_replace(rows, d, name, cluster_by=["t", "day", "none"], partitions=4)
+        assert scan_table(spark, d, name).exceptAll(rows).count() == 0 and scan_table(spark, d, name).count() == rows.count()
+
+
+def test_a_task_for_every_member(spark):
+    import zipfile
+    d = tempfile.mkdtemp(prefix="zm-")
+    with zipfile.ZipFile(f"{d}/b.zip", "w") as z:
+        for i in range(20):
+            z.writestr(f"m{i}.csv", f"v\n{i}\n")
+    got = archive.unpack(spark, [f"{d}/b.zip"], f"{d}/u")
+    assert got.rdd.getNumPartitions() == 20
+    rows = got.collect()
+    assert sorted(r.member for r in rows) == sorted(f"m{i}.csv" for i in range(20))
+    assert {r.v for r in spark.read.option("header", True).csv([r.path for r in rows]).collect()} == {str(i) for i in range(20)}
+
+
+def test_rows_are_counted_by_the_write(spark, sf0001):
+    from pyspark.sql import Observation
+    d = tempfile.mkdtemp(prefix="ob-")
+    for by in (None, ["n_name"], ["n_name", "n_regionkey"]):
+        rows = Observation()
+        write_replace(A.table(spark, sf0001, "nation"), d, "n", cluster_by=by, observed=rows)
+        assert rows.get["n"] == 25
