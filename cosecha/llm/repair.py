@@ -53,67 +53,91 @@ _ARROW = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n_ids", pa.in
                                                          "rule_right", "rule_len")], ("symbols", pa.binary())])
 
 
-def _without_overlaps(seq: np.ndarray, where: np.ndarray) -> np.ndarray:
-    """``where`` (places of pairs, ascending) without every second pair of a run of
+def _overlapping(seq: np.ndarray, after: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """Which of the pairs at ``where`` (ascending) are every second one of a run of
     equal ids: in x x x x the pairs at 0 and 2 can be replaced, those at 1 and 3 can't."""
-    equal = seq[where] == seq[where + 1]
-    if not equal.any():
-        return where
-    at = where[equal]
-    begins = np.append(True, np.diff(at) != 1)
-    first = at[begins][np.cumsum(begins) - 1]
-    keep = np.ones(len(where), bool)
-    keep[np.flatnonzero(equal)[(at - first) % 2 == 1]] = False
-    return where[keep]
+    odd = np.zeros(len(where), bool)
+    equal = np.flatnonzero(seq[where] == seq[after[where]])
+    if len(equal):
+        at = where[equal]
+        begins = np.append(True, after[at[:-1]] != at[1:])
+        odd[equal] = (np.arange(len(at)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]) % 2 == 1
+    return odd
 
 
 def compress(ids: np.ndarray, ends: np.ndarray):
     """Re-Pair over one block, until no pair occurs twice (without overlap, inside
     documents). ``ends``: positions after each document's last id. Returns
-    (symbols, symbols per document, base, left, right, length)."""
-    seq = ids.astype(np.int64)
-    base = int(seq.max()) + 1 if len(seq) else 0
+    (symbols, symbols per document, base, left, right, length).
+
+    The symbols form a linked list. A pair that occurs once never occurs again (a
+    new pair holds a new symbol), so a round looks at the pairs that were repeated
+    and at those beside a replaced one only."""
+    n = len(ids)
+    seq = np.append(ids.astype(np.int64), -1)
+    base = int(seq.max()) + 1 if n else 0
     left, right, length = [], [], np.zeros(0, np.int64)
-    doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-    while len(seq) > 1:
-        a, b = seq[:-1], seq[1:]
-        # a first count by hash drops most pairs that occur once before the exact count
+    # neighbours inside the document; n stands for none
+    after, before = np.arange(1, n + 2), np.arange(-1, n)
+    stops = np.unique(ends[ends > 0]) if n else np.zeros(0, np.int64)
+    after[stops - 1] = n
+    before[np.append(0, stops[:-1])] = n
+    lives = np.ones(n + 1, bool)
+    lives[n] = False
+    none = n + 1  # a rank behind all others
+    rank = np.full(n + 1, none, np.int64)
+    look = np.flatnonzero(after[:n] < n)
+    while len(look) > 1:
+        a, b = seq[look], seq[after[look]]
+        # a count by hash drops most pairs that occur once before the exact count
         slot = ((a * 0x9E3779B1 + b * 0x85EBCA77) >> 11) & 0xFFFFF
-        maybe = np.flatnonzero((np.bincount(slot, minlength=1 << 20)[slot] >= 2) & (doc[:-1] == doc[1:]))
-        maybe = _without_overlaps(seq, maybe)
-        code = (a[maybe] << 32) | b[maybe]
+        twice = np.bincount(slot, minlength=1 << 20)[slot] >= 2 if len(look) > 1 << 15 else np.ones(len(look), bool)
+        look, a, b = look[twice], a[twice], b[twice]
+        odd = _overlapping(seq, after, look)
+        late, look, code = look[odd], look[~odd], ((a << 32) | b)[~odd]
         order = np.argsort(code, kind="stable")
         new = np.append(True, np.diff(code[order]) != 0) if len(code) else np.zeros(0, bool)
         count = np.diff(np.append(np.flatnonzero(new), len(code)))
-        if not len(count) or count.max() < 2:
+        often = np.flatnonzero(count >= 2)
+        if not len(often):
             break
         # the most frequent pair has rank 0; of two that overlap the better one goes first
-        none = len(count)
-        rank_of = np.full(none, none, np.int64)
-        twice = np.flatnonzero(count >= 2)
-        rank_of[twice[np.argsort(-count[twice], kind="stable")]] = np.arange(len(twice))
-        rank = np.full(len(seq) + 1, none, np.int64)  # rank[i + 1]: of the pair at i
-        rank[maybe[order] + 1] = np.repeat(rank_of, count)
-        at = np.flatnonzero((rank[1:-1] < rank[:-2]) & (rank[1:-1] < rank[2:]))
-        used = rank[at + 1]
-        n = np.bincount(used, minlength=none)
+        rank_of = np.full(len(count), none, np.int64)
+        rank_of[often[np.argsort(-count[often], kind="stable")]] = np.arange(len(often))
+        mine = np.empty(len(look), np.int64)
+        mine[order] = np.repeat(rank_of, count)
+        look, mine = look[mine < none], mine[mine < none]
+        rank[look] = mine
+        best = (mine < rank[before[look]]) & (mine < rank[after[look]])
+        at, used = look[best], mine[best]
+        rank[look] = none
         # a pair whose other places were taken waits; rank 0 has all of its places
-        number = np.cumsum(n >= 2) - 1
-        stays = n[used] >= 2
+        times = np.bincount(used, minlength=len(often))
+        number = np.cumsum(times >= 2) - 1
+        stays = times[used] >= 2
         at, new = at[stays], number[used[stays]]
         firsts = np.empty(int(number[-1]) + 1, np.int64)
         firsts[new] = at
-        l_sym, r_sym = seq[firsts], seq[firsts + 1]
+        l_sym, r_sym = seq[firsts], seq[after[firsts]]
         size = lambda s: np.where(s >= base, length[np.maximum(s - base, 0)] if len(length) else 1, 1)  # noqa: E731, B023
+        gone = after[at]
         seq[at] = base + len(left) + new
         left += l_sym.tolist()
         right += r_sym.tolist()
         length = np.append(length, size(l_sym) + size(r_sym))
-        stay = np.ones(len(seq), bool)
-        stay[at + 1] = False
-        seq, doc = seq[stay], doc[stay]
-    per_doc = np.bincount(doc, minlength=len(ends)) if len(ends) else np.zeros(0, np.int64)
-    return seq.astype("<u4"), per_doc, base, left, right, length.tolist()
+        lives[gone] = False
+        after[at] = after[gone]
+        before[after[at]] = at  # at n too, which is never read as a place
+        before[n] = n
+        again = np.zeros(n + 1, bool)
+        for places in (look, late, at, before[at]):
+            again[places] = True
+        again &= lives
+        look = np.flatnonzero(again)
+        look = look[after[look] < n]
+    symbols = np.flatnonzero(lives)
+    per_doc = np.diff(np.searchsorted(symbols, ends), prepend=0) if len(ends) else np.zeros(0, np.int64)
+    return seq[symbols].astype("<u4"), per_doc, base, left, right, length.tolist()
 
 
 def expansions(base: int, left, right, length) -> tuple[np.ndarray, np.ndarray]:
