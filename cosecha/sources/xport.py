@@ -15,7 +15,14 @@ numpy and emitted as Arrow record batches:
 A user schema (``.schema("SEQN double, RIDAGEYR double")``) or the
 ``columns`` option decode only those variables (case-insensitive names).
 
-Only the first member of a transport file is read.
+A file may hold several members. ``member_index`` finds them by a distributed scan
+of the files for member headers; ``read_xport(..., member="DEMO")`` reads that member
+of every file that has it. Without a name, a file with several members is refused.
+
+``read_xport(..., filters=[("RIDAGEYR", ">=", 18)])`` filters inside the scan: a
+batch's filtered variables are decoded first, and the others only of the records
+that pass. (Not by Spark's own push-down for Python sources: a reader keeps the
+filters of a DataFrame's first query, so a later query without any would lose rows.)
 
 ``write_xport`` writes a DataFrame as transport files (one per partition);
 it exists to build round-trip fixtures.
@@ -31,8 +38,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition
-from pyspark.sql.datasource import WriterCommitMessage
+from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition,
+                                    WriterCommitMessage)
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 CARD = 80
@@ -43,6 +50,7 @@ DSCRPTR_HEADER = b"HEADER RECORD*******DSCRPTR HEADER RECORD!!!!!!!0000000000000
 OBS_HEADER = b"HEADER RECORD*******OBS     HEADER RECORD!!!!!!!000000000000000000000000000000  "
 DEFAULT_RECORDS_PER_PARTITION = 1 << 20
 BATCH_RECORDS = 1 << 16
+CHUNK = 8 << 20
 
 
 @dataclass
@@ -94,24 +102,25 @@ def list_files(path: str, suffix: str = ".xpt") -> list[str]:
     raise FileNotFoundError(path)
 
 
-def read_layout(path: str) -> Layout:
+def read_layout(path: str, member_at: int = 3 * CARD, end: int | None = None) -> Layout:
+    """The member whose header stands at ``member_at`` and whose data end at ``end``
+    (the file's end)."""
     fs, p = _fs(path)
-    size = fs.get_file_info(p).size
+    size = min(x for x in (fs.get_file_info(p).size, end) if x is not None)
     with fs.open_input_file(p) as f:
-        head = f.read(min(size, 3 * CARD + 5 * CARD))
-        if not head.startswith(LIB_HEADER[:48]):
+        if not f.read(48).startswith(LIB_HEADER[:48]):
             raise ValueError(f"{path}: not a SAS transport (XPORT) file")
-        member = head[3 * CARD: 4 * CARD]
-        namestr_len = int(member[74:78])
-        nvars = int(head[7 * CARD + 54: 7 * CARD + 58])
-        f.seek(8 * CARD)
+        f.seek(member_at)
+        head = f.read(5 * CARD)
+        namestr_len = int(head[74:78])
+        nvars = int(head[4 * CARD + 54: 4 * CARD + 58])
         raw = f.read(nvars * namestr_len)
         variables = []
         for i in range(nvars):
             rec = raw[i * namestr_len: i * namestr_len + 140].ljust(140, b"\0")
             t = NAMESTR.unpack(rec)
             variables.append(Var(t[4].decode("latin-1").strip(), t[0] == 1, t[2], t[14]))
-        pos = 8 * CARD + nvars * namestr_len
+        pos = member_at + 5 * CARD + nvars * namestr_len
         pos = -(-pos // CARD) * CARD
         f.seek(pos)
         obs = f.read(CARD)
@@ -121,7 +130,7 @@ def read_layout(path: str) -> Layout:
         reclen = sum(v.length for v in variables)
         data_bytes = size - data_start
         n = data_bytes // reclen if reclen else 0
-        # trailing blank padding (the file is padded to whole 80-byte cards)
+        # trailing blank padding (the member is padded to whole 80-byte cards)
         if n:
             tail_from = max(data_start, size - CARD)
             f.seek(tail_from)
@@ -135,6 +144,54 @@ def read_layout(path: str) -> Layout:
     return Layout(variables, reclen, data_start, n)
 
 
+#: bytes of a file that one task of the member scan reads
+SCAN_BYTES = 256 << 20
+
+
+def member_index(spark, path: str, scan_bytes: int = SCAN_BYTES):
+    """file, member, member_at, member_end, n_records of every member of the files:
+    the files are scanned for member headers in ranges of ``scan_bytes``, so a large
+    file with many members takes many tasks."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    ranges = []
+    for f in list_files(path):
+        fs, p = _fs(f)
+        size = fs.get_file_info(p).size
+        ranges += [(f, a, min(a + scan_bytes, size), size) for a in range(0, size, scan_bytes)]
+    src = spark.createDataFrame(ranges, "file string, a long, b long, size long").repartition(max(1, len(ranges)))
+
+    def find(batches):
+        import pandas as pd
+        for batch in batches:
+            out = []
+            for f, a, b, size in batch.itertuples(index=False):
+                fs, p = _fs(f)
+                with fs.open_input_file(p) as fh:
+                    for at in range(a, b, CHUNK):
+                        fh.seek(at)
+                        # a header may begin in the chunk's last card; its name is two cards on
+                        buf = fh.read(min(CHUNK, b - at) + 3 * CARD)
+                        i = buf.find(MEMBER_HEADER[:48])
+                        while 0 <= i < min(CHUNK, b - at):
+                            if (at + i) % CARD == 0:
+                                name = buf[i + 2 * CARD + 8: i + 2 * CARD + 16].decode("latin-1").strip()
+                                out.append((f, name, at + i, size))
+                            i = buf.find(MEMBER_HEADER[:48], i + 1)
+            yield pd.DataFrame(out, columns=["file", "member", "member_at", "size"])
+
+    def count(batches):
+        for batch in batches:
+            batch["n_records"] = [read_layout(f, a, e).n_records for f, a, e in
+                                  zip(batch["file"], batch["member_at"], batch["member_end"])]
+            yield batch
+
+    found = src.mapInPandas(find, "file string, member string, member_at long, size long")
+    nxt = F.lead("member_at").over(Window.partitionBy("file").orderBy("member_at"))
+    found = found.select("file", "member", "member_at", F.coalesce(nxt, "size").alias("member_end"))
+    return found.mapInPandas(count, "file string, member string, member_at long, member_end long, n_records long")
+
+
 def schema_of(layout: Layout) -> StructType:
     return StructType([StructField(v.name, DoubleType() if v.numeric else StringType(), True)
                        for v in layout.variables])
@@ -201,23 +258,61 @@ def _decode_chars(cell: np.ndarray, length: int, encoding: str) -> pa.Array:
     return pa.array([b.decode(encoding, errors="replace") for b in s.tolist()], type=pa.string())
 
 
-def decode_records(buf: bytes, layout: Layout, wanted: list, encoding: str) -> pa.RecordBatch:
+def _decode_cell(cell: np.ndarray, v: Var, encoding: str) -> pa.Array:
+    if v.numeric:
+        vals, miss = ibm_to_double(cell)
+        return pa.array(vals, type=pa.float64(), mask=miss)
+    return _decode_chars(np.ascontiguousarray(cell), v.length, encoding)
+
+
+#: comparisons of a filter (variable, comparison, value); rows with NULL pass none but
+#: ``is null``
+COMPARISONS = ("=", "<", "<=", ">", ">=", "in", "is null", "is not null")
+
+
+def _passes(comparison: str, value, column: pa.Array) -> pa.Array:
+    """Whether each value passes a filter."""
+    import pyarrow.compute as pc
+    if comparison == "is null":
+        return pc.is_null(column)
+    if comparison == "is not null":
+        return pc.is_valid(column)
+    if comparison == "in":
+        return pc.fill_null(pc.is_in(column, pa.array([x for x in value if x is not None], column.type)), False)
+    by = {"=": pc.equal, ">": pc.greater, ">=": pc.greater_equal, "<": pc.less, "<=": pc.less_equal}[comparison]
+    return pc.fill_null(by(column, pa.scalar(value, column.type)), False)
+
+
+def decode_records(buf: bytes, layout: Layout, wanted: list, encoding: str, filters: tuple = ()) -> pa.RecordBatch:
+    """The wanted variables of the records that pass the filters."""
+    import pyarrow.compute as pc
     reclen = layout.record_length
     n = len(buf) // reclen
     rec = np.frombuffer(buf, dtype=np.uint8, count=n * reclen).reshape(n, reclen)
-    arrays, names = [], []
-    for v, field in wanted:
-        names.append(field.name)
+    by_name = {v.name.lower(): v for v in layout.variables}
+    kinds = {field.name.lower(): pa.float64() if isinstance(field.dataType, DoubleType) else pa.string()
+             for _, field in wanted}
+    done: dict[str, pa.Array] = {}
+
+    def column(name: str) -> pa.Array:
+        v = by_name.get(name)
         if v is None:  # another file of the folder has this variable
-            arrays.append(pa.nulls(n, pa.float64() if isinstance(field.dataType, DoubleType) else pa.string()))
-            continue
-        cell = rec[:, v.position: v.position + v.length]
-        if v.numeric:
-            vals, miss = ibm_to_double(cell)
-            arrays.append(pa.array(vals, type=pa.float64(), mask=miss))
+            return pa.nulls(len(rec), kinds[name])
+        return _decode_cell(rec[:, v.position: v.position + v.length], v, encoding)
+
+    for name, comparison, value in filters:
+        name = name.lower()
+        if name not in by_name:  # all NULL in this file
+            keep = pa.repeat(comparison == "is null", len(rec))
         else:
-            arrays.append(_decode_chars(np.ascontiguousarray(cell), v.length, encoding))
-    return pa.RecordBatch.from_arrays(arrays, names=names)
+            if name not in done:
+                done[name] = column(name)
+            keep = _passes(comparison, value, done[name])
+        if not pc.all(keep).as_py():
+            done = {k: c.filter(keep) for k, c in done.items()}
+            rec = rec[keep.to_numpy(zero_copy_only=False)]
+    names = [field.name for _, field in wanted]
+    return pa.RecordBatch.from_arrays([done[x.lower()] if x.lower() in done else column(x.lower()) for x in names], names=names)
 
 
 def _one_member(path: str, buf: bytes, offset: int) -> None:
@@ -226,7 +321,7 @@ def _one_member(path: str, buf: bytes, offset: int) -> None:
     i = buf.find(MEMBER_HEADER[:48])
     while i >= 0:
         if (offset + i) % CARD == 0:
-            raise ValueError(f"{path}: a transport file with several members; split it first")
+            raise ValueError(f"{path}: a transport file with several members; name one")
         i = buf.find(MEMBER_HEADER[:48], i + 1)
 
 
@@ -237,13 +332,23 @@ class XportPartition(InputPartition):
     path: str
     start: int
     count: int
+    member_at: int = 3 * CARD
+    member_end: int | None = None
+
+
+def _places(options) -> list[tuple]:
+    """(file, member header, end) of what is read: the places a named member was
+    found at, else the whole of every file."""
+    if "places" in options:
+        return [tuple(x) for x in json.loads(options["places"])]
+    return [(f, 3 * CARD, None) for f in list_files(options["path"])]
 
 
-def _layouts(files: list[str]) -> list:
-    """(file, layout) of every file; headers are read side by side."""
+def _layouts(places: list[tuple]) -> list:
+    """(place, layout) of every place; headers are read side by side."""
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(16) as pool:
-        return list(zip(files, pool.map(read_layout, files)))
+        return list(zip(places, pool.map(lambda x: read_layout(*x), places)))
 
 
 class XportReader(DataSourceReader):
@@ -251,22 +356,21 @@ class XportReader(DataSourceReader):
         self.options = options
         self.schema = schema
 
-    def _files(self):
-        return list_files(self.options["path"])
+        self.filters = [tuple(f) for f in json.loads(options.get("filters", "[]"))]
 
     def partitions(self):
         per = int(self.options.get("recordsPerPartition", DEFAULT_RECORDS_PER_PARTITION))
         parts = []
-        for f, layout in _layouts(self._files()):
+        for (f, member_at, end), layout in _layouts(_places(self.options)):
             n = layout.n_records
             for s in range(0, n, per):
-                parts.append(XportPartition(f, s, min(per, n - s)))
+                parts.append(XportPartition(f, s, min(per, n - s), member_at, end))
         return parts or [XportPartition("", 0, 0)]
 
     def read(self, partition: XportPartition):
         if not partition.count:
             return
-        layout = read_layout(partition.path)
+        layout = read_layout(partition.path, partition.member_at, partition.member_end)
         by_name = {v.name.lower(): v for v in layout.variables}
         wanted = [(by_name.get(f.name.lower()), f) for f in self.schema.fields]
         enc = self.options.get("encoding", "utf-8")
@@ -279,9 +383,10 @@ class XportReader(DataSourceReader):
             while left:
                 k = min(BATCH_RECORDS, left)
                 buf = fh.read(k * layout.record_length)
-                _one_member(partition.path, before + buf, at - CARD)
+                if partition.member_end is None:
+                    _one_member(partition.path, before + buf, at - CARD)
                 before, at = (before + buf)[-CARD:], at + len(buf)
-                yield decode_records(buf, layout, wanted, enc)
+                yield decode_records(buf, layout, wanted, enc, self.filters)
                 left -= k
 
 
@@ -348,12 +453,12 @@ class XportDataSource(DataSource):
         return "xport"
 
     def schema(self):
-        files = list_files(self.options["path"])
-        if not files:
+        places = _places(self.options)
+        if not places:
             raise FileNotFoundError(self.options["path"])
         # the variables of all files, in the order in which they first appear
         fields: dict = {}
-        for path, layout in _layouts(files):
+        for (path, *_), layout in _layouts(places):
             for f in schema_of(layout).fields:
                 if fields.setdefault(f.name.lower(), f).dataType != f.dataType:
                     raise ValueError(f"{path}: {f.name} is numeric in one file and character in another")
@@ -444,11 +549,25 @@ def write_xport(df, path: str, member: str = "DATA") -> str:
     return path
 
 
-def read_xport(spark, path: str, columns=None, **options):
+def read_xport(spark, path: str, columns=None, member: str | None = None, filters=(), **options):
+    """The records of transport files; ``member`` names the one to read of files
+    that hold several (an error if none has it); ``filters``: (variable, one of
+    COMPARISONS, value), of which a record must pass all."""
+    if bad := [f for f in filters if f[1] not in COMPARISONS]:
+        raise ValueError(f"unknown comparison: {bad}")
     register(spark)
     r = spark.read.format("xport")
     if columns:
         r = r.option("columns", ",".join(columns))
+    if member is not None:
+        # names and places only: a row per member
+        found = [(m.file, m.member_at, m.member_end) for m in member_index(spark, path).collect()
+                 if m.member.lower() == member.lower()]
+        if not found:
+            raise FileNotFoundError(f"{path}: no member {member}")
+        r = r.option("places", json.dumps(sorted(found)))
+    if filters:
+        r = r.option("filters", json.dumps([(f[0], f[1], f[2] if len(f) > 2 else None) for f in filters]))
     for k, v in options.items():
         r = r.option(k, v)
     return r.load(path)

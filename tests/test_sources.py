@@ -211,3 +211,64 @@ def test_rows_are_counted_by_the_write(spark, sf0001):
         rows = Observation()
         write_replace(A.table(spark, sf0001, "nation"), d, "n", cluster_by=by, observed=rows)
         assert rows.get["n"] == 25
+
+
+def _members(path, *files):
+    """One transport file of the members of several."""
+    data = open(files[0], "rb").read()
+    for f in files[1:]:
+        data += open(f, "rb").read()[240:]
+    with open(path, "wb") as out:
+        out.write(data)
+
+
+def test_xport_members_are_indexed_and_read_by_name(spark):
+    d = tempfile.mkdtemp(prefix="xn-")
+    one = spark.range(500).selectExpr("cast(id AS double) AS K", "concat('r', id) AS T").coalesce(1)
+    two = spark.range(70).selectExpr("cast(id * 2 AS double) AS J").coalesce(1)
+    write_xport(one, f"{d}/a", member="DEMO")
+    write_xport(two, f"{d}/b", member="LAB")
+    a, b = list_files(f"{d}/a")[0], list_files(f"{d}/b")[0]
+    _members(f"{d}/both.xpt", a, b)
+    _members(f"{d}/three.xpt", b, a, b)
+    from cosecha.sources.xport import member_index
+    for size in (160, 4096, 1 << 20):  # headers found whatever range they begin in
+        found = sorted((r.file.rsplit("/", 1)[-1], r.member, r.n_records) for r in
+                       member_index(spark, f"{d}/*.xpt", scan_bytes=size).collect())
+        assert found == [("both.xpt", "DEMO", 500), ("both.xpt", "LAB", 70), ("three.xpt", "DEMO", 500),
+                         ("three.xpt", "LAB", 70), ("three.xpt", "LAB", 70)]
+    demo = read_xport(spark, f"{d}/*.xpt", member="demo", recordsPerPartition=64)
+    assert sorted(tuple(r) for r in demo.collect()) == sorted(tuple(r) for r in one.union(one).collect())
+    assert sorted(r.J for r in read_xport(spark, f"{d}/three.xpt", member="LAB").collect()) == sorted([2.0 * i for i in range(70)] * 2)
+    import pytest
+    with pytest.raises(FileNotFoundError):
+        read_xport(spark, f"{d}/both.xpt", member="NONE")
+
+
+def test_xport_filters_decode_fewer_cells(spark, monkeypatch):
+    import pytest
+
+    from cosecha.sources import xport as X
+    d = tempfile.mkdtemp(prefix="xp-")
+    df = spark.range(1000).selectExpr("cast(id AS double) AS K", "if(id % 7 = 0, null, cast(id % 10 AS double)) AS V",
+                                      "concat('n', id % 3) AS T", "cast(id * 3 AS double) AS W").coalesce(1)
+    write_xport(df, d)
+    cases = {"V = 3": [("V", "=", 3)], "V IN (1, 2)": [("v", "in", [1, 2, None])], "V IS NULL": [("V", "is null")],
+             "V > 7.5 AND T = 'n1'": [("V", ">", 7.5), ("T", "=", "n1")], "K >= 990 AND V IS NOT NULL": [("K", ">=", 990),
+             ("V", "is not null")], "T IN ('n0', 'zz') AND K <= 20": [("T", "in", ["n0", "zz"]), ("K", "<=", 20)], "V = 99": [("V", "=", 99)]}
+    for cond, filters in cases.items():
+        got = read_xport(spark, d, filters=filters)
+        assert sorted(map(str, got.collect())) == sorted(map(str, df.where(cond).collect())), cond
+    # a filter on a variable that isn't read
+    assert read_xport(spark, d, columns=["W"], filters=[("T", "=", "n2")]).count() == df.where("T = 'n2'").count()
+    assert read_xport(spark, d, filters=[("GONE", "=", "x")]).count() == 0  # in no file
+    assert read_xport(spark, d, filters=[("GONE", "is null")]).count() == 1000
+    cells = []
+    decode = X.ibm_to_double
+    monkeypatch.setattr(X, "ibm_to_double", lambda raw: cells.append(len(raw)) or decode(raw))
+    import json
+    reader = X.XportReader({"path": d, "filters": json.dumps([("V", "=", 3.0), ("T", "in", ["n0", "n1"])])}, df.schema)
+    rows = sum(b.num_rows for p in reader.partitions() for b in reader.read(p))
+    assert rows == df.where("V = 3 AND T IN ('n0', 'n1')").count() and cells == [1000, rows, rows]
+    with pytest.raises(ValueError):
+        read_xport(spark, d, filters=[("V", "like", "x")])
