@@ -113,7 +113,7 @@ def _best(rows: pd.DataFrame, queries: pd.DataFrame, k: int, projections: int, c
     out = []
     for i, cand in enumerate(found):
         cand = cand[uids[cand] != queries["uid"].iloc[i]]
-        # exact scores, components added in order as the definition has them
+        # exact scores: a product first, then sums without rounding for what may be among the best
         score = x[cand] @ q[i]
         if len(cand) > 4 * k:
             keep = np.flatnonzero(score >= np.partition(score, len(score) - 2 * k)[len(score) - 2 * k])

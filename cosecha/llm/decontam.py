@@ -2,16 +2,18 @@
 index.
 
 1. ``build_index``: the training texts are cut into segments of whole
-   documents; each segment stores, for every test term, the list of its
-   positions (a document-partitioned index: a phrase never leaves its
-   segment, so nothing is shuffled and a hot word or source stays spread).
+   documents; each segment stores, for every token, the list of its positions (a
+   document-partitioned index: a phrase never leaves its segment, so nothing is
+   shuffled and a hot word or source stays spread). It knows nothing of the tests
+   and is written once, whatever is asked of it.
 2. ``search``: per segment the lists of a window are intersected from its
    rarest term on, each list moved by the term's place in the window. What is
    left are exact phrases; with ``slop`` also the places where every term is
    within that many words of its own (proximity matches).
 
-The test terms go to the tasks in blocks of at most about ``block_words`` words
-of the benchmark, whatever its size: one pass over the texts a block.
+The test terms go to the tasks in blocks of about ``block_words`` words of the
+benchmark, whatever its size (a longer item is cut into overlapping pieces): one
+pass over the stored index a block, none over the texts.
 
 Defined cases: a null or empty text has no words and is clean; an item without
 words never occurs; an item of fewer than ``window`` words is one window; equal
@@ -39,6 +41,8 @@ WINDOW = 13
 SEGMENT_WORDS = 500_000
 #: benchmark words whose terms and windows one pass holds in every task
 BLOCK_WORDS = 1_000_000
+#: an item is searched in pieces of at most so many windows
+PIECE_WORDS = 50_000
 #: free positions between the documents of a segment
 _GAP = 1 << 10
 
@@ -54,44 +58,47 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
-def build_index(docs: DataFrame, terms: set[bytes], id_col: str = "doc_id", text_col: str = "text",
+class _Numbers(dict):
+    """token -> its number in order of appearance."""
+
+    def __missing__(self, token: bytes) -> int:
+        self[token] = n = len(self)
+        return n
+
+
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 segment_words: int = SEGMENT_WORDS) -> DataFrame:
-    """The stored index over all documents, for the given test terms."""
+    """The stored index over all tokens of all documents."""
     prepare(docs.sparkSession)
-    number = {t: i for i, t in enumerate(sorted(terms))}
-    names = sorted(terms)
     schema = pa.schema([("segment", pa.string()), ("doc_id", pa.list_(pa.int64())), ("text_key", pa.list_(pa.int64())),
                         ("n_words", pa.list_(pa.int64())), ("terms", pa.list_(pa.binary())),
                         ("list_len", pa.list_(pa.int64())), ("positions", pa.binary())])
 
     def index(it):
         serial, part = count(), TaskContext.get().partitionId()
-        ids, keys, sizes, found, where = [], [], [], [], []
+        ids, keys, sizes, found, number = [], [], [], [], _Numbers()
         at = 0
 
         def flush():
-            t = np.concatenate(found) if found else np.zeros(0, np.int32)
-            p = np.concatenate(where) if where else np.zeros(0, np.int64)
+            base = np.cumsum([0, *(n + _GAP for n in sizes[:-1])])
+            t = np.concatenate(found)
+            p = np.arange(len(t)) + np.repeat(base - (np.cumsum(sizes) - sizes), sizes)
             order = np.argsort(t, kind="stable")
-            u, n = np.unique(t, return_counts=True)
-            row = [f"{part}-{next(serial)}", ids, keys, sizes, [names[i] for i in u], n, p[order].astype("<i8").tobytes()]
+            row = [f"{part}-{next(serial)}", ids, keys, sizes, list(number), np.bincount(t, minlength=len(number)),
+                   p[order].astype("<i8").tobytes()]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
-        get = number.get
         for b in it:
             for doc, text, key in zip(*(c.to_pylist() for c in b.columns)):
                 ws = words(text)
-                t = np.fromiter((get(w, -1) for w in ws), np.int32, len(ws))
-                p = np.flatnonzero(t >= 0)
-                found.append(t[p])
-                where.append(p + at)
+                found.append(np.fromiter(map(number.__getitem__, ws), np.int32, len(ws)))
                 ids.append(doc)
                 keys.append(key)
                 sizes.append(len(ws))
                 at += len(ws) + _GAP
                 if at >= segment_words:
                     yield flush()
-                    ids, keys, sizes, found, where = [], [], [], [], []
+                    ids, keys, sizes, found, number = [], [], [], [], _Numbers()
                     at = 0
         if ids:
             yield flush()
@@ -101,10 +108,11 @@ def build_index(docs: DataFrame, terms: set[bytes], id_col: str = "doc_id", text
     return store(d.mapInArrow(index, INDEX), "postings", compression="zstd")
 
 
-def intersect(lists: dict[int, np.ndarray], terms: list[int], slop: int = 0) -> np.ndarray:
-    """Starts of a phrase: the rarest list first, every further one (moved by
-    its place in the phrase) thins it out. With ``slop`` each term may be that
-    many words off its place."""
+def intersect(lists: dict[int, np.ndarray], terms: list[int], slop: int = 0) -> tuple[np.ndarray, int]:
+    """Starts of a phrase, and the place of its rarest term: the rarest list first,
+    every further one (moved by its place in the phrase) thins it out. With ``slop``
+    each other term may be that many words off its place, so a start may lie before
+    its document's first word, but the rarest term never does."""
     order = sorted(range(len(terms)), key=lambda i: len(lists[terms[i]]))
     first = order[0]
     cur = lists[terms[first]] - first
@@ -115,7 +123,7 @@ def intersect(lists: dict[int, np.ndarray], terms: list[int], slop: int = 0) ->
         want = cur + i
         j = np.searchsorted(have, want - slop)
         cur = cur[(j < len(have)) & (have[np.minimum(j, len(have) - 1)] <= want + slop)]
-    return cur
+    return cur, first
 
 
 def search(index: DataFrame, items: list[tuple[int | None, str]], window: int = WINDOW, slop: int = 0) -> DataFrame:
@@ -124,15 +132,15 @@ def search(index: DataFrame, items: list[tuple[int | None, str]], window: int =
     ``near`` the proximity matches (item_id, start) that are no exact ones."""
     if window + slop >= _GAP:
         raise ValueError(f"window + slop must be under {_GAP}")
-    phrases: dict[tuple, list] = {}
+    phrases: dict[tuple, dict] = {}
     for item, text in items:
         ws = words(text)
         for w in {tuple(ws[a:a + window]) for a in range(max(1, len(ws) - window + 1))} if ws else ():
-            phrases.setdefault(w, []).append(item)
+            phrases.setdefault(w, {})[item] = None
     vocabulary = sorted({t for w in phrases for t in w})
     number = {t: i for i, t in enumerate(vocabulary)}
     shapes = [[number[t] for t in w] for w in phrases]
-    owners = list(phrases.values())
+    owners = list(map(list, phrases.values()))
     matrix = np.array([s + [s[0]] * (window - len(s)) for s in shapes], np.int64).reshape(len(shapes), window)
     span = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())]))
     near_t = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64())]))
@@ -152,10 +160,10 @@ def search(index: DataFrame, items: list[tuple[int | None, str]], window: int =
                 near = [[] for _ in row["doc_id"]]
                 for k in np.flatnonzero(present[matrix].all(axis=1)) if len(shapes) else ():
                     shape = shapes[k]
-                    exact = intersect(lists, shape)
-                    loose = np.setdiff1d(intersect(lists, shape, slop), exact) if slop else exact[:0]
+                    exact, rarest = intersect(lists, shape)
+                    loose = np.setdiff1d(intersect(lists, shape, slop)[0], exact) if slop else exact[:0]
                     for starts, out in ((exact, spans), (loose, near)):
-                        for d, p in zip((np.searchsorted(base, starts, "right") - 1).tolist(), starts.tolist()):
+                        for d, p in zip((np.searchsorted(base, starts + rarest, "right") - 1).tolist(), starts.tolist()):
                             p -= int(base[d])
                             out[d] += [{"item_id": o, "start": p, "stop": p + len(shape)} if out is spans else
                                        {"item_id": o, "start": p} for o in owners[k]]
@@ -177,19 +185,31 @@ def covered(spans) -> F.Column:
                                 .alias("n"), F.greatest(acc["stop"], s["stop"]).alias("stop")), lambda acc: acc["n"])
 
 
+def pieces(benchmark: DataFrame, window: int, piece_words: int) -> DataFrame:
+    """item_id, text, n: the words of every item that has some, space-joined, in
+    pieces of at most ``piece_words`` windows that overlap by a window less a word."""
+    low = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    ws = F.regexp_extract_all(low, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), ws.alias("ws")).where(F.size("ws") > 0)
+    cut = items.withColumn("a", F.explode(F.sequence(F.lit(0), F.greatest(F.size("ws") - window, F.lit(0)), F.lit(piece_words))))
+    cut = cut.select("item_id", F.slice("ws", F.col("a") + 1, F.lit(piece_words + window - 1)).alias("ws"))
+    return cut.select("item_id", F.array_join("ws", " ").alias("text"), F.size("ws").alias("n"))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0,
                   block_words: int = BLOCK_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document: doc_id, text_key (hash of the text), n_words,
     n_hit, items (ids with occurring windows, sorted as strings), spans, near,
     contaminated (a twentieth of its words or more are hit)."""
     prepare(docs.sparkSession)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    size = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
+    items = store(pieces(benchmark, window, min(PIECE_WORDS, block_words)), "items")
+    size = items.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, math.ceil(size / block_words))
+    index = build_index(docs, id_col, text_col)
     found = None
     for k in range(blocks):
-        block = [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()]
-        index = build_index(docs, {t for _, text in block for t in words(text)}, id_col, text_col)
+        # to the driver: a block's words at a time
+        block = [(r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()]
         hits = search(index, block, window, slop)
         found = hits if found is None else found.union(hits)
     if blocks > 1:

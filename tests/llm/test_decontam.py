@@ -62,3 +62,27 @@ def test_drop_and_empty_tables(spark, documents, sample):
     assert decontaminate(documents([]), b).count() == 0
     none = decontaminate(documents(rows), b.limit(0)).collect()
     assert len(none) == len(rows) and not any(r.contaminated for r in none)
+
+
+def test_one_index_whatever_the_blocks_and_items_cut_in_pieces(spark, documents, sample, monkeypatch):
+    import cosecha.llm.decontam as D
+    long = " ".join(f"q{i}" for i in range(400))
+    rows = sample[:20] + [(700, "x " + " ".join(f"q{i}" for i in range(95, 115)) + " y"), (701, long), (702, "a.b.c.d " * 30),
+                          (703, " ".join(f"q{i}" for i in range(388, 400)) + " q0")]
+    bench = [(1, long.upper()), (2, ".".join("abcd") * 20), (3, "a-b c_d " * 7)]
+    b = spark.createDataFrame(bench, "item_id long, text string")
+    written = []
+    keep = D.store
+    monkeypatch.setattr(D, "store", lambda df, name, **o: written.append(name) or keep(df, name, **o))
+    monkeypatch.setattr(D, "PIECE_WORDS", 37)
+    out = digest(decontaminate(documents(rows), b, block_words=50))
+    assert sorted((tuple(r) for r in out.collect()), key=str) == brute(rows, bench)
+    assert written == ["items", "postings"]
+    assert max(r.n for r in D.pieces(b, 13, 37).collect()) <= 49
+
+
+def test_a_proximity_match_at_the_start_of_a_document(spark, documents):
+    b = spark.createDataFrame([(7, "alpha beta gamma delta")], "item_id long, text string")
+    docs = documents([(1, "zeta eta"), (2, "alpha beta delta gamma"), (3, "no delta delta delta delta")])
+    out = {r.doc_id: r for r in decontaminate(docs, b, slop=2).collect()}
+    assert [x.item_id for x in out[2].near] and not out[1].near and not out[3].near
