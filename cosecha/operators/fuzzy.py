@@ -142,11 +142,11 @@ def block_ratio(a: str, b: str, popular: set | None = None) -> float:
 def difflib_ratio(right: pd.Series, left: pd.Series, cutoff: pd.Series) -> pd.Series:
     """difflib's ratio (``left`` is its second sequence) or NULL when below the
     cutoff."""
-    popular: dict[str, set] = {}
+    popular: dict[str, set] = {}  # of the long left texts of this batch
     out = []
     for a, b, c in zip(right.tolist(), left.tolist(), cutoff.tolist()):
-        if b not in popular:
-            popular = {b: _popular(b)} if len(popular) > 10_000 else {**popular, b: _popular(b)} if len(b) >= 200 else popular
+        if len(b) >= 200 and b not in popular:
+            popular[b] = _popular(b)
         r = block_ratio(a, b, popular.get(b, set()))
         out.append(r if r >= c else None)
     return pd.Series(out, dtype="float64")
