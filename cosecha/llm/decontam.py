@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 from cosecha.llm.common import null_safe_anti, prepare, store
 
 WINDOW = 13
-#: words of one segment of the index
+#: words and gaps of one segment of the index; a position has 32 bits, so a document may
+#: have up to 2^31 words
 SEGMENT_WORDS = 500_000
 #: benchmark words whose terms and windows one pass holds in every task
 BLOCK_WORDS = 1_000_000
@@ -85,7 +86,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             p = np.arange(len(t)) + np.repeat(base - (np.cumsum(sizes) - sizes), sizes)
             order = np.argsort(t, kind="stable")
             row = [f"{part}-{next(serial)}", ids, keys, sizes, list(number), np.bincount(t, minlength=len(number)),
-                   p[order].astype("<i8").tobytes()]
+                   p[order].astype("<i4").tobytes()]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         for b in it:
@@ -148,11 +149,18 @@ def search(index: DataFrame, items: list[tuple[int | None, str]], window: int =
                         ("n_words", pa.int64()), ("spans", span), ("near", near_t)])
 
     def run(it):
+        import pyarrow.compute as pc
+        known = pa.array(vocabulary, pa.binary())
         for b in it:
-            for row in b.to_pylist():
-                ends = np.cumsum([0, *row["list_len"]])
-                flat = np.frombuffer(row["positions"], "<i8")
-                lists = {number[t]: flat[s:e] for t, s, e in zip(row["terms"], ends, ends[1:]) if t in number}
+            for r in range(b.num_rows):
+                row = {c: b.column(c)[r].as_py() for c in ("segment", "doc_id", "text_key", "n_words")}
+                # a segment has many terms, the tests few: matched and cut in Arrow and numpy
+                mine = pc.fill_null(pc.index_in(b.column("terms").slice(r, 1).flatten(), value_set=known), -1).to_numpy()
+                ends = np.cumsum(b.column("list_len").slice(r, 1).flatten().to_numpy())
+                flat = np.frombuffer(b.column("positions")[r].as_buffer(), "<i4")
+                at = np.flatnonzero(mine >= 0)
+                starts = np.where(at > 0, ends[at - 1], 0)
+                lists = {k: flat[s:e].astype(np.int64) for k, s, e in zip(mine[at].tolist(), starts.tolist(), ends[at].tolist())}
                 present = np.zeros(len(vocabulary) + 1, bool)
                 present[list(lists)] = True
                 base = np.cumsum([0, *(n + _GAP for n in row["n_words"][:-1])])
