@@ -1,18 +1,21 @@
 """Grouped aggregates, first-non-null and the long-to-wide pivot (A1-A3,
 A5-A8).
 
-Everything here is one ``groupBy().agg()`` so Spark runs a partial (map-side)
-aggregate before the shuffle: a key that holds a third of all rows still
-sends only one partial row per map task."""
+Everything here is ``groupBy().agg()`` (two of them for first values by a composite
+order), so Spark runs a partial (map-side) aggregate before the shuffle: a key that
+holds a third of all rows still sends only one partial row per map task."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cosecha._util import col
+from cosecha.session import materialize
 
 
 def order_key(order: Sequence) -> Column:
@@ -51,15 +54,49 @@ def group_stats(df: DataFrame, keys: Sequence[str], measures: Mapping[str, tuple
     """A1 + A2: ``groupby(keys).agg({col: [stats]}, other: 'first')``.
 
     ``measures`` maps output name -> (stat, input column); ``firsts`` maps output
-    name -> input column, taken by ``first_non_null`` under ``order``."""
+    name -> input column, taken by ``first_non_null`` under ``order``.
+
+    A composite order would make ``min_by`` keep a struct and Spark sort all rows by
+    the keys. So the aggregate finds the least first order column only (hash based);
+    the rows that have it, few a group, then decide by the whole order."""
     if dropna:
         df = drop_null_keys(df, keys)
     aggs = [_STATS[stat](F.col(c)).alias(name) for name, (stat, c) in measures.items()]
-    for name, c in (firsts or {}).items():
+    firsts = dict(firsts or {})
+    if firsts and keys and len(order) > 1:
+        return _stats_then_firsts(df, keys, aggs, list(measures), firsts, order)
+    for name, c in firsts.items():
         aggs.append(first_non_null(c, order).alias(name))
     return df.groupBy(*keys).agg(*aggs)
 
 
+def _stats_then_firsts(df: DataFrame, keys: Sequence[str], aggs: list, measured: list,
+                       firsts: Mapping[str, str], order: Sequence) -> DataFrame:
+    """``group_stats`` by two scans. Inside a composite order NULL comes before any value."""
+    lead = col(order[0])
+    least = []
+    for i, c in enumerate(firsts.values()):
+        there = F.col(c).isNotNull()
+        least += [F.min(F.when(there, lead)).alias(f"_lead{i}"),
+                  F.coalesce(F.bool_or(there & lead.isNull()), F.lit(False)).alias(f"_null{i}")]
+    stats = materialize(df.groupBy(*keys).agg(*aggs, *least), "group-stats")
+
+    # no group's first row lies behind the last of the leads: spares most rows the join
+    ends = [F.max(f"_lead{i}") for i in range(len(firsts))]
+    last = stats.agg((F.greatest(*ends) if len(ends) > 1 else ends[0]).alias("z")).scalar()
+    wanted = stats.select(*[F.col(k).alias(f"_key{j}") for j, k in enumerate(keys)],
+                          *[f"_{n}{i}" for i in range(len(firsts)) for n in ("lead", "null")])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key{j}")) for j, k in enumerate(keys)])
+    is_first = reduce(or_, [F.when(F.col(f"_null{i}"), lead.isNull()).otherwise(lead == F.col(f"_lead{i}"))
+                            for i in range(len(firsts))])
+    rows = df.where((lead <= last) | lead.isNull()).join(wanted, same & is_first)
+    found = rows.groupBy(*[f"_key{j}" for j in range(len(keys))]).agg(
+        *[first_non_null(c, order).alias(f"_first{i}") for i, c in enumerate(firsts.values())])
+    return (stats.join(found.withColumnsRenamed({f"_key{j}": f"_of{j}" for j in range(len(keys))}),
+                       reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of{j}")) for j, k in enumerate(keys)]), "left")
+            .select(*keys, *measured, *[F.col(f"_first{i}").alias(name) for i, name in enumerate(firsts)]))
+
+
 def pivot_first(df: DataFrame, index: str, columns: str, values: str,
                 pivot_values: Sequence, names: Mapping | None = None,
                 order: Sequence | None = None) -> DataFrame:

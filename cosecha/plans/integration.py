@@ -16,7 +16,7 @@ from cosecha.operators.survey import table_inventory
 from cosecha.plans import food as fd
 from cosecha.plans import prices as pr
 from cosecha.plans import surveys as sv
-from cosecha.sources.tables import scan_table, write_replace
+from cosecha.sources.tables import concurrently, scan_table, write_replace
 
 # ---- fixed values (must equal the analysed pipeline's) -------------------
 # the integrated tables, in report order
@@ -57,13 +57,21 @@ def integrate(spark: SparkSession, food: DataFrame, food_nutrient: DataFrame, pr
         write_replace(df, store, name, cluster_by=_cluster_columns(df, name))
         return scan_table(spark, store, name)
 
-    foods = put("FDC_NUTRIENTES_INTEGRADO", fd.food_integrated(food, food_nutrient))
-    products = put("ODEPA_AGREGADO", pr.price_products(prices))
-    put("ODEPA_FDC_INTEGRADO", pr.price_food(products, foods))
-    put("COMPARACION_DIABETES_EDAD", sv.prevalence_by_age(survey_a, survey_b))
-    put("COMPARACION_DIABETES_IMC", sv.prevalence_by_bmi(survey_a, survey_b))
-    put("NHANES_DIABETES_FIBRA", sv.prevalence_by(survey_a, "categoria_fibra"))
-    put("NHANES_DIABETES_AZUCAR", sv.prevalence_by(survey_a, "categoria_azucar"))
-    put("RESUMEN_COMPARATIVO_NHANES_BRFSS", sv.survey_summary(survey_a, survey_b))
-    put("DATOS_ANALISIS_FINAL", sv.final_analysis(survey_a))
+    def foods() -> DataFrame:
+        return put("FDC_NUTRIENTES_INTEGRADO", fd.food_integrated(food, food_nutrient))
+
+    def products() -> DataFrame:
+        return put("ODEPA_AGREGADO", pr.price_products(prices))
+
+    def surveys() -> None:
+        put("COMPARACION_DIABETES_EDAD", sv.prevalence_by_age(survey_a, survey_b))
+        put("COMPARACION_DIABETES_IMC", sv.prevalence_by_bmi(survey_a, survey_b))
+        put("NHANES_DIABETES_FIBRA", sv.prevalence_by(survey_a, "categoria_fibra"))
+        put("NHANES_DIABETES_AZUCAR", sv.prevalence_by(survey_a, "categoria_azucar"))
+        put("RESUMEN_COMPARATIVO_NHANES_BRFSS", sv.survey_summary(survey_a, survey_b))
+        put("DATOS_ANALISIS_FINAL", sv.final_analysis(survey_a))
+
+    # the three lean on nothing of each other: one's small jobs run beside another's large ones
+    food_table, product_table, _ = concurrently(lambda job: job(), [foods, products, surveys])
+    put("ODEPA_FDC_INTEGRADO", pr.price_food(product_table, food_table, stored=True))
     return table_inventory(spark, {t: (lambda t=t: scan_table(spark, store, t)) for t in INTEGRATED_TABLES})

@@ -52,25 +52,30 @@ def _order_keys(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     return keys
 
 
-def interleave(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> Column:
-    """The place of a row on a space-filling curve over several columns: each
-    column's rank among its quantile bounds, the bits of the ranks taken in turns.
-    Rows near in any column are near on the curve, so files cut along it have narrow
-    ranges of every column. NULL ranks lowest. Two aggregates over ``df``."""
+def interleave(df: DataFrame, columns: Sequence[str], out: str, bits: int = BITS) -> DataFrame:
+    """``df`` with ``out``, the place of a row on a space-filling curve over several
+    columns: each column's rank among its quantile bounds, the bits of the ranks taken in
+    turns. Rows near in any column are near on the curve, so files cut along it have narrow
+    ranges of every column. NULL ranks lowest. Two aggregates over ``df``.
+
+    A rank is found by a binary search, a projection for every step: plain comparisons
+    that Spark compiles (a function over the list of bounds would be run value by value)."""
     keys = _order_keys(df, columns)
     probes = [i / (1 << bits) for i in range(1, 1 << bits)]
     bounds = df.agg(*[F.approx_percentile(k, probes, 1000).alias(f"b{i}") for i, k in enumerate(keys)]).first()
-
-    def rank_of(key, at):
-        below = F.size(F.filter(F.lit(at), lambda x: x < key)) if at else F.lit(0)
-        return F.when(key.isNull(), F.lit(0)).otherwise(below)
-
+    # nothing lies above NaN
+    at = [F.lit(sorted({b for b in bounds[f"b{i}"] or [] if b == b}) or [float("inf")]) for i in range(len(keys))]
+    key, rank = ([f"{out}_{n}{i}" for i in range(len(keys))] for n in ("key", "rank"))
+    placed = df.withColumns({**dict(zip(key, keys)), **{r: F.lit(0) for r in rank}})
+    for j in reversed(range(bits)):  # so many of the bounds lie below the key, or more
+        more = [F.get(a, F.col(r) + F.lit((1 << j) - 1)) < F.col(k) for a, r, k in zip(at, rank, key)]
+        placed = placed.withColumns({r: F.when(m, F.col(r) + F.lit(1 << j)).otherwise(F.col(r))
+                                     for r, m in zip(rank, more)})
     z = F.lit(0)
-    for i, k in enumerate(keys):
-        rank = rank_of(k, sorted(set(bounds[f"b{i}"] or [])))
+    for i, r in enumerate(rank):
         for j in range(bits):
-            z = z.bitwiseOR(F.shiftleft(F.shiftright(rank, j).bitwiseAND(F.lit(1)), j * len(keys) + i))
-    return z
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(F.col(r), j).bitwiseAND(F.lit(1)), j * len(keys) + i))
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], z.alias(out))
 
 
 def write_replace(df: DataFrame, store: str, name: str, fmt: str = "parquet",
@@ -87,7 +92,7 @@ def write_replace(df: DataFrame, store: str, name: str, fmt: str = "parquet",
     order = list(cluster_by or [])
     if len(order) > 1:
         df = materialize(df, "to-cluster")  # scanned for bounds, then written
-        columns, df = df.columns, df.withColumn("__z", interleave(df, order))
+        columns, df = df.columns, interleave(df, order, "__z")
         order = ["__z", *order]
     if order:
         # without a count the adaptive planner sizes the files by bytes

@@ -54,3 +54,31 @@ def test_no_task_ranks_a_whole_column(skewed):
     # everything meets in one task only as partial aggregates, never as rows of a window
     windows = [i for i, ln in enumerate(p.splitlines()) if "Window " in ln]
     assert windows and "Exchange SinglePartition" not in "\n".join(p.splitlines()[windows[0]:windows[0] + 4])
+
+
+def test_statistics_with_first_values_sort_no_rows_by_group(spark, monkeypatch):
+    """The scan of all rows is a hash aggregate; first values by a composite order
+    (ties and NULLs in its first column, NULL values) are those of one ``min_by``."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from cosecha.operators import aggregate as agg
+    r = random.Random(4)
+    rows = [(r.choice(["p", "q", "r", None]), r.choice([None, f"g{i}"]), r.choice([None, f"u{i}"]), float(i % 9),
+             r.choice([1, 1, 2, 3] if i % 5 else [None, 4]), r.choice([None, 0.5, float(i)]), i) for i in range(600)]
+    rows += [("alone", None, "u", 1.0, 9, None, 600), ("none", None, None, None, None, None, 601)]
+    plans = []
+    monkeypatch.setattr(agg, "materialize", lambda df, name: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or df)
+    every = spark.createDataFrame(rows, "k string, g string, u string, v double, a long, b double, c long")
+    for df in (every, every.where("a is not null")):
+        for dropna in (True, False):
+            got = agg.group_stats(df, ["k"], {"m": ("mean", "v"), "n": ("count", "v")}, {"G": "g", "U": "u"},
+                                  ["a", "b", "c"], dropna=dropna)
+            exp = (agg.drop_null_keys(df, ["k"]) if dropna else df).groupBy("k").agg(
+                F.avg("v").alias("m"), F.count("v").alias("n"), agg.first_non_null("g", ["a", "b", "c"]).alias("G"),
+                agg.first_non_null("u", ["a", "b", "c"]).alias("U"))
+            assert got.columns == exp.columns
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, exp.collect()))
+    assert plans and not any("SortAggregate" in p for p in plans)

@@ -191,6 +191,29 @@ def test_clustering_takes_nulls_dates_and_no_rows(spark):
         assert scan_table(spark, d, name).exceptAll(rows).count() == 0 and scan_table(spark, d, name).count() == rows.count()
 
 
+def test_places_on_the_curve_are_compiled_and_count_the_bounds_below(spark):
+    """No list is walked row by row; NaN, NULL, ties and one value keep their ranks."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from cosecha.sources import tables as tb
+    r = random.Random(2)
+    values = [None, float("nan"), 0.0, -0.0, 7.0] + [r.gauss(0, 9) for _ in range(400)]
+    df = spark.createDataFrame([(v, i % 5, 1) for i, v in enumerate(values)], "a double, b int, same int").coalesce(1)
+    placed = tb.interleave(df, ["a", "b", "same"], "z")
+    assert "lambda" not in placed._jdf.queryExecution().executedPlan().toString()
+    probes = [i / (1 << tb.BITS) for i in range(1, 1 << tb.BITS)]
+    bounds = df.agg(*[F.approx_percentile(F.col(c).cast("double"), probes, 1000) for c in df.columns]).first()
+    for *row, got in placed.collect():
+        exp = 0
+        for i, (v, at) in enumerate(zip(row, bounds)):
+            above = lambda b, v=v: b == b and v is not None and (v != v or b < v)
+            rank = len({b for b in at if above(b)})
+            exp |= sum((rank >> j & 1) << (3 * j + i) for j in range(tb.BITS))
+        assert got == exp
+
+
 def test_a_task_for_every_member(spark):
     import zipfile
     d = tempfile.mkdtemp(prefix="zm-")
