@@ -95,7 +95,7 @@ def compress(ids: np.ndarray, ends: np.ndarray):
         look, a, b = look[twice], a[twice], b[twice]
         odd = _overlapping(seq, after, look)
         late, look, code = look[odd], look[~odd], ((a << 32) | b)[~odd]
-        order = np.argsort(code, kind="stable")
+        order = np.argsort(code)  # equal ones in any order
         new = np.append(True, np.diff(code[order]) != 0) if len(code) else np.zeros(0, bool)
         count = np.diff(np.append(np.flatnonzero(new), len(code)))
         often = np.flatnonzero(count >= 2)
@@ -140,32 +140,28 @@ def compress(ids: np.ndarray, ends: np.ndarray):
     return seq[symbols].astype("<u4"), per_doc, base, left, right, length.tolist()
 
 
-def expansions(base: int, left, right, length) -> tuple[np.ndarray, np.ndarray]:
-    """All rules written out, one after another, and where each starts."""
-    start = np.concatenate([[0], np.cumsum(np.asarray(length, np.int64))]).astype(np.int64)
-    flat = np.empty(start[-1], np.int64)
-    for i, (x, y) in enumerate(zip(left, right)):
-        p = start[i]
-        for s in (x, y):
-            if s < base:
-                flat[p] = s
-                p += 1
-            else:
-                q, r = start[s - base], start[s - base + 1]
-                flat[p:p + r - q] = flat[q:r]
-                p += r - q
-    return flat, start
+def expand(symbols: np.ndarray, base: int, left, right, length) -> np.ndarray:
+    """The ids that ``symbols`` stand for. All rules of one depth are replaced at once;
+    the lengths say where their two halves go."""
+    left, right, length = (np.asarray(x, np.int64) for x in (left, right, length))
 
+    def size(s):
+        out = np.ones(len(s), np.int64)
+        rules = s >= base
+        out[rules] = length[s[rules] - base]
+        return out
 
-def expand(symbols: np.ndarray, base: int, left, right, length) -> np.ndarray:
-    """The ids that ``symbols`` stand for."""
-    flat, start = expansions(base, left, right, length)
-    flat = np.concatenate([np.arange(base), flat])
     s = symbols.astype(np.int64)
-    size = np.concatenate([np.ones(base, np.int64), np.asarray(length, np.int64)])[s]
-    where = np.concatenate([np.arange(base), base + start[:-1]])[s]
-    shift = np.repeat(where - (np.cumsum(size) - size), size)
-    return flat[shift + np.arange(len(shift))].astype("<u4")
+    n = size(s)
+    at = np.cumsum(n) - n
+    ids = np.empty(int(n.sum()), "<u4")
+    while len(s):
+        plain = s < base
+        ids[at[plain]] = s[plain]
+        rule, at = s[~plain] - base, at[~plain]
+        one, two = left[rule], right[rule]
+        s, at = np.concatenate([one, two]), np.concatenate([at, at + size(one)])
+    return ids
 
 
 def decode_range(row, doc: int, start: int = 0, stop: int | None = None, visit=None) -> np.ndarray:
@@ -249,9 +245,10 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame
 
     def decode(it):
         for b in it:
-            for row in b.to_pylist():
-                ids = expand(np.frombuffer(row["symbols"], "<u4"), row["base"], row["rule_left"], row["rule_right"],
-                             row["rule_len"])
+            rules = [b.column(c) for c in ("rule_left", "rule_right", "rule_len")]
+            for i, row in enumerate(b.drop_columns(["rule_left", "rule_right", "rule_len"]).to_pylist()):
+                ids = expand(np.frombuffer(row["symbols"], "<u4"), row["base"],
+                             *[c[i].values.to_numpy(zero_copy_only=False) for c in rules])
                 ends = np.cumsum(row["doc_ids_n"])
                 starts = ends - row["doc_ids_n"]
                 parts = [ids[s:e] for s, e in zip(starts, ends)]

@@ -79,9 +79,11 @@ class ChunkEncoder:
         """A pre-token of letters (behind a space or not), by the model alone."""
         if self.drops_space:
             word = word.lower() if word.isascii() else "".join(map(str.lower, word))
-        if not word.isascii():
-            word = word.encode().decode("latin-1")
-        return [t.id for t in self.tok.model.tokenize(word.translate(_BYTE_LETTERS))]
+        if word.isascii():  # letters stand for themselves
+            word = word.replace(" ", _BYTE_LETTERS[32])
+        else:
+            word = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return [t.id for t in self.tok.model.tokenize(word)]
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a chunk without inner white space (behind a space, unless it
@@ -106,7 +108,7 @@ class ChunkEncoder:
             return b""
         if self.marks and not self.plain_marks:
             return _packed(self._ids(text))
-        if self.at_marks is not None and self.at_marks.search(text):
+        if any(m in text for m in self.marks):
             return b"".join(self.marks.get(piece) or self._pieces(piece) for piece in self.at_marks.split(text) if piece)
         return self._pieces(text)
 

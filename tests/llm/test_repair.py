@@ -29,6 +29,14 @@ def test_overlapping_equal_pairs():
     assert (expand(sym, base, left, right, length) == ids).all()
 
 
+def test_expanding_writes_out_only_the_rules_below_the_symbols():
+    # rule i stands for 2^(i+1) times the id 1: all of them written out would be 2^51 ids
+    left = right = [1] + [10 + i for i in range(49)]
+    length = [2 << i for i in range(50)]
+    assert expand(np.array([12, 3, 10], "<u4"), 10, left, right, length).tolist() == [1] * 8 + [3] + [1] * 2
+    assert expand(np.zeros(0, "<u4"), 0, [], [], []).tolist() == []
+
+
 def pairs_left(sym, per_doc):
     """The most often a pair occurs, without overlap, inside documents."""
     seen, at = {}, 0
