@@ -53,19 +53,49 @@ _ARROW = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n_ids", pa.in
                                                          "rule_right", "rule_len")], ("symbols", pa.binary())])
 
 
-def _overlapping(seq: np.ndarray, after: np.ndarray, where: np.ndarray) -> np.ndarray:
-    """Which of the pairs at ``where`` (ascending) are every second one of a run of
-    equal ids: in x x x x the pairs at 0 and 2 can be replaced, those at 1 and 3 can't."""
-    odd = np.zeros(len(where), bool)
-    equal = np.flatnonzero(seq[where] == seq[after[where]])
-    if len(equal):
-        at = where[equal]
-        begins = np.append(True, after[at[:-1]] != at[1:])
-        odd[equal] = (np.arange(len(at)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]) % 2 == 1
-    return odd
+def _overlapping(after: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which of the pairs of equal ids at ``at`` (ascending) are every second one of a
+    run: in x x x x the pairs at 0 and 2 can be replaced, those at 1 and 3 can't."""
+    begins = np.append(True, after[at[:-1]] != at[1:])
+    return (np.arange(len(at)) - np.flatnonzero(begins)[np.cumsum(begins) - 1]) % 2 == 1
+
+
+def _by_pair(a: np.ndarray, b: np.ndarray, look: np.ndarray, skip: np.ndarray, symbol_bits: int, place_bits: int):
+    """The pairs (a, b) at ``look``, without those at the indexes ``skip``, as one code
+    each, in order of the code; and their places. Code and place are sorted as one
+    integer where they fit."""
+    if 2 * symbol_bits + place_bits < 63:
+        code = a.astype(np.int64)
+        code <<= symbol_bits
+        code |= b
+        code <<= place_bits
+        code |= look
+        if len(skip):
+            code = np.delete(code, skip)
+        code.sort()
+        return code >> place_bits, code & ((1 << place_bits) - 1)
+    code, at = np.delete((a.astype(np.int64) << 32) | b, skip), np.delete(look, skip)
+    order = np.argsort(code)  # equal ones in any order
+    return code[order], at[order]
+
+
+def _ranks(count: np.ndarray) -> np.ndarray:
+    """0 for the largest count, then 1, ...; of equal counts the first goes first."""
+    bits = len(count).bit_length()
+    order = ((count.max() - count) << bits) | np.arange(len(count))
+    order.sort()
+    ranks = np.empty(len(count), np.int32 if len(count) < 1 << 31 else np.int64)
+    ranks[order & ((1 << bits) - 1)] = np.arange(len(count))
+    return ranks
 
 
 def compress(ids: np.ndarray, ends: np.ndarray):
+    """``grammar`` with lists of its rules."""
+    sym, per_doc, base, *rules = grammar(ids, ends)
+    return sym, per_doc, base, *[r.tolist() for r in rules]
+
+
+def grammar(ids: np.ndarray, ends: np.ndarray):
     """Re-Pair over one block, until no pair occurs twice (without overlap, inside
     documents). ``ends``: positions after each document's last id. Returns
     (symbols, symbols per document, base, left, right, length).
@@ -74,93 +104,96 @@ def compress(ids: np.ndarray, ends: np.ndarray):
     new pair holds a new symbol), so a round looks at the pairs that were repeated
     and at those beside a replaced one only."""
     n = len(ids)
-    seq = np.append(ids.astype(np.int64), -1)
-    base = int(seq.max()) + 1 if n else 0
-    left, right, length = [], [], np.zeros(0, np.int64)
+    base = int(ids.max()) + 1 if n else 0
+    # half as wide where all symbols fit: a round's time is reading and writing these
+    small = np.int32 if base + n < 1 << 31 else np.int64
+    seq = np.append(ids.astype(small), small(-1))
+    left, right, length, rules = [], [], np.zeros(0, np.int64), 0
     # neighbours inside the document; n stands for none
-    after, before = np.arange(1, n + 2), np.arange(-1, n)
+    after, before = np.arange(1, n + 2, dtype=small), np.arange(-1, n, dtype=small)
     stops = np.unique(ends[ends > 0]) if n else np.zeros(0, np.int64)
     after[stops - 1] = n
     before[np.append(0, stops[:-1])] = n
     lives = np.ones(n + 1, bool)
     lives[n] = False
     none = n + 1  # a rank behind all others
-    rank = np.full(n + 1, none, np.int64)
+    rank = np.full(n + 1, none, small)
     look = np.flatnonzero(after[:n] < n)
     while len(look) > 1:
-        a, b = seq[look], seq[after[look]]
-        # a count by hash drops most pairs that occur once before the exact count
-        slot = ((a * 0x9E3779B1 + b * 0x85EBCA77) >> 11) & 0xFFFFF
-        twice = np.bincount(slot, minlength=1 << 20)[slot] >= 2 if len(look) > 1 << 15 else np.ones(len(look), bool)
-        look, a, b = look[twice], a[twice], b[twice]
-        odd = _overlapping(seq, after, look)
-        late, look, code = look[odd], look[~odd], ((a << 32) | b)[~odd]
-        order = np.argsort(code)  # equal ones in any order
-        new = np.append(True, np.diff(code[order]) != 0) if len(code) else np.zeros(0, bool)
-        count = np.diff(np.append(np.flatnonzero(new), len(code)))
-        often = np.flatnonzero(count >= 2)
+        a, b = seq.take(look), seq.take(after.take(look))
+        equal = np.flatnonzero(a == b)
+        odd = equal[_overlapping(after, look.take(equal))] if len(equal) else equal
+        late = look.take(odd)
+        code, at = _by_pair(a, b, look, odd, (base + rules).bit_length(), n.bit_length())
+        again = np.zeros(len(code) + 1, bool)  # whether the same pair as the one before
+        np.equal(code[1:], code[:-1], out=again[1:-1])
+        often = np.flatnonzero(again[1:] | again[:-1])
         if not len(often):
             break
+        count = np.diff(np.flatnonzero(~again.take(often)), append=len(often))
         # the most frequent pair has rank 0; of two that overlap the better one goes first
-        rank_of = np.full(len(count), none, np.int64)
-        rank_of[often[np.argsort(-count[often], kind="stable")]] = np.arange(len(often))
-        mine = np.empty(len(look), np.int64)
-        mine[order] = np.repeat(rank_of, count)
-        look, mine = look[mine < none], mine[mine < none]
-        rank[look] = mine
-        best = (mine < rank[before[look]]) & (mine < rank[after[look]])
-        at, used = look[best], mine[best]
+        at = at.take(often)
+        rank[at] = np.repeat(_ranks(count), count)
+        look = np.sort(at) if len(at) < n >> 5 else np.flatnonzero(rank[:n] < none)
+        mine = rank.take(look)
+        best = np.flatnonzero(mine < rank.take(after.take(look)))
+        best = best[mine.take(best) < rank.take(before.take(look.take(best)))]
+        at, used = look.take(best), mine.take(best)
         rank[look] = none
         # a pair whose other places were taken waits; rank 0 has all of its places
-        times = np.bincount(used, minlength=len(often))
-        number = np.cumsum(times >= 2) - 1
-        stays = times[used] >= 2
-        at, new = at[stays], number[used[stays]]
+        twice = np.bincount(used, minlength=len(count)) >= 2
+        number = np.cumsum(twice) - 1
+        stays = np.flatnonzero(twice.take(used))
+        at, new = at.take(stays), number.take(used.take(stays))
         firsts = np.empty(int(number[-1]) + 1, np.int64)
         firsts[new] = at
         l_sym, r_sym = seq[firsts], seq[after[firsts]]
         size = lambda s: np.where(s >= base, length[np.maximum(s - base, 0)] if len(length) else 1, 1)  # noqa: E731, B023
-        gone = after[at]
-        seq[at] = base + len(left) + new
-        left += l_sym.tolist()
-        right += r_sym.tolist()
+        gone = after.take(at)
+        seq[at] = base + rules + new
+        left.append(l_sym)
+        right.append(r_sym)
         length = np.append(length, size(l_sym) + size(r_sym))
+        rules += len(firsts)
         lives[gone] = False
-        after[at] = after[gone]
-        before[after[at]] = at  # at n too, which is never read as a place
+        after[at] = after.take(gone)
+        before[after.take(at)] = at  # at n too, which is never read as a place
         before[n] = n
-        again = np.zeros(n + 1, bool)
-        for places in (look, late, at, before[at]):
-            again[places] = True
-        again &= lives
-        look = np.flatnonzero(again)
-        look = look[after[look] < n]
+        places = (look, late, at, before.take(at))
+        if sum(map(len, places)) < n >> 5:
+            look = np.unique(np.concatenate(places))
+            look = look[lives.take(look) & (after.take(look) < n)]
+        else:
+            mark = np.zeros(n + 1, bool)
+            for some in places:
+                mark[some] = True
+            mark &= lives
+            mark &= after < n
+            look = np.flatnonzero(mark)
     symbols = np.flatnonzero(lives)
     per_doc = np.diff(np.searchsorted(symbols, ends), prepend=0) if len(ends) else np.zeros(0, np.int64)
-    return seq[symbols].astype("<u4"), per_doc, base, left, right, length.tolist()
+    left, right = (np.concatenate([length[:0], *x]) for x in (left, right))
+    return seq[symbols].astype("<u4"), per_doc, base, left, right, length
 
 
 def expand(symbols: np.ndarray, base: int, left, right, length) -> np.ndarray:
     """The ids that ``symbols`` stand for. All rules of one depth are replaced at once;
     the lengths say where their two halves go."""
-    left, right, length = (np.asarray(x, np.int64) for x in (left, right, length))
-
-    def size(s):
-        out = np.ones(len(s), np.int64)
-        rules = s >= base
-        out[rules] = length[s[rules] - base]
-        return out
-
+    left, right = (np.asarray(x, np.int64) for x in (left, right))
+    sizes = np.append(1, np.asarray(length, np.int64))  # 0 stands for an id, i + 1 for rule i
     s = symbols.astype(np.int64)
-    n = size(s)
+    rule = np.maximum(s - (base - 1), 0)
+    n = sizes.take(rule)
     at = np.cumsum(n) - n
     ids = np.empty(int(n.sum()), "<u4")
     while len(s):
-        plain = s < base
-        ids[at[plain]] = s[plain]
-        rule, at = s[~plain] - base, at[~plain]
-        one, two = left[rule], right[rule]
-        s, at = np.concatenate([one, two]), np.concatenate([at, at + size(one)])
+        plain, deep = np.flatnonzero(rule == 0), np.flatnonzero(rule)
+        ids[at.take(plain)] = s.take(plain)
+        rule, at = rule.take(deep) - 1, at.take(deep)
+        one, two = left.take(rule), right.take(rule)
+        s, first = np.concatenate([one, two]), np.maximum(one - (base - 1), 0)
+        at = np.concatenate([at, at + sizes.take(first)])
+        rule = np.concatenate([first, np.maximum(two - (base - 1), 0)])
     return ids
 
 
@@ -194,32 +227,46 @@ def decode_range(row, doc: int, start: int = 0, stop: int | None = None, visit=N
     return np.array(out, "<u4")
 
 
+def _joined(it, size: int = 8 << 20):
+    """Arrow batches, small ones joined to about ``size`` bytes."""
+    held = []
+    for b in it:
+        held.append(b)
+        if sum(h.nbytes for h in held) >= size:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID,
               block_ids: int = BLOCK_IDS, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Encode all documents and write them to ``path`` in the file format."""
     prepare(docs.sparkSession)
     tok = tokenizer or public_path("byte_bpe_50k.json")
-    end = end_id.to_bytes(4, "little")
 
     def encode(it):
         enc = encoder(tok)
         part, block = TaskContext.get().partitionId(), 0
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         names: list[int | None] = []
         size = 0
 
         def flush():
-            ids = np.frombuffer(b"".join(held), "<u4")
-            ns = np.array([len(x) // 4 for x in held], np.int64)
-            sym, per_doc, base, left, right, length = compress(ids, np.cumsum(ns))
+            ids = np.concatenate(held)
+            ns = np.array(list(map(len, held)), np.int64)
+            sym, per_doc, base, left, right, length = grammar(ids, np.cumsum(ns))
             row = [part, block, len(ids), base, names, ns, per_doc, left, right, length, sym.tobytes()]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _ARROW)], schema=_ARROW)
 
-        for b in it:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                held.append(enc.encode(text) + end)
+        for b in _joined(it):
+            ids, ns = enc.encode_all(b.column(1))
+            ends = np.cumsum(ns)
+            ids, ends = np.insert(ids, ends, end_id), ends + np.arange(1, len(ends) + 1)
+            for doc, some in zip(b.column(0).to_pylist(), np.split(ids, ends[:-1])):
+                held.append(some)
                 names.append(doc)
-                size += len(held[-1]) // 4
+                size += len(some)
                 if size >= block_ids:
                     yield flush()
                     held, names, size, block = [], [], 0, block + 1
@@ -254,7 +301,7 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame
                 parts = [ids[s:e] for s, e in zip(starts, ends)]
                 out = {"part": [row["part"]] * len(parts), "block": [row["block"]] * len(parts),
                        "doc_id": row["doc_ids"], "before": starts.tolist(), "n_tokens": row["doc_ids_n"],
-                       "ids_crc32": [zlib.crc32(p.tobytes()) for p in parts]}
+                       "ids_crc32": list(map(zlib.crc32, parts))}
                 if with_ids:
                     out["ids"] = [p.astype(np.int32) for p in parts]
                 yield from batches(it, out, schema)
